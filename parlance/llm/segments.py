@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import bitmap, grams_hash, grouped, in_bitmap, materialise, prefix
 
-#: n: windows of the segment from start on; inner: more than one occurrence of the key can span, so the segment may repeat windows itself.
+#: n: windows of the segment from start on; inner: windows may repeat within it.
 SEGMENT = "key long, c0 long, c1 long, doc_id long, start int, n int, inner boolean"
 
 
@@ -41,13 +41,18 @@ class Plan:
     gram: int
 
 
-def cut(symbols: np.ndarray, at: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Segments of several texts (symbols of text t at at[t]:at[t+1]): text, start within the text, number of windows, key."""
+def cut(symbols: np.ndarray, at: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Segments of several texts (symbols of text t at at[t]:at[t+1]): text, start within the text, number of windows, key, and whether windows may repeat within it.
+
+    Two equal windows of a segment hold their key's first occurrence at one
+    offset, hence at two places; so a segment that ends while its first window's
+    first occurrence is still in sight repeats nothing.
+    """
     grams = grams_hash(prefix(symbols), plan.gram)
     span = plan.width - plan.gram + 1
     if len(grams) < span:
         none = np.empty(0, np.int64)
-        return none, none, none, np.empty(0, np.uint64)
+        return none, none, none, np.empty(0, np.uint64), np.empty(0, bool)
     keys = sliding_min(grams, span)
     windows = len(keys)
     text = np.repeat(np.arange(len(at) - 1), np.diff(at))
@@ -58,7 +63,13 @@ def cut(symbols: np.ndarray, at: np.ndarray, plan: Plan) -> tuple[np.ndarray, np
     last = inside.copy()
     last[:-1] &= first[1:] | ~inside[1:]
     end = np.flatnonzero(last)
-    return text[start], start - at[text[start]], end - start + 1, keys[start]
+    n = end - start + 1
+    seen = np.empty(len(start), np.int64)
+    views = np.lib.stride_tricks.sliding_window_view(grams, span)
+    for k in range(0, len(start), 4096):
+        part = start[k : k + 4096]
+        seen[k : k + 4096] = (views[part] == keys[part][:, None]).argmax(axis=1)
+    return text[start], start - at[text[start]], n, keys[start], n > seen + 1
 
 
 #: Bits of the filter of repeated keys (8 MB) that is sent to all tasks; what it can't tell apart travels and is counted exactly.
@@ -82,9 +93,9 @@ def repeats(docs: DataFrame, plan: Plan, symbols: Symbols, compare: Callable[[pa
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, flat, at in symbols(batch.column(1)):
-                _, _, n, key = cut(flat, at, plan)
+                _, _, _, key, inner = cut(flat, at, plan)
                 found, count = np.unique(key.view(np.int64), return_counts=True)
-                again = np.unique(key.view(np.int64)[n > plan.width - plan.gram + 1])
+                again = np.unique(key.view(np.int64)[inner])
                 count[np.searchsorted(found, again)] += 1
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(count)], ["key", "count"])
 
@@ -95,9 +106,9 @@ def repeats(docs: DataFrame, plan: Plan, symbols: Symbols, compare: Callable[[pa
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for a, b, flat, at in symbols(batch.column(1)):
-                text, start, n, key = cut(flat, at, plan)
-                use = in_bitmap(wanted.value, key)
-                yield _batch(ids[a:b], flat, at, text[use], start[use], n[use], key[use], plan)
+                found = cut(flat, at, plan)
+                use = in_bitmap(wanted.value, found[3])
+                yield _batch(ids[a:b], flat, at, *(x[use] for x in found), plan)
 
     found = materialise(docs.mapInArrow(segments, SEGMENT))
     place = F.struct("doc_id", "start")
@@ -131,13 +142,13 @@ def repeats(docs: DataFrame, plan: Plan, symbols: Symbols, compare: Callable[[pa
     return copies.union(compared).union(hot(cut_out.where(F.col("kinds") > HOT)))
 
 
-def _batch(ids: np.ndarray, symbols: np.ndarray, at: np.ndarray, text: np.ndarray, start: np.ndarray, n: np.ndarray, key: np.ndarray, plan: Plan) -> pa.RecordBatch:
+def _batch(ids: np.ndarray, symbols: np.ndarray, at: np.ndarray, text: np.ndarray, start: np.ndarray, n: np.ndarray, key: np.ndarray, inner: np.ndarray, plan: Plan) -> pa.RecordBatch:
     raw = memoryview(np.ascontiguousarray(symbols).view(np.uint8))
     item = symbols.dtype.itemsize
     a = ((at[text] + start) * item).tolist()
     b = ((at[text] + start + n + plan.width - 1) * item).tolist()
     digest = np.frombuffer(b"".join([xxhash.xxh3_128_digest(raw[x:y]) for x, y in zip(a, b, strict=True)]), np.int64).reshape(-1, 2)
-    columns = (key.view(np.int64), digest[:, 0], digest[:, 1], ids[text], start.astype(np.int32), n.astype(np.int32), n > plan.width - plan.gram + 1)
+    columns = (key.view(np.int64), digest[:, 0], digest[:, 1], ids[text], start.astype(np.int32), n.astype(np.int32), inner)
     return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "c0", "c1", "doc_id", "start", "n", "inner"])
 
 
