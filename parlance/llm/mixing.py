@@ -66,10 +66,12 @@ def targets(totals: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, r
         F.least(share * F.sum("source_size").over(everything), repeats * F.sum("source_size").over(everything)).alias("want"),
         F.coalesce(repeats * F.sum("source_size").over(before), F.lit(0.0)).alias("spent"),
         F.sum("w").over(rest).alias("left"),
+        F.row_number().over(full).alias("place"),
     )
     level = filled.withColumn("level", (F.col("want") - F.col("spent")) / F.col("left"))
     level = level.withColumn("fits", F.col("level") * F.col("w") <= repeats * F.col("source_size"))
-    water = level.select("*", F.min(F.when(F.col("fits"), F.col("level"))).over(everything).alias("water"))
+    # The first place that fits sets the level; NULL if all are full.
+    water = level.select("*", F.min(F.when(F.col("fits"), F.struct("place", "level"))).over(everything)["level"].alias("water"))
     target = F.least(repeats * F.col("source_size"), F.coalesce(F.col("water") * F.col("w"), repeats * F.col("source_size")))
     return water.select("source", "rank", "source_size", target.cast("double").alias("target"))
 
@@ -152,7 +154,8 @@ def mix(docs: DataFrame, seed: int = 0, weights: tuple = WEIGHTS, share: float =
 
     totals = held.groupBy("source").agg(F.sum("size").alias("source_size"))
     aims = targets(totals, weights, share)
-    quotas = aims.select("source", "rank", "source_size", "target", F.round(F.col("target") / block).cast("long").alias("quota"), F.ceil(F.col("source_size") / block).cast("long").alias("blocks"))
+    quotas = aims.select("source", "rank", "source_size", "target", F.ceil(F.col("source_size") / block).cast("long").alias("blocks"))
+    quotas = quotas.withColumn("quota", F.coalesce(F.round(F.col("target") / F.nullif("source_size", F.lit(0)) * F.col("blocks")), F.lit(0)).cast("long"))
     plan = [r.asDict() for r in quotas.orderBy("rank").collect()]  # a row for each source
 
     quota = np.array([s["quota"] for s in plan], np.int64)
