@@ -8,7 +8,9 @@ place). A sequence of BPE tokens is the encoding of its text exactly if each
 pair of neighbours is, so tokens taken from the left up to the first agreement,
 from the window up to the second and from the right from there on are what the
 library gives for the whole text. Where nothing agrees, the window ends up as
-the whole text.
+the whole text. Only what stands between the white space nearest to a join and the
+join needs this: a token never crosses a space, so the words between are encoded
+once a process and looked up from then on.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,10 @@ TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 LEAF = 32_768
 #: Characters on each side of a join in the first window; each further one is four times as wide.
 WINDOW = 64
+#: Characters of a leaf's edges within which white space is looked for.
+EDGE = 4096
+#: Words that a process remembers, and the longest of them.
+REMEMBERED, LONGEST = 300_000, 48
 
 IDS = "doc_id long, ids array<int>"
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -54,6 +61,29 @@ def leaves(length: int, leaf: int = LEAF) -> list[tuple[int, int]]:
     return leaves(half, leaf) + [(half + a, half + b) for a, b in leaves(length - half, leaf)]
 
 
+_WORDS: dict[int, tuple[dict[str, list[int]], list[int]]] = {}
+
+
+def word_ids(tokenizer, texts: list[str]) -> list[list[int]]:
+    """The ids of texts of moderate length, word by word: no token crosses a space or a line's end, and neither does any normalisation."""
+    if id(tokenizer) not in _WORDS:
+        _WORDS[id(tokenizer)] = ({}, list(range(max(tokenizer.get_vocab(with_added_tokens=True).values(), default=-1) + 1)))
+    known, shared = _WORDS[id(tokenizer)]
+    split = [t.replace("\n", " ").split(" ") for t in texts]
+    words = set(chain.from_iterable(split))
+    new = list(words - known.keys())
+    if len(known) + len(new) > REMEMBERED:
+        known.clear()
+        new = list(words)
+    for word, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        known[word] = [shared[i] for i in found.ids]
+    out = [list(chain.from_iterable(map(known.__getitem__, w))) for w in split]
+    for word in new:
+        if len(word) > LONGEST:
+            del known[word]
+    return out
+
+
 class Piece:
     """Tokens of text[start:end], with the characters that each comes from."""
 
@@ -115,9 +145,39 @@ def join_all(tokenizer, text: str, pieces: list[Piece]) -> np.ndarray:
     return pieces[0].ids
 
 
+def edges(leaf: str) -> tuple[str, str, str]:
+    """A leaf as head, middle and tail, parted at spaces within EDGE of its ends; all head if there are none."""
+    a = leaf.find(" ", 0, EDGE)
+    b = leaf.rfind(" ", max(a + 1, len(leaf) - EDGE))
+    return (leaf, "", "") if a < 0 or b <= a else (leaf[:a], leaf[a:b], leaf[b:])
+
+
+def join_leaves(tokenizer, parts: list[tuple[str, list[int] | None, str]]) -> np.ndarray:
+    """A text's ids from its leaves' (head, ids of the middle or None if it is all head, tail)."""
+    out: list[np.ndarray] = []
+    run: list[str] = []
+
+    def seal() -> None:
+        text = "".join(run)
+        at = np.concatenate([[0], np.cumsum([len(x) for x in run])]).tolist()
+        pieces = [Piece.of(tokenizer, text, a, b) for a, b in zip(at[:-1], at[1:], strict=True)]
+        out.append(join_all(tokenizer, text, pieces) if pieces else np.empty(0, np.int32))
+        run.clear()
+
+    for head, middle, tail in parts:
+        run.append(head)
+        if middle is not None:
+            seal()
+            out.append(np.array(middle, np.int32))
+            run.append(tail)
+    seal()
+    return np.concatenate(out)
+
+
 def encode_text(tokenizer, text: str, leaf: int = LEAF) -> np.ndarray:
     """One text by the same tree, in this process."""
-    return join_all(tokenizer, text, [Piece.of(tokenizer, text, a, b) for a, b in leaves(len(text), leaf)])
+    parts = [edges(text[a:b]) for a, b in leaves(len(text), leaf)]
+    return join_leaves(tokenizer, [(h, word_ids(tokenizer, [m])[0] if m else None, t) for h, m, t in parts])
 
 
 def _halved(docs: DataFrame, leaf: int) -> DataFrame:
@@ -126,10 +186,10 @@ def _halved(docs: DataFrame, leaf: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                spans = leaves(len(text), leaf)
-                yield pa.RecordBatch.from_pydict({"k": [key] * len(spans), "no": range(len(spans)), "a": [a for a, _ in spans], "piece": [text[a:b] for a, b in spans]}, pa.schema([("k", pa.string()), ("no", pa.int32()), ("a", pa.int64()), ("piece", pa.string())]))
+                pieces = [text[a:b] for a, b in leaves(len(text), leaf)]
+                yield pa.RecordBatch.from_pydict({"k": [key] * len(pieces), "no": range(len(pieces)), "piece": pieces}, pa.schema([("k", pa.string()), ("no", pa.int32()), ("piece", pa.string())]))
 
-    return docs.mapInArrow(cut, "k string, no int, a long, piece string")
+    return docs.mapInArrow(cut, "k string, no int, piece string")
 
 
 def _split(docs: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
@@ -162,33 +222,31 @@ def _encoded(docs: DataFrame, path: str, leaf: int, digest: bool) -> DataFrame:
     def short_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load(path)
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                found = tokenizer.encode_batch_fast(part.column(1).to_pylist(), add_special_tokens=False)
-                yield out(part.column(0).to_pylist(), [e.ids for e in found])
+            for k in range(0, batch.num_rows, 1024):
+                part = batch.slice(k, 1024)
+                yield out(part.column(0).to_pylist(), word_ids(tokenizer, part.column(1).to_pylist()))
 
     def leaf_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load(path)
         for batch in batches:
-            pieces = [Piece.of(tokenizer, t, 0, len(t)) for t in batch.column("piece").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([p.ids for p in pieces], pa.list_(pa.int32())), pa.array([p.a for p in pieces], pa.list_(pa.int64())), pa.array([p.b for p in pieces], pa.list_(pa.int64()))],
-                ["k", "no", "a", "piece", "ids", "froms", "tos"],
-            )
+            for k in range(0, batch.num_rows, 64):
+                part = batch.slice(k, 64)
+                parts = [edges(x) for x in part.column("piece").to_pylist()]
+                ids = word_ids(tokenizer, [m for _, m, _ in parts])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array([h for h, _, _ in parts], pa.string()), pa.array([i if m else None for i, (_, m, _) in zip(ids, parts, strict=True)], pa.list_(pa.int32())), pa.array([t for _, _, t in parts], pa.string())],
+                    ["k", "no", "head", "middle", "tail"],
+                )
 
     def joined(group: pa.Table) -> pa.RecordBatch:
         rows = group.to_pydict()
-        pieces = [
-            Piece(a, a + len(t), np.array(i, np.int32), np.array(x, np.int64) + a, np.array(y, np.int64) + a)
-            for a, t, i, x, y in zip(rows["a"], rows["piece"], rows["ids"], rows["froms"], rows["tos"], strict=True)
-        ]
-        return out([int(rows["k"][0].split(":")[0])], [join_all(load(path), "".join(rows["piece"]), pieces)])
+        return out([int(rows["k"][0].split(":")[0])], [join_leaves(load(path), list(zip(rows["head"], rows["middle"], rows["tail"], strict=True)))])
 
     short, long = _split(docs, leaf)
     # A long text's leaves meet again under its row's own number, so repeated rows with one doc_id stay apart.
     keyed = long.select(F.concat_ws(":", F.col("doc_id").cast("string"), F.monotonically_increasing_id()).alias("k"), "text")
     cut = _halved(keyed, leaf)
-    coded = cut.repartition("k", "no").mapInArrow(leaf_rows, "k string, no int, a long, piece string, ids array<int>, froms array<long>, tos array<long>")
+    coded = cut.repartition("k", "no").mapInArrow(leaf_rows, "k string, no int, head string, middle array<int>, tail string")
     whole = grouped(coded, "k", ["no"], joined, schema)
     return short.mapInArrow(short_rows, schema).union(whole)
 
@@ -199,7 +257,7 @@ def _digest(tokenizer, keys: list[int], ids: list) -> pa.RecordBatch:
     for one in ids:
         one = one if isinstance(one, list) else one.tolist()
         counts.append(len(one))
-        first.append(hashlib.sha256(" ".join([names[i] for i in one]).encode()).hexdigest())
+        first.append(hashlib.sha256(" ".join(map(names.__getitem__, one)).encode()).hexdigest())
         second.append(hashlib.sha256(tokenizer.decode(one, skip_special_tokens=False).encode()).hexdigest())
     return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

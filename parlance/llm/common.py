@@ -25,7 +25,21 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+#: Rows and bytes of a batch between the JVM and Python: whole texts are long, and several batches are held at once.
+BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch limits to ours where they are higher."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = int(spark.conf.get(key, "-1").lower().rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -203,6 +217,7 @@ def grouped(df: DataFrame, key: str, order: list[str], fn: Callable[[pa.Table],
 
 def documents(docs: DataFrame) -> DataFrame:
     """doc_id and text alone: other columns, of whatever name, are left behind."""
+    bound_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
