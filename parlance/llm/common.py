@@ -33,7 +33,7 @@ def bound_batches(spark: SparkSession) -> None:
     """Lower the session's Arrow batch limits to ours where they are higher."""
     for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{key}"
-        now = int(spark.conf.get(key, "-1").lower().rstrip("b"))
+        now = int(spark.conf.get(key).lower().rstrip("b"))
         if now <= 0 or now > most:
             spark.conf.set(key, str(most))
 
