@@ -181,7 +181,8 @@ def mix(docs: DataFrame, seed: int = 0, weights: tuple = WEIGHTS, share: float =
     first = F.greatest(F.lit(0), F.col("block") * block - F.col("at"))
     last = F.least(F.col("size"), (F.col("block") + 1) * block - F.col("at"))
     packed = spans.select("source", "rank", "block", "row", "doc_id", first.alias("first"), (last - first).alias("n"))
-    return placed, aims, slots_df.join(packed, ["rank", "block"]).drop("rank")
+    # Spark takes the slots for as small as the range that they come from; the hint keeps it from broadcasting them.
+    return placed, aims, slots_df.hint("merge").join(packed, ["rank", "block"]).drop("rank")
 
 
 def mixed(docs: DataFrame, seed: int = 0, weights: tuple = WEIGHTS, share: float = SHARE) -> DataFrame:
