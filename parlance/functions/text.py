@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types
 
 TOKEN = r"[\p{L}\p{N}_']+"
 SPACES = r"[\s\p{Z}]+"
@@ -31,7 +32,7 @@ def normalised(text: Column) -> Column:
     return collapse(F.regexp_replace(F.lower(text), r"[\p{P}\p{S}]", ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(types.StringType())
 def nfc(text: pd.Series) -> pd.Series:
     """Canonical composition, which Spark has no function for."""
     return text.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
@@ -78,7 +79,7 @@ def ratio_of(words: Column, table: tuple[str, ...]) -> Column:
     return F.size(F.filter(words, lambda w: w.isin(*table)))
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(types.IntegerType())
 def word_edit_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     """Levenshtein distance of two word arrays; levenshtein() is for characters, and a fold over arrays copies a row a word."""
     return pd.Series([_distance(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
@@ -105,7 +106,7 @@ def error_rate(distance: Column, reference: Column) -> Column:
     return F.when(reference == 0, F.when(distance == 0, 0.0).otherwise(1.0)).otherwise(distance / reference)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(types.DoubleType())
 def sequence_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of two word arrays (two empty ones: 1), which has no built-in."""
     return pd.Series([1.0 if not len(x) and not len(y) else SequenceMatcher(None, list(x), list(y)).ratio() for x, y in zip(a, b, strict=True)], dtype=float)

@@ -129,21 +129,22 @@ def preservation(detected: Column, score: Column, n_langs: Column, has_peers: Co
 
 
 def scores(candidates: DataFrame, signals: DataFrame, condition: str = "unknown") -> DataFrame:
-    """Per session and engine: agreement, timing, switch_structure, code_switch_score, score; the mean over its peers, 1 without any.
+    """Per session and engine: agreement, timing, switch_structure, code_switch_score, score: means over its peers, 1 without any; and peers, what it has in common with each.
 
     signals: session_id, engine, conf, word_conf, ts_conf (0 to 1), switch_count, switching_score, langs, patterns.
     """
     word = pairs(texts(candidates)).withColumn("token", F.round(T.sequence_similarity("a.words", "b.words") * 0.65 + T.bag_overlap(F.col("a.words"), F.col("b.words")) * 0.35, 4))
     switch = pairs(signals).select("session_id", "engine", "peer", F.round(switch_agreement("a", "b"), 4).alias("switch"), (F.size("b.langs") >= 2).alias("multi"))
     both = word.select("session_id", "engine", "peer", "token").join(timing(candidates), ["session_id", "engine", "peer"], "left").join(switch, ["session_id", "engine", "peer"])
-    mean = both.groupBy("session_id", "engine").agg(F.avg("token").alias("agreement"), F.avg(F.round(F.coalesce("timing", F.lit(0.0)), 4)).alias("timing"), F.avg("switch").alias("switch_structure"), F.bool_or("multi").alias("multi"))
+    peer = F.struct("token", F.round(F.coalesce("timing", F.lit(0.0)), 4).alias("timing"), F.coalesce("count_score", F.lit(0.0)).alias("count_score"), "switch")
+    mean = both.groupBy("session_id", "engine").agg(F.map_from_entries(F.collect_list(F.struct("peer", peer.alias("x")))).alias("peers"), F.avg("token").alias("agreement"), F.avg(F.round(F.coalesce("timing", F.lit(0.0)), 4)).alias("timing"), F.avg("switch").alias("switch_structure"), F.bool_or("multi").alias("multi"))
     s = signals.join(mean, ["session_id", "engine"], "left")
     one = lambda c: F.coalesce(c, F.lit(1.0))
     kept = preservation(F.col("switch_count") > 0, F.col("switching_score"), F.size("langs"), F.col("agreement").isNotNull(), F.coalesce("multi", F.lit(False)))
     s = s.withColumn("code_switch_score", kept)
     total = F.col("conf") * 0.24 + F.col("word_conf") * 0.14 + F.col("ts_conf") * 0.16 + one("agreement") * 0.20 + one("timing") * 0.10 + one("switch_structure") * 0.08 + F.col("code_switch_score") * 0.08
     total = total * {"outdoor": 1.03, "unknown": 1.01}.get(condition, 1.0)
-    return s.select("session_id", "engine", "conf", "ts_conf", one("agreement").alias("agreement"), one("timing").alias("timing"), one("switch_structure").alias("switch_structure"), "code_switch_score", F.round(F.least(F.lit(1.0), total), 4).alias("score"))
+    return s.select("session_id", "engine", "conf", "ts_conf", one("agreement").alias("agreement"), one("timing").alias("timing"), one("switch_structure").alias("switch_structure"), "code_switch_score", F.round(F.least(F.lit(1.0), total), 4).alias("score"), "peers")
 
 
 def choose(candidates: DataFrame, signals: DataFrame, condition: str = "unknown") -> DataFrame:
@@ -153,22 +154,12 @@ def choose(candidates: DataFrame, signals: DataFrame, condition: str = "unknown"
     timing, are merged: words of the more confident, times of the better timed.
     """
     s = scores(candidates, signals, condition)
-    order = F.row_number().over(W.partitionBy("session_id").orderBy(F.desc("score"), "engine"))
-    ranked = s.withColumn("rank", order).where("rank <= 2")
-    top = ranked.where("rank = 1").select("session_id", F.struct("*").alias("t"))
-    second = ranked.where("rank = 2").select(F.col("session_id").alias("_s"), F.struct("*").alias("r"))
-    both = top.join(second, F.col("session_id") == F.col("_s"), "left").drop("_s")
-    tx = texts(candidates).select(F.col("session_id").alias("_s"), F.col("engine").alias("_e"), "words")
-    both = both.join(tx, (F.col("session_id") == F.col("_s")) & (F.col("t.engine") == F.col("_e"))).withColumnRenamed("words", "w1").drop("_s", "_e")
-    both = both.join(tx, (F.col("session_id") == F.col("_s")) & (F.col("r.engine") == F.col("_e")), "left").withColumnRenamed("words", "w2").drop("_s", "_e")
-    sig = signals.select(F.col("session_id").alias("_s"), F.col("engine").alias("_e"), F.struct("langs", "switch_count", "patterns").alias("g"))
-    both = both.join(sig, (F.col("session_id") == F.col("_s")) & (F.col("t.engine") == F.col("_e"))).withColumnRenamed("g", "g1").drop("_s", "_e")
-    both = both.join(sig, (F.col("session_id") == F.col("_s")) & (F.col("r.engine") == F.col("_e")), "left").withColumnRenamed("g", "g2").drop("_s", "_e")
-    tm = timing(candidates).select(F.col("session_id").alias("_s"), F.col("engine").alias("_e"), F.col("peer").alias("_p"), F.col("timing").alias("tm"), "count_score")
-    both = both.join(tm, (F.col("session_id") == F.col("_s")) & (F.col("t.engine") == F.col("_e")) & (F.col("r.engine") == F.col("_p")), "left")
+    # The winner's row takes in the next one, so scores are computed once.
+    w = W.partitionBy("session_id").orderBy(F.desc("score"), "engine")
+    ranked = s.select("session_id", F.row_number().over(w).alias("rank"), F.struct("*").alias("t"), F.lead(F.struct("engine", "conf", "ts_conf", "score")).over(w).alias("r"))
+    both = ranked.where("rank = 1")
     no = F.array().cast("array<string>")
-    both = both.withColumn("token", F.round(T.sequence_similarity(F.coalesce("w1", no), F.coalesce("w2", no)) * 0.65 + T.bag_overlap(F.coalesce("w1", no), F.coalesce("w2", no)) * 0.35, 4))
-    both = both.withColumn("tm", F.round(F.coalesce("tm", F.lit(0.0)), 4)).withColumn("sw", F.round(switch_agreement("g1", "g2"), 4))
+    both = both.withColumn("x", F.element_at("t.peers", F.col("r.engine"))).withColumns({"token": F.col("x.token"), "tm": F.col("x.timing"), "sw": F.col("x.switch"), "count_score": F.col("x.count_score")})
     alone = F.col("r").isNull()
     flags = F.when(alone, no).otherwise(F.array_compact(F.array(F.when(F.col("token") < 0.72, "strong_transcript_disagreement"), F.when(F.col("tm") < 0.70, "strong_timestamp_disagreement"), F.when(F.col("sw") < 0.70, "strong_code_switch_disagreement"))))
     merge = ~alone & (F.col("token") >= 0.88) & (F.col("tm") >= 0.82) & (F.col("sw") >= 0.80) & (F.coalesce("count_score", F.lit(0.0)) >= 0.80) & (F.abs(F.col("t.conf") - F.col("r.conf")) <= 0.08) & (F.abs(F.col("t.ts_conf") - F.col("r.ts_conf")) >= 0.10)
