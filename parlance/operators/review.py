@@ -121,10 +121,11 @@ def error_rates(reviewed: DataFrame) -> DataFrame:
     return t.select("session_id", F.size("a").alias("ref_words"), F.col("d").alias("word_errors"), T.error_rate(F.col("d"), F.size("a")).alias("wer"), F.length(chars("a")).alias("ref_chars"), cd.alias("char_errors"), T.error_rate(cd, F.length(chars("a"))).alias("cer"))
 
 
-def delivery(reviewed: DataFrame, completed: Column = F.lit(True)) -> DataFrame:
+def delivery(reviewed: DataFrame, completed: Column | None = None) -> DataFrame:
     """Per session: n_rows, n_empty, n_unresolved, completion_rate, delivery_confidence."""
     d = reviewed.groupBy("session_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.trim(F.coalesce("reviewed_text", F.lit(""))) == "", 1)).alias("n_empty"), F.sum(F.size(F.coalesce("unresolved", F.array().cast("array<string>")))).alias("n_unresolved"))
     rate = (F.col("n_rows") - F.col("n_empty")) / F.col("n_rows")
+    completed = F.lit(True) if completed is None else completed
     clean = completed & (F.col("n_empty") == 0) & (F.col("n_unresolved") == 0)
     return d.withColumn("completion_rate", rate).withColumn("delivery_confidence", F.when(clean, CONFIDENCE_COMPLETE).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(0.98), rate - F.col("n_unresolved") * ISSUE_PENALTY))))
 
@@ -141,8 +142,9 @@ def verify(df: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
     return df.withColumn("verify_reasons", F.array_distinct(F.concat("review_errors", below)))
 
 
-def finalise(df: DataFrame, approve: Column = F.lit(True)) -> DataFrame:
+def finalise(df: DataFrame, approve: Column | None = None) -> DataFrame:
     """df with passed, stage (approved, reviewed, review_required, rejected), review_status, delivery_reason. Needs verify()'s columns and completed."""
+    approve = F.lit(True) if approve is None else approve
     d = df.withColumn("passed", F.col("completed") & F.col("validation_passed") & (F.size("verify_reasons") == 0))
     stage = F.when(F.col("passed") & approve, "approved").when(F.col("passed"), "reviewed").when(~F.col("completed") & ~approve, "review_required").otherwise("rejected")
     d = d.withColumn("stage", stage)
