@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import Words, buffer, documents, grouped, materialise, shingles, slices
 from .components import components, local_forest
-from .minhash import STAR, band_keys, bayes_pairs, densified, exact_pairs, sketch, spread, star_edges, star_rows
+from .minhash import STAR, band_keys, bayes_pairs, blocks_of, densified, exact_pairs, sketch, spread, star_edges, star_rows
 
 NGRAM, THRESHOLD = 5, 0.8
 #: A pair goes when P(Jaccard >= THRESHOLD) falls below this.
@@ -73,13 +73,14 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
                 keys = densified(_signatures(sets))
                 digest = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else b"" for s in sets]
                 bands = pa.FixedSizeListArray.from_arrays(pa.array(band_keys(keys, BANDS, ROWS).ravel()), BANDS).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a : a + len(sets)]), pa.array(digest, pa.binary()), bands], ["doc_id", "cls", "bands"])
+                size = pa.array([len(s) for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a : a + len(sets)]), pa.array(digest, pa.binary()), bands, size], ["doc_id", "cls", "bands", "size"])
 
-    found = docs.mapInArrow(features, "doc_id long, cls binary, bands array<long>")
+    found = docs.mapInArrow(features, "doc_id long, cls binary, bands array<long>, size long")
     # Texts without n-grams are told apart by doc_id.
     key = F.when(F.length("cls") == 0, F.col("doc_id").cast("string").cast("binary")).otherwise(F.col("cls"))
-    found = materialise(found.select("doc_id", key.alias("cls"), F.when(F.length("cls") > 0, F.col("bands")).alias("bands")))
-    classes = materialise(found.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")))
+    found = materialise(found.select("doc_id", key.alias("cls"), F.when(F.length("cls") > 0, F.col("bands")).alias("bands"), "size"))
+    classes = materialise(found.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"), F.first("size").alias("size")))
 
     def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,11 +89,12 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
 
     stars = classes.where("bands is not null").select("rep", "bands").mapInArrow(bucketed, STAR)
     clusters = components(star_edges(stars))
-    sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    sized = clusters.join(classes.select("rep", "n", "cls", "size"), F.col("node") == F.col("rep"))
+    blocks = sized.groupBy(F.col("component").alias("c")).agg(blocks_of(F.count(F.lit(1)), F.sum("size")).alias("blocks"))
+    members = sized.join(blocks, F.col("component") == F.col("c")).select("component", "blocks", "rep", "n", "cls")
     # A class's text stands for it at the smallest doc_id; of rows that repeat that doc_id, a text with the class's set.
-    members = clusters.join(sizes, "component").join(classes.select("rep", "n", "cls"), F.col("node") == F.col("rep")).select("component", "size", "rep", "n", "cls")
     texts = docs.join(members, F.col("doc_id") == F.col("rep"))
-    jobs = spread(texts.select("component", "size", "rep", "n", "text", "cls"), F.col("component"), F.col("size"), F.col("rep"))
+    jobs = spread(texts.select("component", "blocks", "rep", "n", "text", "cls"), F.col("component"), F.col("blocks"), F.col("rep"))
 
     def compare(group: pa.Table) -> pa.RecordBatch | None:
         group = group.combine_chunks()

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from .common import mix, partitions
 
 EMPTY = np.uint32(0xFFFFFFFF)
-#: Members of a block; a larger cluster is compared block by block.
-BLOCK_ROWS = 512
+#: Members of a block, and elements of their sets; a larger cluster is compared block by block.
+BLOCK_ROWS, BLOCK_ELEMENTS = 512, 400_000
 
 
 def sketch(item: np.ndarray, hashes: np.ndarray, items: int, bins_log2: int) -> np.ndarray:
@@ -104,9 +104,14 @@ def star_edges(rows: DataFrame) -> DataFrame:
     return across.union(rows.where("key is null").select("a", "b"))
 
 
-def spread(members: DataFrame, cluster: Column, size: Column, member: Column) -> DataFrame:
+def blocks_of(rows: Column, elements: Column | None = None) -> Column:
+    """The number of blocks for a cluster of so many rows and elements."""
+    n = F.ceil(rows / F.lit(BLOCK_ROWS))
+    return (n if elements is None else F.greatest(n, F.ceil(elements / F.lit(BLOCK_ELEMENTS)))).cast("int")
+
+
+def spread(members: DataFrame, cluster: Column, blocks: Column, member: Column) -> DataFrame:
     """members with a row for each pair of blocks that holds it: columns job (a hash of cluster and pair of blocks), and side, 0 or 1 (2: the pair is one block)."""
-    blocks = F.ceil(size / F.lit(BLOCK_ROWS)).cast("int")
     mine = F.pmod(F.xxhash64(member, F.lit(3)), blocks.cast("long")).cast("int")
     return (
         members.withColumn("block", mine)
