@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import grouped, materialise, partitions
 from .components import components, local_forest
-from .minhash import spread
+from .minhash import blocks_of, spread
 
 THRESHOLD = 0.93
 #: Neighbours on either side that a pass compares a vector with.
@@ -106,9 +106,9 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, window: in
     edges = materialise(_windows(coded, n_tasks, threshold, window))
     joined = components(edges)
 
-    sizes = joined.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    members = joined.join(sizes, "component").join(classes, F.col("node") == F.col("rep"))
-    jobs = spread(members.select("component", "size", "rep", "n", "unit"), F.col("component"), F.col("size"), F.col("rep"))
+    blocks = joined.groupBy("component").agg(blocks_of(F.count(F.lit(1))).alias("blocks"))
+    members = joined.join(blocks, "component").join(classes, F.col("node") == F.col("rep"))
+    jobs = spread(members.select("component", "blocks", "rep", "n", "unit"), F.col("component"), F.col("blocks"), F.col("rep"))
 
     def count(group: pa.Table) -> pa.RecordBatch:
         rep, n, side = (group.column(c).to_numpy() for c in ("rep", "n", "side"))
