@@ -63,8 +63,8 @@ def exact_dedup(docs: DataFrame, keep: str = "max") -> DataFrame:
 
     keep is "max" or "min": which doc_id of equal texts stays. Null counts as the
     empty text. Rows that repeat a doc_id and a text are counted each, and only
-    one of them is kept. Rows without a doc_id are members that stay only if no
-    other does. Other columns are ignored; an empty table gives no rows. Texts of any length are compared in full.
+    one of them is kept. Rows without a doc_id are left out. Other columns are
+    ignored; an empty table gives no rows. Texts of any length are compared in full.
     """
     docs = documents(docs)
     spark = docs.sparkSession
@@ -115,9 +115,11 @@ def exact_dedup(docs: DataFrame, keep: str = "max") -> DataFrame:
 
     reps = docs.where("doc_id is not null").mapInArrow(local, REP)
     dealt = reps.repartitionById(ranges, F.col("pid")).sortWithinPartitions("head", "body").drop("head", "h", "pid")
-    found = materialise(dealt.mapInArrow(neighbours, "grp string, sha string, ids array<long>, best long"))
-    best = (F.max if keep == "max" else F.min)("best").alias("keep_id")
-    sizes = found.groupBy("grp").agg(best, F.sum(F.size("ids")).alias("group_size"))
-    out = found.join(sizes, "grp").select("sha", "keep_id", "group_size", F.posexplode("ids").alias("no", "doc_id"), "ids")
-    kept = (F.col("doc_id") == F.col("keep_id")) & (F.col("no") == F.array_position("ids", F.col("doc_id")) - 1)
+    found = dealt.mapInArrow(neighbours, "grp string, sha string, ids array<long>, best long")
+    found = materialise(found.withColumn("uid", F.monotonically_increasing_id()))
+    # The row that stays is told by its batch, too, in case others repeat its doc_id.
+    stays = (F.max if keep == "max" else F.min)(F.struct("best", "uid")).alias("stays")
+    sizes = found.groupBy("grp").agg(stays, F.sum(F.size("ids")).alias("group_size"))
+    out = found.join(sizes, "grp").select("sha", F.col("stays.best").alias("keep_id"), (F.col("stays.uid") == F.col("uid")).alias("here"), "group_size", F.posexplode("ids").alias("no", "doc_id"), "ids")
+    kept = F.col("here") & (F.col("doc_id") == F.col("keep_id")) & (F.col("no") == F.array_position("ids", F.col("doc_id")) - 1)
     return out.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256"))
