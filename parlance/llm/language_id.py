@@ -132,10 +132,12 @@ class Model:
     def __init__(self, langs: list[str], x: np.ndarray, y: np.ndarray):
         self.langs = sorted(map(str, langs))
         self.families = sorted({family(v) for v in self.langs})
+        self.machines: list[tuple[str, str | None]] = []
+        if not len(x):
+            return
         scale = np.sqrt(np.mean(x**2, axis=0)) + 1e-4
         x = x / scale
         x /= np.sqrt((x**2).sum(axis=1)).mean() or 1.0
-        self.machines: list[tuple[str, str | None]] = []
         columns = []
         fam = np.array([family(v) for v in y])
         if len(self.families) > 1:
