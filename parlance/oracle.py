@@ -139,6 +139,20 @@ RELATIONS = {
                  CASE WHEN cs AND est_cs < 0.99 THEN 'estimated_code_switch_accuracy_below_target' END, CASE WHEN consensus_score < 0.95 THEN 'consensus_score_below_review_threshold' END], lambda x: x IS NOT NULL) AS reasons
         FROM (SELECT *, least(coalesce(consensus_score, 0), 0.99::DOUBLE) AS word, coalesce(ts, 0) AS est_ts,
                 CASE WHEN cs THEN coalesce(nullif(coalesce(cs_conf, 0), 0), least(coalesce(consensus_score, 0), 0.75::DOUBLE)) ELSE least(1.0::DOUBLE, greatest(coalesce(consensus_score, 0), 0.99::DOUBLE)) END AS est_cs FROM gate_in)""",
+    "utt": r"""
+        SELECT *, speaker || '-' || session_id || '-' || lpad(idx::VARCHAR, 4, '0') AS u, printf('%d.%03d', s_ms // 1000, s_ms % 1000) AS s, printf('%d.%03d', e_ms // 1000, e_ms % 1000) AS e, printf('%d.%03d', (e_ms - s_ms) // 1000, (e_ms - s_ms) % 1000) AS d,
+               trim(regexp_replace(text, '\s+', ' ', 'g')) AS t FROM segments""",
+    "listed": """
+        SELECT *, '/in/' || rel || '#' || page_id AS path, page_id * 13 % 997 AS size, page_id * 7 % 31 / 2.0::DOUBLE AS dur FROM (SELECT *, l || '/' || c || '/' || w || '/' || n AS rel FROM (
+          SELECT page_id, ['English', 'hindi', 'punjabi', 'other'][page_id % 4 + 1] AS l, 'conv ' || (page_id // 7 % 40) AS c, ['Speaker 1', 'speaker-2', 'spk_1', 'misc', 'SPK 02'][page_id % 5 + 1] AS w, ['audio.wav', 's1.wav', 'take.mp3', 'Speaker_2.wav'][page_id // 5 % 4 + 1] AS n FROM pages))""",
+    "picked": """
+        SELECT lower(l) AS language, c AS conversation, arg_max(path, (CASE WHEN n = 's1.wav' THEN 2 ELSE 1 END, dur, size, path)) FILTER (n <> 'take.mp3' AND (n = 's1.wav' OR w IN ('Speaker 1', 'spk_1'))) AS path_1,
+               arg_max(path, (CASE WHEN n = 'Speaker_2.wav' THEN 2 ELSE 1 END, dur, size, path)) FILTER (n <> 'take.mp3' AND (n = 'Speaker_2.wav' OR w IN ('speaker-2', 'SPK 02'))) AS path_2, count(*) FILTER (n <> 'take.mp3') AS wavs FROM listed WHERE l <> 'other' GROUP BY ALL""",
+    "reasoned": """
+        SELECT *, CASE WHEN wavs = 0 THEN 'unsupported_audio_format' WHEN path_1 = path_2 THEN 'ambiguous_speaker_assignment' WHEN path_1 IS NULL AND path_2 IS NULL THEN 'missing_speaker_pair' WHEN path_1 IS NULL THEN 'missing_speaker_1' WHEN path_2 IS NULL THEN 'missing_speaker_2' END AS reason FROM picked""",
+    "folders": """
+        SELECT language, conversation, path_1, path_2, reason, CASE language WHEN 'english' THEN 'en' WHEN 'hindi' THEN 'hi' ELSE 'pa' END AS code,
+               CASE WHEN reason IS NULL THEN printf('conversation_%04d', row_number() OVER (PARTITION BY language ORDER BY reason IS NOT NULL, split_part(conversation, ' ', 2)::BIGINT, conversation)) END AS conversation_id FROM reasoned""",
     "attribution": """
         SELECT session_id, count(*) AS n, count(*) FILTER (r_speaker = speaker) AS same_speaker, avg(CASE WHEN r_speaker = speaker THEN 1.0 ELSE 0.0 END::DOUBLE) AS speaker_accuracy,
                sum(greatest(0, 2000 - abs(rs_ms - s_ms) - abs(re_ms - e_ms))) / (count(*) * 2000)::DOUBLE AS timestamp_accuracy FROM reviews GROUP BY session_id""",
@@ -370,6 +384,45 @@ SQL = {
                CASE stage WHEN 'approved' THEN '' WHEN 'reviewed' THEN 'manual_approval_withheld' ELSE array_to_string(why, ';') END AS delivery_reason FROM final""",
     "manifest_upsert": "SELECT session_id, 'review_required' AS stage FROM (SELECT DISTINCT session_id FROM turns) WHERE session_id % 3 <> 0 AND session_id % 2 <> 0 UNION ALL SELECT session_id, stage FROM final WHERE session_id % 2 = 0",
     "status_sync": "SELECT session_id, stage, CASE WHEN stage IN ('approved', 'rejected') THEN stage ELSE 'review_required' END AS manifest FROM final",
+    "routing_difficulty": f"""
+        SELECT session_id, rc AS recording_condition, nl AS noise_level, sd AS switch_density,
+               floor(round(least(1.0::DOUBLE, CASE WHEN rc = 'outdoor' THEN 0.2 ELSE 0.0 END::DOUBLE + CASE nl WHEN 'moderate' THEN 0.08 WHEN 'high' THEN 0.18 ELSE 0.0 END::DOUBLE + greatest(0.0, 0.6::DOUBLE - mq) * 0.8::DOUBLE + least(0.25::DOUBLE, lr * 0.35::DOUBLE)
+                 + least(0.2::DOUBLE, greatest(0.0, 0.75::DOUBLE - wt) * 0.4::DOUBLE) + least(0.2::DOUBLE, sd * 0.3::DOUBLE) + least(0.12::DOUBLE, ov / 10.0::DOUBLE) + CASE WHEN urgent THEN 0.1 ELSE 0.0 END::DOUBLE), 4) * 1000)::BIGINT AS difficulty_milli,
+               {_joined(("rc = 'outdoor'", "outdoor_audio"), ("nl = 'high'", "high_noise"), ("mq < 0.58", "low_local_confidence"), ("lr > 0.3", "many_low_quality_segments"), ("wt < 0.65", "unstable_timestamps"), ("sd >= 0.45", "dense_code_switching"), ("ov > 0.75", "heavy_overlap"), ("urgent", "high_review_priority"))} AS reasons
+        FROM (SELECT *, ['outdoor', 'indoor', 'unknown'][session_id % 3 + 1] AS rc, CASE WHEN session_id % 25 >= 20 THEN 'low' WHEN session_id % 25 >= 12 THEN 'moderate' WHEN session_id % 25 > 0 THEN 'high' ELSE 'unknown' END AS nl,
+                least(1.0::DOUBLE, greatest(session_id % 7 / 10.0::DOUBLE, least(1.0::DOUBLE, session_id % 11 / 2.0::DOUBLE / 10.0::DOUBLE), least(1.0::DOUBLE, session_id % 5 / 8.0::DOUBLE), CASE WHEN session_id % 4 = 0 THEN 0.45 ELSE 0.0 END::DOUBLE)) AS sd,
+                session_id % 9 / 4.0::DOUBLE AS ov, session_id % 6 = 0 AS urgent
+              FROM (SELECT session_id, avg(quality_score) AS mq, avg(CASE WHEN quality_score < 0.45 THEN 1.0 ELSE 0.0 END::DOUBLE) AS lr, sum(n_words) / greatest(sum(greatest(n_words, 1)), 1)::DOUBLE AS wt FROM segments WHERE length(trim(text)) > 0 GROUP BY session_id))""",
+    "review_priority": f"""
+        SELECT session_id, p AS priority_score, CASE WHEN p >= 0.75 THEN 'high' WHEN p >= 0.45 THEN 'medium' ELSE 'normal' END AS priority_level,
+               array_to_string((SELECT list(x ORDER BY i) FROM (SELECT x, min(i) AS i FROM (SELECT unnest(why) AS x, generate_subscripts(why, 1) AS i) GROUP BY x)), ',') AS priority_reasons
+        FROM (SELECT *, round(least(1.0::DOUBLE, CASE WHEN k % 4 = 0 THEN 0.2 ELSE 0 END::DOUBLE + CASE WHEN consensus_score < 0.9 THEN 0.8 WHEN consensus_score < 0.95 THEN 0.45 ELSE 0 END::DOUBLE + CASE WHEN ts < 0.98 THEN 0.2 ELSE 0 END::DOUBLE + CASE WHEN ts IS NOT NULL AND k % 5 = 0 THEN 0.4 ELSE 0 END::DOUBLE
+                 + CASE WHEN k % 3 > 0 THEN 0.15 ELSE 0 END::DOUBLE + CASE WHEN cs THEN 0.3 ELSE 0 END::DOUBLE + CASE WHEN cs AND coalesce(cs_conf, 0) < 0.99 THEN 0.2 ELSE 0 END::DOUBLE + CASE WHEN spk < 0.99 THEN 0.2 ELSE 0 END::DOUBLE + CASE WHEN word < 0.97 THEN 0.8 WHEN word < 0.99 THEN 0.35 ELSE 0 END::DOUBLE
+                 + CASE WHEN k % 6 = 0 THEN 0.16 ELSE 0 END::DOUBLE + CASE WHEN k % 7 = 0 THEN 0.12 ELSE 0 END::DOUBLE), 4) AS p,
+               list_concat(list_concat(string_split({_joined(("k % 4 = 0", "outdoor_audio"), ("consensus_score < 0.95", "low_consensus_score"), ("ts < 0.98", "low_timestamp_confidence"), ("ts IS NOT NULL AND k % 5 = 0", "synthetic_word_timestamps"), ("ts IS NOT NULL AND k % 5 = 0", "low_timing_quality"), ("k % 3 > 0", "multi_engine_disagreement"), ("cs", "code_switch_detected"), ("cs AND coalesce(cs_conf, 0) < 0.99", "low_code_switch_confidence"), ("spk < 0.99", "low_speaker_attribution_confidence"), ("word < 0.99", "estimated_word_accuracy_below_target"))}, ','), reasons),
+                 list_filter([CASE WHEN k % 6 = 0 THEN 'timestamp_region_disagreement' END, CASE WHEN k % 7 = 0 THEN 'transcript_disagreement' END], lambda x: x IS NOT NULL)) AS why FROM gate)""",
+    "validation_issues": f"""
+        SELECT session_id, codes, CASE WHEN codes = '' THEN 0 ELSE len(string_split(codes, ',')) END::INTEGER AS issue_count, k % 23 <> 0 AND sc > 0 AS passed FROM (SELECT *, {_joined(("k % 23 = 0", "audio_quality_error"), ("k % 6 = 0", "audio_quality_warning,audio_quality_warning"), ("sc = 0", "empty_transcript"), ("sc > 0 AND lr > 0.35", "low_transcript_quality"), ("k % 4 = 0", "no_speech_segments"), ("tc = 0", "no_speaker_turns"), ("tc > 0 AND k % 4 < 2", "too_few_speech_segments"), ("k % 30 >= 10", "excessive_clipping"), ("k % 5 = 0", "diarisation_fallback"), ("k % 3 <> 0 AND k % 2 <> 0", "alignment_not_applied"), ("k % 3 <> 0 AND k % 100 < 35", "low_alignment_confidence"), ("k % 3 <> 0 AND k % 90 > 60", "speaker_duration_mismatch"), ("k % 20 > 8", "mono_mix_clipping"), ("k % 5 >= 2 AND k % 3 = 0", "missing_expected_overlap"), ("dur >= 60000 AND tc < 3", "suspiciously_low_turn_count"))} AS codes
+          FROM (SELECT session_id, session_id AS k, count(*) AS tc, max(e_ms) AS dur, count(*) FILTER (length(trim(text)) > 0) AS sc, coalesce(avg(CASE WHEN quality_score < 0.35 THEN 1.0 ELSE 0.0 END::DOUBLE) FILTER (length(trim(text)) > 0), 1.0) AS lr FROM segments GROUP BY session_id))""",
+    "speaker_file_selection": "SELECT * FROM folders",
+    "conversation_folders_report": "SELECT language, code, count(*) FILTER (reason IS NULL) AS valid, count(reason) AS skipped FROM folders GROUP BY ALL",
+    "user_metadata_precedence": """
+        SELECT session_id, speaker, CASE WHEN session_id % 5 = 2 THEN 'travel' ELSE 'sales' END AS domain, CASE WHEN speaker = 'SPEAKER_01' THEN 'f' ELSE 'x' END AS gender, NULL::VARCHAR AS age, CASE WHEN session_id % 5 = 2 THEN 'northern' END AS accent FROM (SELECT DISTINCT session_id, speaker FROM turns)""",
+    "wrapped_fields": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 100 < 50 THEN 'uncertain' ELSE trim(o_orderpriority) END AS inferred, (o_orderkey % 100) / 100.0::DOUBLE AS confidence, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus ELSE trim(o_orderpriority) END AS known, CASE WHEN o_orderkey % 3 = 0 THEN 'user_provided' ELSE 'inferred' END AS source FROM orders""",
+    "flatten_record": f"""
+        SELECT a.session_id, '3.0.0' AS schema_version, raw AS transcript_raw, a.n AS interaction_total_turns, coalesce(o.ms, 0)::BIGINT AS interaction_overlap_ms, l.dominant_language AS language_dominant_language, l.switch_count AS language_switch_count
+        FROM (SELECT session_id, count(*) AS n, string_agg(trim(text), ' ' ORDER BY idx) FILTER (length(trim(text)) > 0) AS raw FROM segments GROUP BY session_id) a
+        LEFT JOIN (SELECT session_id, sum(dur_ms) AS ms FROM crossings WHERE dur_ms >= 50 GROUP BY session_id) o ON a.session_id = o.session_id JOIN ({_report("session_id")}) l ON a.session_id = l.session_id""",
+    "kaldi_lines": r"""
+        SELECT session_id::VARCHAR AS recording_id, f.file AS file, f.line AS line FROM (SELECT session_id, unnest([{'file': 'segments', 'line': u || ' ' || session_id || ' ' || s || ' ' || e}, {'file': 'text', 'line': CASE WHEN t <> '' THEN u || ' ' || t END}, {'file': 'utt2spk', 'line': u || ' ' || speaker}, {'file': 'utt2dur', 'line': u || ' ' || d}, {'file': 'utt2lang', 'line': u || ' ' || language}]) AS f FROM utt) WHERE f.line IS NOT NULL
+        UNION ALL SELECT session_id::VARCHAR, 'spk2utt', speaker || ' ' || string_agg(u, ' ' ORDER BY u) FROM utt GROUP BY session_id, speaker
+        UNION ALL SELECT DISTINCT session_id::VARCHAR, 'wav.scp', session_id || ' ' FROM utt
+        UNION ALL SELECT session_id::VARCHAR, 'rttm', 'SPEAKER ' || session_id || ' 1 ' || s || ' ' || d || ' <NA> <NA> ' || speaker || ' <NA> <NA>' FROM utt""",
+    "ctm_lines": "SELECT session_id::VARCHAR AS recording_id, 'ctm' AS file, session_id || ' 1 ' || printf('%d.%03d', ws_ms // 1000, ws_ms % 1000) || ' ' || printf('%d.%03d', (we_ms - ws_ms) // 1000, (we_ms - ws_ms) % 1000) || ' ' || word || ' 1.000' AS line FROM words WHERE word <> ''",
+    "csv_manifest": "SELECT speaker || '-' || session_id || '-' || lpad(idx::VARCHAR, 4, '0') AS utt_id, session_id::VARCHAR AS recording_id, s_ms / 1000.0::DOUBLE AS start, e_ms / 1000.0::DOUBLE AS end, (e_ms - s_ms) / 1000.0::DOUBLE AS duration, speaker AS speaker_id, language, text, snr_db, NULL::VARCHAR AS quality_tier FROM segments",
+    "dataset_card": "SELECT session_id, string_agg(DISTINCT language, ',' ORDER BY language) AS languages, count(*) AS rows FROM segments GROUP BY session_id",
+    "vendor_segments": "SELECT session_id * 100 + idx AS session_id, array_to_string(w, ' ') AS text, 0.5::DOUBLE AS start, 0.5::DOUBLE AS end, len(w)::INTEGER AS n_words FROM (SELECT *, list_filter(list_transform(string_split(text, ' '), lambda x: trim(x)), lambda x: x <> '') AS w FROM turns) WHERE len(w) > 0",
     "rollup_revenue": "SELECT r_name, n_name, sum(l_quantity) AS quantity, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)",
     "asof_latest_order": "SELECT o_custkey, o_orderkey, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS previous FROM orders",
     "session_window_counts": """

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from . import lexicons as lex
 from .functions import text as T
-from .operators import consensus, gates, interaction, intervals, language, monologue, overlap, quality, review, speakers
+from .operators import consensus, diarisation, gates, interaction, intervals, language, monologue, overlap, quality, review, speakers
+from .plans import engine, exports, record
+from .sources import listing, transcripts
 from .sources import relations as R
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -559,6 +561,112 @@ def status_sync(spark: SparkSession, d: str) -> DataFrame:
     return review.sync_status(old, _finalised(spark, d).select("session_id", "stage"))
 
 
+# ---- sources, records, exports ----------------------------------------------------------------------------------
+
+
+def _listing(spark: SparkSession, d: str) -> DataFrame:
+    """Pages as a made-up tree of recordings: language/conversation/speaker/file."""
+    k = F.col("page_id")
+    lang = F.element_at(F.array(*map(F.lit, ("English", "hindi", "punjabi", "other"))), (k % 4 + 1).cast("int"))
+    who = F.element_at(F.array(*map(F.lit, ("Speaker 1", "speaker-2", "spk_1", "misc", "SPK 02"))), (k % 5 + 1).cast("int"))
+    name = F.element_at(F.array(*map(F.lit, ("audio.wav", "s1.wav", "take.mp3", "Speaker_2.wav"))), ((k / 5).cast("long") % 4 + 1).cast("int"))
+    rel = F.concat_ws("/", lang, F.concat(F.lit("conv "), ((k / 7).cast("long") % 40).cast("string")), who, name)
+    return R.table(spark, d, "pages").select(rel.alias("rel"), F.concat(F.lit("/in/"), rel, F.lit("#"), k.cast("string")).alias("path"), (k * 13 % 997).alias("size"), (k * 7 % 31 / 2.0).alias("duration_s"))
+
+
+@query
+def speaker_file_selection(spark: SparkSession, d: str) -> DataFrame:
+    return listing.conversations(_listing(spark, d))
+
+
+@query
+def conversation_folders_report(spark: SparkSession, d: str) -> DataFrame:
+    return listing.conversation_report(listing.conversations(_listing(spark, d))).drop("skips")
+
+
+@query
+def user_metadata_precedence(spark: SparkSession, d: str) -> DataFrame:
+    s = R.turns(spark, d).select("session_id", "speaker").distinct().withColumn("label", F.concat(F.lit("voice "), (F.col("session_id") % 5).cast("string")))
+    m = spark.createDataFrame([("*", {"domain": "sales", "gender": "x", "age": " "}), ("SPEAKER_01", {"gender": " f "}), ("voice 2", {"domain": "travel", "accent": "northern"})], "scope string, values map<string,string>")
+    got = transcripts.user_metadata(s, m)
+    return got.select("session_id", "speaker", *(F.col("provided")[k].alias(k) for k in ("domain", "gender", "age", "accent")))
+
+
+@query
+def wrapped_fields(spark: SparkSession, d: str) -> DataFrame:
+    o = R.table(spark, d, "orders")
+    x = record.inferred(F.when(F.col("o_orderkey") % 5 == 0, " ").otherwise(F.col("o_orderpriority")), (F.col("o_orderkey") % 100) / 100.0)
+    y = record.known_or_inferred(F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus")), F.col("o_orderpriority"), F.lit(0.9))
+    return o.select("o_orderkey", x["value"].alias("inferred"), x["confidence"].alias("confidence"), y["value"].alias("known"), y["source"].alias("source"))
+
+
+@query
+def flatten_record(spark: SparkSession, d: str) -> DataFrame:
+    r = record.assemble(quality.tier(_scored(spark, d)).withColumn("punct_skipped", F.lit(None).cast("string")), interaction=interaction.report(R.turns(spark, d)), language=language.report(R.segments(spark, d)))
+    flat = record.flatten(record.gate(r)[0])
+    return flat.select("session_id", "schema_version", "transcript_raw", "interaction_total_turns", "interaction_overlap_ms", "language_dominant_language", "language_switch_count")
+
+
+@query
+def kaldi_lines(spark: SparkSession, d: str) -> DataFrame:
+    return exports.kaldi(R.segments(spark, d)).union(exports.rttm(R.turns(spark, d)))
+
+
+@query
+def ctm_lines(spark: SparkSession, d: str) -> DataFrame:
+    return exports.ctm(R.words(spark, d))
+
+
+@query
+def csv_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return exports.manifest(R.segments(spark, d)).select("utt_id", "recording_id", "start", "end", "duration", "speaker_id", "language", "text", "snr_db", "quality_tier")
+
+
+@query
+def dataset_card(spark: SparkSession, d: str) -> DataFrame:
+    c = exports.card(quality.tier(_scored(spark, d)))
+    return c.select("session_id", joined("languages"), "rows")
+
+
+@query
+def vendor_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Turns as a vendor's stored responses, read back as segments."""
+    w = F.transform(F.split("text", " "), lambda x: F.struct(x.alias("word"), F.lit(0.5).alias("start"), F.lit(0.9).alias("confidence")))
+    r = R.turns(spark, d).select((F.col("session_id") * 100 + F.col("idx")).alias("session_id"), F.lit("deepgram").alias("engine"), F.to_json(F.struct(w.alias("words"))).alias("response"))
+    return transcripts.vendor_segments(r).select("session_id", "text", "start", "end", F.size("words").alias("n_words"))
+
+
+@query
+def silhouette_cluster(spark: SparkSession, d: str) -> DataFrame:
+    e = R.table(spark, d, "embeddings").where("embedding is not null and label is not null")
+    windows = e.select(((F.col("label") * 1000) + F.floor(F.col("vec_id") / 100)).cast("long").alias("session_id"), (F.col("vec_id") * 750).cast("double").alias("s_ms"), (F.col("vec_id") * 750 + 1500).cast("double").alias("e_ms"), F.col("embedding").cast("array<double>").alias("embedding"))
+    return diarisation.cluster_windows(windows)
+
+
+@query
+def settled_turns(spark: SparkSession, d: str) -> DataFrame:
+    w = R.turns(spark, d).select("session_id", "s_ms", "e_ms", "speaker", F.lit(1.0).alias("confidence"))
+    return diarisation.fold_turns(w)
+
+
+@query
+def finalise_run(spark: SparkSession, d: str) -> DataFrame:
+    """The whole review job: reviews against what the recogniser had."""
+    reviewed, original = _reviewed(spark, d)
+    k = F.col("session_id")
+    second = F.struct((k % 4 == 0).alias("required"), (k % 8 == 0).alias("completed"), F.lit("r2").alias("reviewer_id"), F.lit(0.1).alias("sample_rate"), F.lit(0.9).alias("agreement_score"))
+    s = reviewed.select("session_id").distinct().withColumns({"status": F.when(k % 7 != 0, "completed").otherwise("pending"), "reviewer_id": F.lit("r1"), "given_reviewer": F.when(k % 10 != 0, "r1").otherwise("r9"), "validation_passed": k % 9 != 0, "approve": k % 3 != 0, "second_pass": second})
+    f = engine.finalise(reviewed, original, s)
+    return f.select("session_id", "completed", "passed", "stage", "review_status", "delivery_confidence", joined("verify_reasons"))
+
+
+@query
+def session_records(spark: SparkSession, d: str) -> DataFrame:
+    """The whole processing job, as one record a session (reports as JSON)."""
+    r = engine.run(R.turns(spark, d), R.segments(spark, d), R.words(spark, d))
+    return r.select("session_id", "stage", F.size("transcript.segments").alias("n_segments"), "interaction.total_turns", "validation.issue_count", F.sha2(F.to_json("transcript"), 256).alias("transcript_sha256"))
+
+
 # ---- relational operations on the star schema -------------------------------------------------------------------
 
 
