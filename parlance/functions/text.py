@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -18,6 +19,11 @@ SCRIPTS = ("Bengali", "Devanagari", "Gurmukhi", "Latin", "Tamil", "Telugu")
 DIGITS = ("०१२३४५६७८९੦੧੨੩੪੫੬੭੮੯", "01234567890123456789")
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with value computed once, however often f names it: a column named in several branches is computed in each."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def tokens(text: Column) -> Column:
     """Lower-cased runs of letters, digits, underscores and apostrophes; combining marks part words."""
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), 0)
@@ -65,14 +71,14 @@ def scripts(text: Column) -> Column:
 def script_tag(text: Column) -> Column:
     """Deva, Guru, Latn, mixed or unknown."""
     found = F.array_compact(F.array(*(F.when(_has(text, s), F.lit(t)) for s, t in (("Devanagari", "Deva"), ("Gurmukhi", "Guru"), ("Latin", "Latn")))))
-    return F.when(F.size(found) > 1, "mixed").otherwise(F.coalesce(F.get(found, F.lit(0)), F.lit("unknown")))
+    return once(found, lambda f: F.when(F.size(f) > 1, "mixed").otherwise(F.coalesce(F.get(f, F.lit(0)), F.lit("unknown"))))
 
 
 def major_script(text: Column) -> Column:
     """The script of most letters; of equals Deva, then Guru, then Latn."""
     count = lambda s: F.length(F.regexp_replace(text, rf"[^\p{{Is{s}}}]", ""))
-    d, g, n = count("Devanagari"), count("Gurmukhi"), count("Latin")
-    return F.when(F.greatest(d, g, n) == 0, "unknown").when((d >= g) & (d >= n), "Deva").when(g >= n, "Guru").otherwise("Latn")
+    counts = F.struct(count("Devanagari").alias("d"), count("Gurmukhi").alias("g"), count("Latin").alias("n"))
+    return once(counts, lambda c: F.when(F.greatest(c["d"], c["g"], c["n"]) == 0, "unknown").when((c["d"] >= c["g"]) & (c["d"] >= c["n"]), "Deva").when(c["g"] >= c["n"], "Guru").otherwise("Latn"))
 
 
 def ratio_of(words: Column, table: tuple[str, ...]) -> Column:
@@ -113,7 +119,7 @@ def sequence_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def bag_overlap(a: Column, b: Column) -> Column:
-    """Words in common, with their number, against the longer list."""
+    """Words in common, with their number, against the longer list. For short lists: its time is their product; consensus.bags() joins counts instead."""
     distinct = F.array_distinct(a)
     times = lambda words, w: F.size(F.filter(words, lambda x: x == w))
     shared = F.aggregate(distinct, F.lit(0), lambda s, w: s + F.least(times(a, w), times(b, w)))

@@ -98,6 +98,19 @@ def pairs(df: DataFrame) -> DataFrame:
     return a.join(b, "session_id").where("engine <> peer")
 
 
+def bags(words: DataFrame) -> DataFrame:
+    """Per pair of engines: words in common, with their number, against the longer list (two empty ones: 1); a join of word counts, linear in the words.
+
+    words: session_id, engine, words.
+    """
+    n = words.select("session_id", "engine", F.explode("words").alias("w")).groupBy("session_id", "engine", "w").agg(F.count(F.lit(1)).alias("n"))
+    both = n.join(n.select("session_id", F.col("engine").alias("peer"), "w", F.col("n").alias("m")), ["session_id", "w"]).where("engine <> peer")
+    shared = both.groupBy("session_id", "engine", "peer").agg(F.sum(F.least("n", "m")).alias("shared"))
+    p = pairs(words.select("session_id", "engine", F.size("words").alias("len"))).join(shared, ["session_id", "engine", "peer"], "left")
+    longer = F.greatest("a.len", "b.len")
+    return p.select("session_id", "engine", "peer", F.when(longer == 0, 1.0).otherwise(F.coalesce("shared", F.lit(0)) / F.greatest(longer, F.lit(1))).alias("bag"))
+
+
 def timing(candidates: DataFrame) -> DataFrame:
     """Per pair of engines: agreement of the times of segments at one place, and of their number; needs segments with text."""
     w = W.partitionBy("session_id", "engine").orderBy("idx")
@@ -133,7 +146,9 @@ def scores(candidates: DataFrame, signals: DataFrame, condition: str = "unknown"
 
     signals: session_id, engine, conf, word_conf, ts_conf (0 to 1), switch_count, switching_score, langs, patterns.
     """
-    word = pairs(texts(candidates)).withColumn("token", F.round(T.sequence_similarity("a.words", "b.words") * 0.65 + T.bag_overlap(F.col("a.words"), F.col("b.words")) * 0.35, 4))
+    t = texts(candidates)
+    word = pairs(t).select("session_id", "engine", "peer", T.sequence_similarity("a.words", "b.words").alias("seq")).join(bags(t), ["session_id", "engine", "peer"])
+    word = word.withColumn("token", F.round(F.col("seq") * 0.65 + F.col("bag") * 0.35, 4))
     switch = pairs(signals).select("session_id", "engine", "peer", F.round(switch_agreement("a", "b"), 4).alias("switch"), (F.size("b.langs") >= 2).alias("multi"))
     both = word.select("session_id", "engine", "peer", "token").join(timing(candidates), ["session_id", "engine", "peer"], "left").join(switch, ["session_id", "engine", "peer"])
     peer = F.struct("token", F.round(F.coalesce("timing", F.lit(0.0)), 4).alias("timing"), F.coalesce("count_score", F.lit(0.0)).alias("count_score"), "switch")

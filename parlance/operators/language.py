@@ -18,12 +18,16 @@ def lexicon_probe(words: Column, legacy: bool = False) -> Column:
     """
     hindi = (*lex.ROMAN_HINDI, *(lex.LEGACY_COLLISIONS["hi"] if legacy else ()))
     punjabi = (*lex.ROMAN_PUNJABI, *(lex.LEGACY_COLLISIONS["pa"] if legacy else ()))
-    n = [T.ratio_of(words, table) for table in (lex.ROMAN_MARWADI, punjabi, hindi)]
-    best = F.greatest(*n)
-    lang = F.when(n[0] == best, "mwr-Latn").when(n[1] == best, "pa-Latn").otherwise("hi-Latn")
-    ratio = best / F.greatest(F.size(words), F.lit(1))
-    found = (best >= 2) & (ratio >= 0.05)
-    return F.struct(F.when(found, lang).alias("lang"), best.alias("hits"), F.when(found, F.least(F.lit(1.0), ratio * 4.0)).otherwise(0.0).alias("strength"))
+    counts = F.struct(*(T.ratio_of(words, table).alias(k) for k, table in (("m", lex.ROMAN_MARWADI), ("p", punjabi), ("h", hindi))), F.greatest(F.size(words), F.lit(1)).alias("size"))
+
+    def judge(c: Column) -> Column:
+        best = F.greatest(c["m"], c["p"], c["h"])
+        lang = F.when(c["m"] == best, "mwr-Latn").when(c["p"] == best, "pa-Latn").otherwise("hi-Latn")
+        ratio = best / c["size"]
+        found = (best >= 2) & (ratio >= 0.05)
+        return F.struct(F.when(found, lang).alias("lang"), best.alias("hits"), F.when(found, F.least(F.lit(1.0), ratio * 4.0)).otherwise(0.0).alias("strength"))
+
+    return T.once(counts, judge)
 
 
 def marwadi_devanagari(text: Column, words: Column) -> Column:
@@ -34,36 +38,32 @@ def marwadi_devanagari(text: Column, words: Column) -> Column:
 
 def segment_language(text: Column, ml_lang: Column | None = None, ml_score: Column | None = None, legacy: bool = False) -> Column:
     """Struct lang, confidence: script first, then a trusted classifier, then the lexicon, English last."""
-    words = T.tokens(text)
-    marwadi = marwadi_devanagari(text, words)
-    probe = lexicon_probe(words, legacy)
     ml_lang = F.lit(None).cast("string") if ml_lang is None else ml_lang
     ml_score = F.lit(0.0) if ml_score is None else ml_score
     pair = lambda lang, score: F.struct(lang.alias("lang"), score.cast("double").alias("confidence"))
+    mwr = T.once(T.tokens(text), lambda w: marwadi_devanagari(text, w))
+    deva = T.once(mwr, lambda m: F.when(m >= 0.25, pair(F.lit("mwr"), F.greatest(F.lit(0.7), m))).otherwise(pair(F.lit("hi"), F.lit(0.9))))
+    probe = T.once(T.once(T.tokens(text), lambda w: lexicon_probe(w, legacy)), lambda p: F.when(p["strength"] > 0.1, pair(p["lang"], 0.55 + 0.3 * p["strength"])).otherwise(pair(F.lit("en"), F.lit(0.6))))
     return (
-        F.when(text.rlike(r"\p{IsDevanagari}") & (marwadi >= 0.25), pair(F.lit("mwr"), F.greatest(F.lit(0.7), marwadi)))
-        .when(text.rlike(r"\p{IsDevanagari}"), pair(F.lit("hi"), F.lit(0.9)))
+        F.when(text.rlike(r"\p{IsDevanagari}"), deva)
         .when(text.rlike(r"\p{IsGurmukhi}"), pair(F.lit("pa"), F.lit(0.9)))
         .when(ml_lang.isNotNull() & (ml_score >= 0.55), pair(ml_lang, ml_score))
-        .when(probe["strength"] > 0.1, pair(probe["lang"], 0.55 + 0.3 * probe["strength"]))
-        .otherwise(pair(F.lit("en"), F.lit(0.6)))
+        .otherwise(probe)
     )
 
 
 def word_language(word: Column, segment_lang: Column) -> Column:
     """Struct lang, confidence of one word: script, then Hindi, Punjabi and Marwadi words, then English, else the segment's."""
-    token = F.regexp_replace(F.lower(F.coalesce(word, F.lit(""))), r"[^\p{L}\p{N}']", "")
-    script = T.script_tag(token)
     pair = lambda lang, score: F.struct(F.lit(lang).alias("lang"), F.lit(score).alias("confidence"))
-    return (
-        F.when(script == "Deva", pair("hi", 0.9))
-        .when(script == "Guru", pair("pa", 0.9))
-        .when(token.isin(*lex.ROMAN_HINDI), pair("hi-Latn", 0.78))
-        .when(token.isin(*lex.ROMAN_PUNJABI), pair("pa-Latn", 0.76))
-        .when(token.isin(*lex.ROMAN_MARWADI), pair("mwr-Latn", 0.76))
-        .when(script == "Latn", pair("en", 0.68))
-        .otherwise(F.struct(F.coalesce(segment_lang, F.lit("und")).alias("lang"), F.lit(0.5).alias("confidence")))
-    )
+    clean = F.regexp_replace(F.lower(F.coalesce(word, F.lit(""))), r"[^\p{L}\p{N}']", "")
+    fallback = F.struct(F.coalesce(segment_lang, F.lit("und")).alias("lang"), F.lit(0.5).alias("confidence"))
+
+    def judge(t: Column) -> Column:
+        listed = F.when(t["w"].isin(*lex.ROMAN_HINDI), pair("hi-Latn", 0.78)).when(t["w"].isin(*lex.ROMAN_PUNJABI), pair("pa-Latn", 0.76)).when(t["w"].isin(*lex.ROMAN_MARWADI), pair("mwr-Latn", 0.76))
+        written = F.when(t["s"] == "Deva", pair("hi", 0.9)).when(t["s"] == "Guru", pair("pa", 0.9))
+        return F.coalesce(written, listed, F.when(t["s"] == "Latn", pair("en", 0.68)), fallback)
+
+    return T.once(T.once(clean, lambda w: F.struct(w.alias("w"), T.script_tag(w).alias("s"))), judge)
 
 
 def base(lang: Column) -> Column:

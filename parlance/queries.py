@@ -373,8 +373,7 @@ def routing_difficulty(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def candidate_bag_overlap(spark: SparkSession, d: str) -> DataFrame:
-    p = consensus.pairs(consensus.texts(R.candidates(spark, d)))
-    return p.select("session_id", "engine", "peer", T.bag_overlap(F.col("a.words"), F.col("b.words")).alias("bag"))
+    return consensus.bags(consensus.texts(R.candidates(spark, d)))
 
 
 @query
