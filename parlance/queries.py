@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from . import lexicons as lex
 from .functions import text as T
-from .operators import consensus, diarisation, gates, interaction, intervals, language, monologue, overlap, quality, review, speakers
+from .operators import classifier, consensus, diarisation, gates, interaction, intervals, language, monologue, overlap, quality, review, speakers
+from .operators import transcripts as merged
 from .plans import engine, exports, record
 from .sources import listing, transcripts
 from .sources import relations as R
@@ -414,6 +415,37 @@ def timestamp_refinement(spark: SparkSession, d: str) -> DataFrame:
     return consensus.refine(e).select("session_id", "engine", "timestamp_method", "timestamp_confidence", "synthetic", "timing_quality")
 
 
+@query
+def merged_transcript(spark: SparkSession, d: str) -> DataFrame:
+    return merged.merge_speakers(R.segments(spark, d)).select("session_id", "idx", "speaker", "s_ms")
+
+
+@query
+def transcript_header(spark: SparkSession, d: str) -> DataFrame:
+    return merged.header(R.segments(spark, d)).select("session_id", "language", "language_probability", "duration_ms", F.length("text").alias("chars"))
+
+
+@query
+def speaker_texts(spark: SparkSession, d: str) -> DataFrame:
+    return merged.speaker_texts(R.segments(spark, d))
+
+
+@query
+def forced_alignment(spark: SparkSession, d: str) -> DataFrame:
+    """Every second segment by an aligner, 100 ms later."""
+    s = R.segments(spark, d)
+    a = s.where("idx % 2 = 0").select("session_id", F.col("idx").cast("int").alias("place"), (F.col("s_ms") + 100).alias("a_s_ms"), (F.col("e_ms") + 100).alias("a_e_ms"))
+    return merged.forced_alignment(s, a).select("session_id", "idx", "s_ms", "e_ms", "aligned")
+
+
+@query
+def text_classifier(spark: SparkSession, d: str) -> DataFrame:
+    """A classifier of the benchmark's languages by their documents: fitted on documents with an even number, applied to all."""
+    docs = R.table(spark, d, "documents").where("lang is not null and text is not null")
+    sample = docs.where("doc_id % 2 = 0").orderBy(F.xxhash64("doc_id")).limit(300).select(F.col("lang").alias("label"), "text")
+    return classifier.predict(docs.select("doc_id", "text"), classifier.train(sample)).select("doc_id", "lang", F.round("score", 6).alias("score"))
+
+
 # ---- gates ------------------------------------------------------------------------------------------------------
 
 
