@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grouped
+from .common import grouped, task
 
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 #: Characters above which a text is halved, and the widest leaf.
@@ -189,7 +189,7 @@ def _halved(docs: DataFrame, leaf: int) -> DataFrame:
                 pieces = [text[a:b] for a, b in leaves(len(text), leaf)]
                 yield pa.RecordBatch.from_pydict({"k": [key] * len(pieces), "no": range(len(pieces)), "piece": pieces}, pa.schema([("k", pa.string()), ("no", pa.int32()), ("piece", pa.string())]))
 
-    return docs.mapInArrow(cut, "k string, no int, piece string")
+    return docs.mapInArrow(task(cut), "k string, no int, piece string")
 
 
 def _split(docs: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
@@ -246,9 +246,9 @@ def _encoded(docs: DataFrame, path: str, leaf: int, digest: bool) -> DataFrame:
     # A long text's leaves meet again under its row's own number, so repeated rows with one doc_id stay apart.
     keyed = long.select(F.concat_ws(":", F.col("doc_id").cast("string"), F.monotonically_increasing_id()).alias("k"), "text")
     cut = _halved(keyed, leaf)
-    coded = cut.repartition("k", "no").mapInArrow(leaf_rows, "k string, no int, head string, middle array<int>, tail string")
+    coded = cut.repartition("k", "no").mapInArrow(task(leaf_rows), "k string, no int, head string, middle array<int>, tail string")
     whole = grouped(coded, "k", ["no"], joined, schema)
-    return short.mapInArrow(short_rows, schema).union(whole)
+    return short.mapInArrow(task(short_rows), schema).union(whole)
 
 
 def _digest(tokenizer, keys: list[int], ids: list) -> pa.RecordBatch:
@@ -279,4 +279,4 @@ def decode(encoded: DataFrame, tokenizer_path: str = TOKENIZER) -> DataFrame:
             texts = [tokenizer.decode(i or [], skip_special_tokens=False) for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(task(run), "doc_id long, text string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts are handled in slices of about this many bytes, cut between texts.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 _RNG = np.random.default_rng(20_240_601)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -25,17 +26,28 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-#: Rows and bytes of a batch between the JVM and Python: whole texts are long, and several batches are held at once.
-BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
+#: Bytes of a batch between the JVM and Python: whole texts are long, and both sides hold several batches at once.
+BATCH_BYTES = 4 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batch limits to ours where they are higher."""
-    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
-        key = f"spark.sql.execution.arrow.{key}"
-        now = int(spark.conf.get(key).lower().rstrip("b"))
-        if now <= 0 or now > most:
-            spark.conf.set(key, str(most))
+    """Lower the session's limit of an Arrow batch's bytes to ours where it is higher."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).lower().rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def task(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """fn for mapInArrow; at a task's end its worker, which is kept for later tasks, gives free memory back to the system."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,7 +105,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def prefix(symbols: np.ndarray) -> np.ndarray:
     """Prefix sums of value(symbol) * R**position, from which any substring hash follows in O(1)."""
-    values = _BYTE[symbols] if symbols.dtype == np.uint8 else mix(symbols.astype(np.uint64) + np.uint64(0x51ED27))
+    values = _BYTE[symbols] if symbols.dtype == np.uint8 else (symbols.astype(np.uint64) + np.uint64(0x51ED27)) * np.uint64(0xD1342543DE82EF95)
     out = np.zeros(len(symbols) + 1, np.uint64)
     np.cumsum(values * powers(len(symbols))[0][: len(symbols)], out=out[1:])
     return out
@@ -212,7 +224,7 @@ def grouped(df: DataFrame, key: str, order: list[str], fn: Callable[[pa.Table],
             yield from pa.Table.from_batches(ready).combine_chunks().to_batches()
 
     n = partitions(df.sparkSession)
-    return df.repartition(n, key).sortWithinPartitions(key, *order).mapInArrow(run, schema)
+    return df.repartition(n, key).sortWithinPartitions(key, *order).mapInArrow(task(run), schema)
 
 
 def documents(docs: DataFrame) -> DataFrame:
@@ -258,4 +270,4 @@ def with_columns(df: DataFrame, columns: list[str], fn: Callable[[pa.RecordBatch
                 part = batch.slice(k, 1024)
                 yield pa.RecordBatch.from_arrays([*part.columns, *fn(part)], names)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(task(run), schema)

@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import materialise, partitions
+from .common import materialise, partitions, task
 
 EDGE = "a long, b long"
 
@@ -60,17 +60,19 @@ def components(edges: DataFrame, dense: bool = False) -> DataFrame:
     and repeated edges are ignored; an empty table gives an empty result.
     """
     e = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    e = materialise(e.mapInArrow(_forest, EDGE).repartition(partitions(e.sparkSession), "b").mapInArrow(_forest, EDGE))
+    # Dealt by the larger end: a hub is the smaller end of its edges, so they spread over all tasks.
+    e = materialise(e.mapInArrow(task(_forest), EDGE).repartition(partitions(e.sparkSession), "a").mapInArrow(task(_forest), EDGE))
     state = None
     while True:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")).select("n", F.least("n", "m").alias("m"))
-        large = both.join(low, both.a == low.n).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.join(low, both.a == low.n).where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         low = large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"))
         small = large.join(low, large.a == low.n)
         small = small.select("a", F.col("m").alias("b")).union(small.select(F.col("b").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
-        e = materialise(small)
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        told = Observation()
+        e = materialise(small.observe(told, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")))
+        now = told.get
         if now == state:
             break
         state = now

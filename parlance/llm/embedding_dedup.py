@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import grouped, materialise, partitions
+from .common import grouped, materialise, partitions, task
 from .components import components, local_forest
 from .minhash import blocks_of, spread
 
@@ -78,7 +78,7 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, window: in
                 group = [f"{size}:{v}" if v is not None and k else None for v, k in zip(label.take(pick).to_pylist(), ok, strict=True)]
                 yield pa.RecordBatch.from_arrays([ids.take(pick), pa.array(group, pa.string()), pa.array(unit, pa.binary())], ["vec_id", "grp", "unit"])
 
-    found = materialise(rows.mapInArrow(prepare, "vec_id long, grp string, unit binary"))
+    found = materialise(rows.mapInArrow(task(prepare), "vec_id long, grp string, unit binary"))
     usable = found.where("grp is not null and unit is not null")
     # Equal vectors are one class, so a window is not filled with copies.
     classes = materialise(usable.groupBy("grp", "unit").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")))
@@ -102,7 +102,7 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, window: in
                     code = signs[:, r * SIGN_BITS : (r + 1) * SIGN_BITS] @ weigh
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, r, np.int32)), part.column("grp"), pa.array(code.astype(np.int64)), part.column("rep"), part.column("unit")], ["pass", "grp", "code", "rep", "unit"])
 
-    coded = classes.select("grp", "rep", "unit").mapInArrow(hashed, "pass int, grp string, code long, rep long, unit binary")
+    coded = classes.select("grp", "rep", "unit").mapInArrow(task(hashed), "pass int, grp string, code long, rep long, unit binary")
     edges = materialise(_windows(coded, n_tasks, threshold, window))
     joined = components(edges)
 

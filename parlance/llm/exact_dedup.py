@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffer, documents, materialise, partitions, slices
+from .common import buffer, documents, materialise, partitions, slices, task
 
 #: Bytes of a text in a splitter; texts alike up to there are told apart by their hash.
 SPLITTER_BYTES = 256
@@ -54,7 +54,7 @@ def splitters(docs: DataFrame, ranges: int) -> list[tuple[bytes, int]]:
 
     share = min(1.0, 1.2 * wanted / max(1, count))
     sample = docs.where(F.abs(F.xxhash64("doc_id", F.lit(17))) % 1_000_000 < F.lit(int(1_000_000 * share) + 1))
-    rows = sorted((bytes(x.head), x.h) for x in sample.mapInArrow(heads, "head binary, h long").limit(4 * wanted).collect())
+    rows = sorted((bytes(x.head), x.h) for x in sample.mapInArrow(task(heads), "head binary, h long").limit(4 * wanted).collect())
     return [rows[len(rows) * k // ranges] for k in range(1, ranges)] if len(rows) >= ranges else rows
 
 
@@ -113,9 +113,9 @@ def exact_dedup(docs: DataFrame, keep: str = "max") -> DataFrame:
                 last = last.copy()
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), *(batch.column(n) for n in ("sha", "ids", "best"))], ["grp", "sha", "ids", "best"])
 
-    reps = docs.where("doc_id is not null").mapInArrow(local, REP)
+    reps = docs.where("doc_id is not null").mapInArrow(task(local), REP)
     dealt = reps.repartitionById(ranges, F.col("pid")).sortWithinPartitions("head", "body").drop("head", "h", "pid")
-    found = dealt.mapInArrow(neighbours, "grp string, sha string, ids array<long>, best long")
+    found = dealt.mapInArrow(task(neighbours), "grp string, sha string, ids array<long>, best long")
     found = materialise(found.withColumn("uid", F.monotonically_increasing_id()))
     # The row that stays is told by its batch, too, in case others repeat its doc_id.
     stays = (F.max if keep == "max" else F.min)(F.struct("best", "uid")).alias("stays")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, buffer, documents, grouped, materialise, shingles, slices
+from .common import Words, buffer, documents, grouped, materialise, shingles, slices, task
 from .components import components, local_forest
 from .minhash import STAR, band_keys, bayes_pairs, blocks_of, densified, exact_pairs, sketch, spread, star_edges, star_rows
 
@@ -76,7 +76,7 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
                 size = pa.array([len(s) for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(ids[a : a + len(sets)]), pa.array(digest, pa.binary()), bands, size], ["doc_id", "cls", "bands", "size"])
 
-    found = docs.mapInArrow(features, "doc_id long, cls binary, bands array<long>, size long")
+    found = docs.mapInArrow(task(features), "doc_id long, cls binary, bands array<long>, size long")
     # Texts without n-grams are told apart by doc_id.
     key = F.when(F.length("cls") == 0, F.col("doc_id").cast("string").cast("binary")).otherwise(F.col("cls"))
     found = materialise(found.select("doc_id", key.alias("cls"), F.when(F.length("cls") > 0, F.col("bands")).alias("bands"), "size"))
@@ -87,7 +87,7 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
             keys = batch.column(1).flatten().to_numpy()
             yield star_rows(keys, np.repeat(batch.column(0).to_numpy(), BANDS))
 
-    stars = classes.where("bands is not null").select("rep", "bands").mapInArrow(bucketed, STAR)
+    stars = classes.where("bands is not null").select("rep", "bands").mapInArrow(task(bucketed), STAR)
     clusters = components(star_edges(stars))
     sized = clusters.join(classes.select("rep", "n", "cls", "size"), F.col("node") == F.col("rep"))
     blocks = sized.groupBy(F.col("component").alias("c")).agg(blocks_of(F.count(F.lit(1)), F.sum("size")).alias("blocks"))

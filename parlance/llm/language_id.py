@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_columns
+from .common import task, with_columns
 
 #: Families of closely related languages; a language that is not here is a family of its own.
 FAMILIES = {
@@ -207,7 +207,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
             langs = batch.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array([langs[k] for k in use], pa.string()), pa.array([vector(clean[k]).astype(np.float32).tobytes() for k in use], pa.binary())], ["lang", "v"])
 
-    sample = rows.where(known & drawn).select("text", "lang").mapInArrow(vectors, "lang string, v binary")
+    sample = rows.where(known & drawn).select("text", "lang").mapInArrow(task(vectors), "lang string, v binary")
     found = sample.limit(2 * per_language * len(counts)).collect()
     found.sort(key=lambda r: (r["lang"], bytes(r["v"])))
     x = np.array([np.frombuffer(r["v"], np.float32) for r in found], np.float64).reshape(-1, DIMENSIONS)
@@ -231,7 +231,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return rows.mapInArrow(task(run), "doc_id long, lang_pred string, score double")
 
 
 def identify_rows(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import lru_cache
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import mix, partitions
@@ -68,10 +68,10 @@ def stars(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def star_rows(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-    """What a batch of (key, id) sends on: a row for each key, with its hub, and a row (null key) for each edge found."""
+    """What a batch of (key, id) sends on: a row for each key with its hub (b is null), and a row for each edge found, under some key."""
     k, hub, a, b = stars(keys, ids)
-    key = pa.array(np.concatenate([k, a]), pa.int64(), mask=np.concatenate([np.zeros(len(k), bool), np.ones(len(a), bool)]))
-    return pa.RecordBatch.from_arrays([key, pa.array(np.concatenate([hub, a])), pa.array(np.concatenate([hub, b]))], ["key", "a", "b"])
+    other = pa.array(np.concatenate([hub, b]), pa.int64(), mask=np.arange(len(k) + len(b)) < len(k))
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([k, b])), pa.array(np.concatenate([hub, a])), other], ["key", "a", "b"])
 
 
 STAR = "key long, a long, b long"
@@ -81,27 +81,12 @@ def star_edges(rows: DataFrame) -> DataFrame:
     """Edges (a, b) that join the members of every band bucket, from star_rows().
 
     Each batch has sent one row for a bucket, so a bucket with a third of all rows
-    is a row for each batch here; runs of equal keys are streamed, never held.
+    is a row for each batch here; in a bucket every hub is linked to the one before it.
+    Hubs and edges go through one exchange, so that rows are made once.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, hub = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            first = np.empty(len(key), bool)
-            first[0] = last is None or key[0] != last
-            first[1:] = key[1:] != key[:-1]
-            heads = np.concatenate([[hub if hub is not None else 0], ids[first]])
-            mine = heads[np.cumsum(first)]
-            last, hub = key[-1], mine[-1]
-            link = mine != ids
-            yield pa.RecordBatch.from_arrays([pa.array(mine[link]), pa.array(ids[link])], ["a", "b"])
-
-    n = partitions(rows.sparkSession)
-    across = rows.where("key is not null").select("key", "a").repartition(n, "key").sortWithinPartitions("key", "a").mapInArrow(run, "a long, b long")
-    return across.union(rows.where("key is null").select("a", "b"))
+    dealt = rows.repartition(partitions(rows.sparkSession), "key").withColumn("edge", F.col("b").isNotNull())
+    before = F.lag("a").over(W.partitionBy("key", "edge").orderBy("a"))
+    return dealt.select("a", F.when(F.col("edge"), F.col("b")).otherwise(before).alias("b")).where("b is not null and a <> b")
 
 
 def blocks_of(rows: Column, elements: Column | None = None) -> Column:
@@ -133,10 +118,22 @@ def least_matches(n: int, threshold: float, tolerance: float) -> int:
     return n
 
 
+@lru_cache(maxsize=None)
+def _least_table(bins: int, threshold: float, tolerance: float) -> np.ndarray:
+    return np.array([least_matches(n, threshold, tolerance) for n in range(bins + 1)])
+
+
+def all_pairs(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a job: across its two blocks, or within its one."""
+    i, j = np.triu_indices(len(side), 1)
+    keep = (side[i] == 2) | (side[i] != side[j])
+    return i[keep], j[keep]
+
+
 def bayes_pairs(signatures: np.ndarray, side: np.ndarray, threshold: float, tolerance: float, step: int = 16) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (i, j) that survive: values are compared step by step, and a pair goes once its posterior falls below the tolerance. Bins empty in both are no evidence."""
     bins = signatures.shape[1]
-    least = np.array([least_matches(n, threshold, tolerance) for n in range(bins + 1)])
+    least = _least_table(bins, threshold, tolerance)
     left = np.flatnonzero(side != 1)
     right = np.flatnonzero(side != 0)
     out_i, out_j = [], []

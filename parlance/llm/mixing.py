@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, Words, buffer, materialise, partitions, slices, with_columns
+from .common import SLICE_BYTES, Words, buffer, materialise, partitions, slices, task, with_columns
 
 #: Weights of the sources in code point order, null last, repeating.
 WEIGHTS = (3, 1, 2)
@@ -44,7 +44,7 @@ def sizes(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["doc_id", "source", "size"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(count, "doc_id long, source string, size long")
+    return rows.mapInArrow(task(count), "doc_id long, source string, size long")
 
 
 def targets(totals: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, repeats: float = REPEATS) -> DataFrame:
@@ -173,7 +173,7 @@ def mix(docs: DataFrame, seed: int = 0, weights: tuple = WEIGHTS, share: float =
                 columns = (np.full(len(step), shard), np.arange(len(step), dtype=np.int32), rank.astype(np.int32), (number // blocks).astype(np.int32), _permute(number % blocks, blocks, key))
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["shard", "slot", "rank", "turn", "block"])
 
-    slots_df = spark.range(0, tasks, 1, tasks).mapInArrow(slots_of, "shard long, slot int, rank int, turn int, block long")
+    slots_df = spark.range(0, tasks, 1, tasks).mapInArrow(task(slots_of), "shard long, slot int, rank int, turn int, block long")
 
     ranks = F.broadcast(quotas.select(F.col("source").alias("s"), "rank")) if len(plan) <= 10_000 else quotas.select(F.col("source").alias("s"), "rank")
     pieces = placed.where("size > 0").join(ranks, F.col("source").eqNullSafe(F.col("s"))).drop("s")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, grams_hash, grouped, in_bitmap, materialise, prefix
+from .common import bitmap, grams_hash, grouped, in_bitmap, materialise, prefix, task
 
 #: n: windows of the segment from start on; inner: windows may repeat within it.
 SEGMENT = "key long, c0 long, c1 long, doc_id long, start int, n int, inner boolean"
@@ -99,7 +99,7 @@ def repeats(docs: DataFrame, plan: Plan, symbols: Symbols, compare: Callable[[pa
                 count[np.searchsorted(found, again)] += 1
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(count)], ["key", "count"])
 
-    busy = docs.mapInArrow(keys, "key long, count long").groupBy("key").agg(F.sum("count").alias("count")).where("count > 1")
+    busy = docs.mapInArrow(task(keys), "key long, count long").groupBy("key").agg(F.sum("count").alias("count")).where("count > 1")
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap(busy, FILTER_BITS))
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +110,7 @@ def repeats(docs: DataFrame, plan: Plan, symbols: Symbols, compare: Callable[[pa
                 use = in_bitmap(wanted.value, found[3])
                 yield _batch(ids[a:b], flat, at, *(x[use] for x in found), plan)
 
-    found = materialise(docs.mapInArrow(segments, SEGMENT))
+    found = materialise(docs.mapInArrow(task(segments), SEGMENT))
     place = F.struct("doc_id", "start")
     each = found.groupBy("key", "c0", "c1").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.max("inner").alias("inner"))
     each = materialise(each)
@@ -135,7 +135,7 @@ def repeats(docs: DataFrame, plan: Plan, symbols: Symbols, compare: Callable[[pa
                 columns = list(zip(*rows, strict=True)) or [[]] * 7
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["key", "kinds", "copies", "doc_id", "start", "n", "body"])
 
-    cut_out = materialise(joined.mapInArrow(bodies, "key long, kinds long, copies long, doc_id long, start int, n int, body binary"))
+    cut_out = materialise(joined.mapInArrow(task(bodies), "key long, kinds long, copies long, doc_id long, start int, n int, body binary"))
     total = contested.where(F.col("kinds") <= HOT).agg(F.sum(F.col("n") + plan.width - 1)).first()[0] or 0
     jobs = cut_out.where(F.col("kinds") <= HOT).withColumn("job", F.pmod(F.xxhash64("key"), F.lit(1 + total // JOB_SYMBOLS)))
     compared = grouped(jobs, "job", ["key", "doc_id", "start"], compare, "doc_id long, a int, n int")
@@ -168,7 +168,7 @@ def hot_windows(bodies: DataFrame, plan: Plan, item: int, firsts_stay: bool) ->
                 digest = np.frombuffer(b"".join([xxhash.xxh3_128_digest(body[k * item : (k + plan.width) * item]) for k in range(n)]), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.array([doc_id] * n, pa.int64()), pa.array(np.arange(start, start + n, dtype=np.int32)), pa.array([copies] * n, pa.int64())], ["w0", "w1", "doc_id", "at", "copies"])
 
-    each = bodies.mapInArrow(windows, "w0 long, w1 long, doc_id long, at int, copies long")
+    each = bodies.mapInArrow(task(windows), "w0 long, w1 long, doc_id long, at int, copies long")
     place = F.struct("doc_id", "at")
     known = each.groupBy("w0", "w1").agg(F.min(place).alias("first"), F.sum("copies").alias("times")).where("times > 1")
     out = each.join(known, ["w0", "w1"])

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Words, buffer, documents, slices
+from .common import Words, buffer, documents, slices, task
 from .segments import Plan, covered, hot_windows, repeats, runs, with_runs
 
 #: Words of a window, and of the strings that segments are chosen by.
@@ -128,4 +128,4 @@ def _removed(docs: DataFrame, window: int, gram: int, digest: bool) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", name])
 
     name = "kept_sha256" if digest else "kept"
-    return rows.mapInArrow(remove, f"doc_id long, n_words long, n_removed long, {name} string")
+    return rows.mapInArrow(task(remove), f"doc_id long, n_words long, n_removed long, {name} string")

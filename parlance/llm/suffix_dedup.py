@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffer, documents, slices
+from .common import buffer, documents, slices, task
 from .segments import Plan, covered, hot_windows, repeats, runs, with_runs
 
 #: Bytes of a string that counts as a repeat, and of the strings that segments are chosen by.
@@ -167,7 +167,7 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataF
                 ["doc_id", "n_bytes", "removed", "kept"],
             )
 
-    return rows.mapInArrow(remove, "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
+    return rows.mapInArrow(task(remove), "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
 
 
 def suffix_digests(docs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, task
 
 CALLS = "conv_id string, call_id string, seq long, name string, arguments string, error string, refs array<string>"
 
@@ -88,7 +88,7 @@ def check_calls(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(text, pa.string()), pa.array(error, pa.string()), pa.array(refs, pa.list_(pa.string()))], ["conv_id", "call_id", "seq", "name", "arguments", "error", "refs"])
 
     rows = calls.select(F.col("conv_id").cast("string").alias("conv_id"), F.col("call_id").cast("string").alias("call_id"), F.col("seq").cast("long").alias("seq"), "name", "arguments")
-    return rows.mapInArrow(run, CALLS)
+    return rows.mapInArrow(task(run), CALLS)
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -163,5 +163,5 @@ def link_tools(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
 
     linked = F.col("called").isNotNull() & F.col("answer_seq").isNotNull()
     rows = joined.select("conv_id", F.coalesce("seq", "answer_seq").alias("seq"), "call_id", "name", "level", linked.alias("linked"), error.alias("error"), "arguments", "content", F.coalesce("called", F.lit(False)).alias("called"))
-    out = rows.mapInArrow(message, "conv_id string, seq long, call_id string, name string, level int, linked boolean, error string, message string")
+    out = rows.mapInArrow(task(message), "conv_id string, seq long, call_id string, name string, level int, linked boolean, error string, message string")
     return out.select("conv_id", "seq", "call_id", "name", "level", "linked", F.col("error").isNull().alias("valid"), "error", "message")
