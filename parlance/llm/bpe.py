@@ -35,8 +35,8 @@ LEAF = 32_768
 WINDOW = 64
 #: Characters of a leaf's edges within which white space is looked for.
 EDGE = 4096
-#: Words that a process remembers, and the longest of them.
-REMEMBERED, LONGEST = 300_000, 48
+#: Words that a process remembers in each of two generations, the longest of them, and texts that are looked up at once.
+REMEMBERED, LONGEST, TEXTS = 150_000, 48, 1024
 
 IDS = "doc_id long, ids array<int>"
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -61,27 +61,63 @@ def leaves(length: int, leaf: int = LEAF) -> list[tuple[int, int]]:
     return leaves(half, leaf) + [(half + a, half + b) for a, b in leaves(length - half, leaf)]
 
 
-_WORDS: dict[int, tuple[dict[str, list[int]], list[int]]] = {}
+class Memory:
+    """Ids of words seen before: when the younger generation is full it becomes the older one, from which words in use move back."""
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
+        self.young: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.shared = list(range(max(vocabulary.values(), default=-1) + 1))  # one object for each id
+        self.names = [str(i) for i in self.shared]
+        self.tokens = [""] * len(self.shared)
+        for token, i in vocabulary.items():
+            self.tokens[i] = token
+        self.lowers = tokenizer.encode("Aa", add_special_tokens=False).ids == tokenizer.encode("aa", add_special_tokens=False).ids
+        self.marks = tuple({str(t.content)[:2] for t in tokenizer.get_added_tokens_decoder().values()})
+
+    def forget(self) -> None:
+        self.young, self.old = {}, {}
+
+    def plain(self, text: str) -> str:
+        """The text as the tokenizer's own normaliser has it, where that is no more than lower case: ASCII and nothing like an added token."""
+        return text.lower() if self.lowers and text.isascii() and not any(m in text for m in self.marks) else text
+
+    def decode(self, ids: list[int]) -> str:
+        """As decode(ids, skip_special_tokens=False): without a decoder the library joins the tokens by spaces."""
+        return " ".join(map(self.tokens.__getitem__, ids)) if self.tokenizer.decoder is None else self.tokenizer.decode(ids, skip_special_tokens=False)
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        split = [self.plain(t).replace("\n", " ").split(" ") for t in texts]
+        if len(self.young) > REMEMBERED:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        new = set(chain.from_iterable(split)) - young.keys()
+        for word in new & old.keys():
+            young[word] = old[word]
+        new = list(new - young.keys())
+        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            young[word] = [self.shared[i] for i in found.ids]
+        out = [list(chain.from_iterable(map(young.__getitem__, w))) for w in split]
+        for word in new:
+            if len(word) > LONGEST:
+                del young[word]
+        return out
+
+
+_MEMORY: dict[int, Memory] = {}
+
+
+def memory(tokenizer) -> Memory:
+    if id(tokenizer) not in _MEMORY:
+        _MEMORY[id(tokenizer)] = Memory(tokenizer)
+    return _MEMORY[id(tokenizer)]
 
 
 def word_ids(tokenizer, texts: list[str]) -> list[list[int]]:
     """The ids of texts of moderate length, word by word: no token crosses a space or a line's end, and neither does any normalisation."""
-    if id(tokenizer) not in _WORDS:
-        _WORDS[id(tokenizer)] = ({}, list(range(max(tokenizer.get_vocab(with_added_tokens=True).values(), default=-1) + 1)))
-    known, shared = _WORDS[id(tokenizer)]
-    split = [t.replace("\n", " ").split(" ") for t in texts]
-    words = set(chain.from_iterable(split))
-    new = list(words - known.keys())
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        new = list(words)
-    for word, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-        known[word] = [shared[i] for i in found.ids]
-    out = [list(chain.from_iterable(map(known.__getitem__, w))) for w in split]
-    for word in new:
-        if len(word) > LONGEST:
-            del known[word]
-    return out
+    return [x for k in range(0, len(texts), TEXTS) for x in memory(tokenizer).ids(texts[k : k + TEXTS])]
 
 
 class Piece:
@@ -225,6 +261,7 @@ def _encoded(docs: DataFrame, path: str, leaf: int, digest: bool) -> DataFrame:
             for k in range(0, batch.num_rows, 1024):
                 part = batch.slice(k, 1024)
                 yield out(part.column(0).to_pylist(), word_ids(tokenizer, part.column(1).to_pylist()))
+        memory(tokenizer).forget()
 
     def leaf_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load(path)
@@ -237,6 +274,7 @@ def _encoded(docs: DataFrame, path: str, leaf: int, digest: bool) -> DataFrame:
                     [part.column(0), part.column(1), pa.array([h for h, _, _ in parts], pa.string()), pa.array([i if m else None for i, (_, m, _) in zip(ids, parts, strict=True)], pa.list_(pa.int32())), pa.array([t for _, _, t in parts], pa.string())],
                     ["k", "no", "head", "middle", "tail"],
                 )
+        memory(tokenizer).forget()
 
     def joined(group: pa.Table) -> pa.RecordBatch:
         rows = group.to_pydict()
@@ -252,31 +290,24 @@ def _encoded(docs: DataFrame, path: str, leaf: int, digest: bool) -> DataFrame:
 
 
 def _digest(tokenizer, keys: list[int], ids: list) -> pa.RecordBatch:
-    names = _names(tokenizer)
+    known = memory(tokenizer)
+    names = known.names
     counts, first, second = [], [], []
     for one in ids:
         one = one if isinstance(one, list) else one.tolist()
         counts.append(len(one))
         first.append(hashlib.sha256(" ".join(map(names.__getitem__, one)).encode()).hexdigest())
-        second.append(hashlib.sha256(tokenizer.decode(one, skip_special_tokens=False).encode()).hexdigest())
+        second.append(hashlib.sha256(known.decode(one).encode()).hexdigest())
     return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
-_NAMES: dict[int, list[str]] = {}
-
-
-def _names(tokenizer) -> list[str]:
-    size = max(tokenizer.get_vocab(with_added_tokens=True).values(), default=-1) + 1 if id(tokenizer) not in _NAMES else 0
-    return _NAMES.setdefault(id(tokenizer), [str(i) for i in range(size)])
-
-
 def decode(encoded: DataFrame, tokenizer_path: str = TOKENIZER) -> DataFrame:
     """(doc_id, text) from (doc_id, ids); null ids decode to the empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load(tokenizer_path)
         for batch in batches:
-            texts = [tokenizer.decode(i or [], skip_special_tokens=False) for i in batch.column(1).to_pylist()]
+            texts = [memory(tokenizer).decode(i or []) for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(task(run), "doc_id long, text string")
