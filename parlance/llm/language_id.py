@@ -33,6 +33,8 @@ DIMENSIONS = 1 << 12
 PER_LANGUAGE = 400
 #: Languages that can be learned; with PER_LANGUAGE this bounds what training brings to the driver.
 LANGUAGES = 200
+#: Characters that are scored at once.
+CHARS = 200_000
 #: Below this score the pipeline takes a text for no known language.
 REJECT_BELOW = 0.5
 
@@ -157,7 +159,17 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         clean = [letters(t) for t in texts]
-        margins = _sums(clean, self.weights) / self.factor + self.bias if self.machines else np.zeros((len(texts), 0))
+        cuts = [0]
+        size = 0
+        for k, t in enumerate(clean):
+            size += len(t)
+            if size > CHARS:
+                cuts.append(k + 1)
+                size = 0
+        if cuts[-1] < len(clean):
+            cuts.append(len(clean))
+        parts = [_sums(clean[a:b], self.weights) / self.factor + self.bias for a, b in zip(cuts[:-1], cuts[1:], strict=True)] if self.machines else []
+        margins = np.concatenate(parts) if parts else np.zeros((len(texts), len(self.machines)))
         share = 1 / (1 + np.exp(-np.clip(3 * margins, -30, 30)))
         n = len(texts)
         if len(self.families) > 2:
