@@ -66,6 +66,7 @@ class Memory:
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
+        self.most = REMEMBERED
         self.young: dict[str, list[int]] = {}
         self.old: dict[str, list[int]] = {}
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
@@ -90,7 +91,7 @@ class Memory:
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         split = [self.plain(t).replace("\n", " ").split(" ") for t in texts]
-        if len(self.young) > REMEMBERED:
+        if len(self.young) > self.most:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
         new = set(chain.from_iterable(split)) - young.keys()
@@ -216,75 +217,84 @@ def encode_text(tokenizer, text: str, leaf: int = LEAF) -> np.ndarray:
     return join_leaves(tokenizer, [(h, word_ids(tokenizer, [m])[0] if m else None, t) for h, m, t in parts])
 
 
-def _halved(docs: DataFrame, leaf: int) -> DataFrame:
-    """A row for each leaf of each long text."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                pieces = [text[a:b] for a, b in leaves(len(text), leaf)]
-                yield pa.RecordBatch.from_pydict({"k": [key] * len(pieces), "no": range(len(pieces)), "piece": pieces}, pa.schema([("k", pa.string()), ("no", pa.int32()), ("piece", pa.string())]))
-
-    return docs.mapInArrow(task(cut), "k string, no int, piece string")
+def _halved(docs: DataFrame, leaf: int, columns: list[str]) -> DataFrame:
+    """A row for each leaf of each long text: the halves of halves as they are cut by leaves(), in the JVM."""
+    # With d halvings, leaf k begins at floor(length * k / 2**d) or a character beside it; any cut will do for the joins.
+    parts = F.pow(F.lit(2), F.ceil(F.log2(F.length("text") / F.lit(leaf)))).cast("long")
+    at = lambda k: F.floor(F.length("text") * k / parts).cast("int")
+    cut = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda k: F.substring("text", at(k) + 1, at(k + 1) - at(k)))
+    return docs.select("k", *columns, F.posexplode(cut).alias("no", "piece"))
 
 
-def _split(docs: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def _split(docs: DataFrame, leaf: int, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *columns, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return rows.where(F.length("text") <= leaf), rows.where(F.length("text") > leaf)
 
 
-def encode(docs: DataFrame, tokenizer_path: str = TOKENIZER, leaf: int = LEAF) -> DataFrame:
-    """(doc_id, ids) of every whole text of docs (doc_id, text).
+def encode(docs: DataFrame, tokenizer_path: str = TOKENIZER, leaf: int = LEAF, keep: list[str] | None = None, remembered: int = REMEMBERED) -> DataFrame:
+    """(doc_id, ids) of every whole text of docs (doc_id, text), and the string columns named in keep.
 
     Null and empty texts have no ids; repeated rows are encoded each, under
     their doc_id; other columns are ignored; an empty table gives no rows.
+    remembered bounds the words that a process keeps: fewer take less memory and more time.
     """
-    return _encoded(docs, tokenizer_path, leaf, False)
+    return _encoded(docs, tokenizer_path, leaf, False, keep or [], remembered)
 
 
 def digests(docs: DataFrame, tokenizer_path: str = TOKENIZER, leaf: int = LEAF) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encode() and decode() of every whole text, reduced to digests where they are made."""
-    return _encoded(docs, tokenizer_path, leaf, True)
+    return _encoded(docs, tokenizer_path, leaf, True, [], REMEMBERED)
 
 
-def _encoded(docs: DataFrame, path: str, leaf: int, digest: bool) -> DataFrame:
-    schema = DIGEST if digest else IDS
+def _encoded(docs: DataFrame, path: str, leaf: int, digest: bool, keep: list[str], remembered: int) -> DataFrame:
+    schema = ", ".join([*(f"`{c}` string" for c in keep), DIGEST if digest else IDS])
+    columns = [f"keep{i}" for i in range(len(keep))]
 
-    def out(keys: list[int], ids: list) -> pa.RecordBatch:
+    def out(kept: list[pa.Array], keys: list[int], ids: list) -> pa.RecordBatch:
         if digest:
-            return _digest(load(path), keys, ids)
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+            made = _digest(load(path), keys, ids)
+        else:
+            made = pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        return pa.RecordBatch.from_arrays([*kept, *made.columns], [*keep, *made.schema.names])
+
+    def known() -> Memory:
+        found = memory(load(path))
+        found.most = remembered
+        return found
 
     def short_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(path)
+        words = known()
         for batch in batches:
-            for k in range(0, batch.num_rows, 1024):
-                part = batch.slice(k, 1024)
-                yield out(part.column(0).to_pylist(), word_ids(tokenizer, part.column(1).to_pylist()))
-        memory(tokenizer).forget()
+            for k in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(k, TEXTS)
+                yield out(part.columns[1:-1], part.column(0).to_pylist(), words.ids(part.column(-1).to_pylist()))
+        words.forget()
 
     def leaf_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(path)
+        words = known()
         for batch in batches:
             for k in range(0, batch.num_rows, 64):
                 part = batch.slice(k, 64)
                 parts = [edges(x) for x in part.column("piece").to_pylist()]
-                ids = word_ids(tokenizer, [m for _, m, _ in parts])
+                ids = words.ids([m for _, m, _ in parts])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([h for h, _, _ in parts], pa.string()), pa.array([i if m else None for i, (_, m, _) in zip(ids, parts, strict=True)], pa.list_(pa.int32())), pa.array([t for _, _, t in parts], pa.string())],
-                    ["k", "no", "head", "middle", "tail"],
+                    [*part.columns[:-1], pa.array([h for h, _, _ in parts], pa.string()), pa.array([i if m else None for i, (_, m, _) in zip(ids, parts, strict=True)], pa.list_(pa.int32())), pa.array([t for _, _, t in parts], pa.string())],
+                    ["k", *columns, "no", "head", "middle", "tail"],
                 )
-        memory(tokenizer).forget()
+        words.forget()
 
     def joined(group: pa.Table) -> pa.RecordBatch:
-        rows = group.to_pydict()
-        return out([int(rows["k"][0].split(":")[0])], [join_leaves(load(path), list(zip(rows["head"], rows["middle"], rows["tail"], strict=True)))])
+        rows = group.select(["k", "head", "middle", "tail"]).to_pydict()
+        kept = [group.column(c).slice(0, 1).combine_chunks() for c in columns]
+        kept = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in kept]
+        return out(kept, [int(rows["k"][0].split(":")[0])], [join_leaves(load(path), list(zip(rows["head"], rows["middle"], rows["tail"], strict=True)))])
 
-    short, long = _split(docs, leaf)
+    named = docs.select("doc_id", "text", *(F.col(c).cast("string").alias(n) for c, n in zip(keep, columns, strict=True)))
+    short, long = _split(named, leaf, columns)
     # A long text's leaves meet again under its row's own number, so repeated rows with one doc_id stay apart.
-    keyed = long.select(F.concat_ws(":", F.col("doc_id").cast("string"), F.monotonically_increasing_id()).alias("k"), "text")
-    cut = _halved(keyed, leaf)
-    coded = cut.repartition("k", "no").mapInArrow(task(leaf_rows), "k string, no int, head string, middle array<int>, tail string")
+    keyed = long.select(F.concat_ws(":", F.col("doc_id").cast("string"), F.monotonically_increasing_id()).alias("k"), *columns, "text")
+    kinds = ", ".join(["k string", *(f"{c} string" for c in columns), "no int, head string, middle array<int>, tail string"])
+    coded = _halved(keyed, leaf, columns).repartition("k", "no").mapInArrow(task(leaf_rows), kinds)
     whole = grouped(coded, "k", ["no"], joined, schema)
     return short.mapInArrow(task(short_rows), schema).union(whole)
 

@@ -111,6 +111,7 @@ def repeats(docs: DataFrame, plan: Plan, symbols: Symbols, compare: Callable[[pa
                 yield _batch(ids[a:b], flat, at, *(x[use] for x in found), plan)
 
     found = materialise(docs.mapInArrow(task(segments), SEGMENT))
+    wanted.destroy()
     place = F.struct("doc_id", "start")
     each = found.groupBy("key", "c0", "c1").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.max("inner").alias("inner"))
     each = materialise(each)
