@@ -3,7 +3,8 @@
 Texts are lower-cased, everything but letters becomes a space, and hashed n-grams
 of one to four letters (with spaces as word edges) vote with the weights of linear
 support vector machines. One-versus-rest machines choose the family; within it a
-machine for each pair of languages votes.
+machine for each pair of languages votes. Machines only tell known languages apart,
+so a score is bounded too by how usual a text's n-grams are in the language chosen.
 """
 
 from __future__ import annotations
@@ -35,6 +36,12 @@ PER_LANGUAGE = 400
 LANGUAGES = 200
 #: Characters that are scored at once.
 CHARS = 200_000
+#: Standard deviations by which a text's n-grams may be less usual than its language's own texts, for a score of 0.5.
+DOUBT = 5.25
+#: Share of n-grams that a language's texts to learn from are taken to lack.
+UNSEEN = 0.01
+#: Letters of the parts by which a doubted text is judged again.
+PART = 100
 #: Below this score the pipeline takes a text for no known language.
 REJECT_BELOW = 0.5
 
@@ -86,12 +93,11 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, codes != 0, at
 
 
-def _sums(texts: list[str], weights: np.ndarray) -> np.ndarray:
-    """Mean weight of each text's n-grams, a column for each machine."""
-    grams, counts, at = features(texts)
-    out = np.zeros((len(texts), weights.shape[1]))
-    full = np.array([bool(t) for t in texts], bool)
-    for k in range(weights.shape[1] if full.any() else 0):
+def _sums(found: tuple[np.ndarray, np.ndarray, np.ndarray], weights: np.ndarray) -> np.ndarray:
+    """Mean weight of the n-grams of each text of features(), a column for each machine."""
+    grams, counts, at = found
+    out = np.zeros((len(at) - 1, weights.shape[1]))
+    for k in range(weights.shape[1] if counts.any() else 0):
         w = weights[:, k].astype(np.float32)
         per = w[grams[:, 0]]
         for n in range(1, 4):
@@ -100,6 +106,19 @@ def _sums(texts: list[str], weights: np.ndarray) -> np.ndarray:
     return out / np.maximum(1, 4 * (np.diff(at) - len(PAD)))[:, None]
 
 
+def _usual(found: tuple[np.ndarray, np.ndarray, np.ndarray], tables: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Mean weight of the n-grams of each text of features(), by the row of tables that `which` names for it."""
+    grams, counts, at = found
+    if not counts.any():
+        return np.zeros(len(which))
+    flat = tables.ravel()
+    start = np.repeat(which.astype(np.int32) * DIMENSIONS, np.diff(at))
+    per = flat[start + grams[:, 0]]
+    for n in range(1, 4):
+        per += flat[start + grams[:, n]]
+    return np.add.reduceat(per * counts, at[:-1], dtype=np.float64) / np.maximum(1, 4 * (np.diff(at) - len(PAD)))
+
+
 def vector(text: str) -> np.ndarray:
     grams, counts, _ = features([text])
     v = np.bincount(grams[counts].ravel(), minlength=DIMENSIONS).astype(np.float64)
@@ -129,7 +148,11 @@ def svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 60) -> tupl
 
 
 class Model:
-    """weights: a column for each machine; machines: (positive, negative) languages, or (family, None) for families."""
+    """weights: a column for each machine; machines: (positive, negative) languages, or (family, None) for families.
+
+    tables: a row for each language, the logarithms of its n-grams' shares; usual: their mean over one
+    of its texts that the shares leave out (the median), its variance from text to text, and that over a text's n-grams.
+    """
 
     def __init__(self, langs: list[str], x: np.ndarray, y: np.ndarray):
         self.langs = sorted(map(str, langs))
@@ -137,6 +160,10 @@ class Model:
         self.machines: list[tuple[str, str | None]] = []
         if not len(x):
             return
+        self.tables = np.empty((len(self.langs), DIMENSIONS), np.float32)
+        self.usual = np.empty((len(self.langs), 3))
+        for k, name in enumerate(self.langs):
+            self.tables[k], self.usual[k] = self._learn(x[y == name])
         scale = np.sqrt(np.mean(x**2, axis=0)) + 1e-4
         x = x / scale
         x /= np.sqrt((x**2).sum(axis=1)).mean() or 1.0
@@ -157,8 +184,46 @@ class Model:
         self.weights = np.array([w / scale / m for w, _, m in fitted]).T.reshape(x.shape[1], len(fitted))
         self.factor = 1.0 / norm if norm else 1.0
 
+    @staticmethod
+    def _learn(x: np.ndarray) -> tuple[np.ndarray, tuple[float, float, float]]:
+        m, total = len(x), x.sum(axis=0)
+        table = np.log((1 - UNSEEN) * total / m + UNSEEN / DIMENSIONS)
+        own = np.array([np.log((1 - UNSEEN) * np.maximum(0, total - v) / max(1, m - 1) + UNSEEN / DIMENSIONS) @ v for v in x])
+        # Medians, as some of the texts may have a wrong label. Few texts show little of how much texts differ: a quarter is added as if another text had been half a unit off.
+        middle = np.median(own)
+        between = (1.4826 * np.median(np.abs(own - middle))) ** 2 + 0.25 / (m - 1) if m > 1 else np.inf
+        share = total / total.sum()
+        return table, (middle, between, share @ (table - share @ table) ** 2)
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         clean = [letters(t) for t in texts]
+        if not self.langs:
+            return ["und"] * len(clean), [0.0] * len(clean)
+        chosen, faith, lack = self._decide(clean)
+        size = np.array([max(1, len(t)) for t in clean])
+        doubt = self._doubt(lack, self.usual[chosen, 1], self.usual[chosen, 2], size)
+        for i in np.flatnonzero(doubt > DOUBT):
+            doubt[i] = min(doubt[i], self._doubt_of_parts(clean[i]))
+        score = np.minimum(faith, 1 / (1 + np.exp(np.clip(doubt - DOUBT, -30, 30))))
+        lang = [self.langs[k] if t else "und" for k, t in zip(chosen, clean, strict=True)]
+        return lang, [float(min(1.0, max(0.0, v))) if t else 0.0 for v, t in zip(score, clean, strict=True)]
+
+    @staticmethod
+    def _doubt(lack: np.ndarray, between: np.ndarray, within: np.ndarray, size: np.ndarray) -> np.ndarray:
+        return lack / np.sqrt(between + within / size)
+
+    def _doubt_of_parts(self, text: str) -> float:
+        """Doubt where each word counts once and each part may be of another known language: texts of two languages or of repeated words are not doubted for that."""
+        once = f" {' '.join(dict.fromkeys(text.split()))} "
+        parts = [once[k : k + PART] for k in range(0, len(once), PART)]
+        found = features(parts)
+        lack = np.array([self.usual[k, 0] - _usual(found, self.tables, np.full(len(parts), k)) for k in range(len(self.langs))])
+        best, size = lack.argmin(axis=0), np.array([len(t) for t in parts])
+        mean = lambda v: np.average(v, weights=size)
+        return float(self._doubt(mean(lack.min(axis=0)), mean(self.usual[best, 1]), mean(self.usual[best, 2]), size.sum()))
+
+    def _decide(self, clean: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text of letters(): its language's place in langs, the machines' share for it, and by how much its n-grams are less usual than that language's."""
         cuts = [0]
         size = 0
         for k, t in enumerate(clean):
@@ -168,10 +233,14 @@ class Model:
                 size = 0
         if cuts[-1] < len(clean):
             cuts.append(len(clean))
-        parts = [_sums(clean[a:b], self.weights) / self.factor + self.bias for a, b in zip(cuts[:-1], cuts[1:], strict=True)] if self.machines else []
-        margins = np.concatenate(parts) if parts else np.zeros((len(texts), len(self.machines)))
+        out = [self._decide_part(clean[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return tuple(np.concatenate(v) for v in zip(*out, strict=True)) if out else (np.zeros(0, int), np.zeros(0), np.zeros(0))
+
+    def _decide_part(self, clean: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n = len(clean)
+        found = features(clean)
+        margins = _sums(found, self.weights) / self.factor + self.bias if self.machines else np.zeros((n, 0))
         share = 1 / (1 + np.exp(-np.clip(3 * margins, -30, 30)))
-        n = len(texts)
         if len(self.families) > 2:
             fam = share[:, : len(self.families)]
         elif len(self.families) == 2:
@@ -187,18 +256,14 @@ class Model:
                 votes[b] += (p < 0.5) + (1 - p) * 1e-3
                 faith[a] = np.minimum(faith[a], p)
                 faith[b] = np.minimum(faith[b], 1 - p)
-        chosen = fam.argmax(axis=1) if self.families else np.zeros(n, int)
-        lang, score = [], []
+        chosen = fam.argmax(axis=1)
+        best, score = np.zeros(n, int), np.zeros(n)
         for i in range(n):
-            if not clean[i] or not self.langs:
-                lang.append("und")
-                score.append(0.0)
-                continue
             members = [v for v in self.langs if family(v) == self.families[chosen[i]]]
-            best = max(members, key=lambda v: (votes[v][i], faith[v][i]))
-            lang.append(best)
-            score.append(float(min(1.0, max(0.0, min(fam[i, chosen[i]], faith[best][i])))))
-        return lang, score
+            lang = max(members, key=lambda v: (votes[v][i], faith[v][i]))
+            best[i] = self.langs.index(lang)
+            score[i] = min(fam[i, chosen[i]], faith[lang][i])
+        return best, score, self.usual[best, 0] - _usual(found, self.tables, best)
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:

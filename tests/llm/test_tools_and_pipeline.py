@@ -62,6 +62,25 @@ def test_each_stage_works_on_what_the_last_one_kept(spark, sf_dir):
     assert all(len(r.ids) == r.n_tokens for r in seen["bpe"].collect())
 
 
+FOREIGN = [
+    "Девочка, которая жила в доме у реки, каждое утро ходила на рынок, чтобы купить хлеб и свежие овощи для семьи.",
+    "川の近くの家に住んでいた少女は毎朝市場へ行ってパンと新鮮な野菜を買いました。そして家族のために夕食を作りました。",
+    "Dziewczyna, która mieszkała w domu nad rzeką, codziennie rano chodziła na targ, aby kupić chleb i świeże warzywa dla rodziny.",
+    "Tyttö, joka asui joen lähellä olevassa talossa, kävi joka aamu torilla ostamassa leipää ja tuoreita vihanneksia perheelleen.",
+    "xqzvk wpfjq zzkqx vbnmq jkwxz qpwzk fjvxq kzzwq xjkvb qqwzx pfvkj wqxzj kkvqp zxwfq",
+]
+
+
+def test_documents_of_no_known_language_go(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    halves = [docs.where(f"lang = '{v}' and n_chars > 600").orderBy("doc_id").first().text[:600] for v in ("en", "fr")]
+    planted = [(800_000 + i, t, "en", "src0", len(t)) for i, t in enumerate(FOREIGN)] + [(800_100, " ".join(halves), "en", "src0", 1201), (800_101, "le la les " * 300, "fr", "src0", 3000)]
+    all_docs = docs.unionByName(spark.createDataFrame(planted, docs.schema))
+    kept = {r.doc_id for r in corpus_pipeline.detect_language(spark, all_docs, sf_dir).select("doc_id").collect()}
+    assert not kept & {800_000 + i for i in range(len(FOREIGN))}
+    assert {800_100, 800_101} <= kept and len(kept) == before_count(spark, sf_dir) + 2
+
+
 def before_count(spark, sf_dir):
     return table(spark, sf_dir, "documents").where("text is not null").count()
 
