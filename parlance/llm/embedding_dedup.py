@@ -3,7 +3,8 @@
 Each pass orders the distinct vectors of each label lexicographically by
 concatenated random sign hashes (each bit a new hyperplane) and compares every
 vector with a window of neighbours; pairs at or above the threshold are united
-across passes. Within the components this finds, each vector's direct links are
+across passes. Vectors that share a pass's leading bits are all compared: where
+more share them than a window holds, as in a dense label, block by block. Within the components this finds, each vector's direct links are
 then counted block by block, so a group larger than any window is counted whole.
 """
 
@@ -33,10 +34,14 @@ SEED = 11
 CHUNK = 4096
 
 
+def leading_bits(rows: int, window: int = WINDOW) -> int:
+    """The bits that would cut rows down to half a window if each halved them."""
+    return min(SIGN_BITS, max(0, math.ceil(math.log2(max(1, rows) / (window / 2)))))
+
+
 def passes(rows: int, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL) -> int:
-    """Passes that meet the recall: a window reaches all that shares the leading bits which cut rows down to half a window."""
-    bits = max(0.0, math.log2(max(1, rows) / (window / 2)))
-    meet = (1 - math.acos(threshold) / math.pi) ** math.ceil(bits)
+    """Passes in one of which a pair at the threshold shares the leading bits, with the probability recall. All that shares them is compared, however many rows do."""
+    meet = (1 - math.acos(threshold) / math.pi) ** leading_bits(rows, window)
     return max(4, math.ceil(math.log(1 - recall) / math.log(1 - min(meet, 0.9))))
 
 
@@ -83,7 +88,8 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, window: in
     # Equal vectors are one class, so a window is not filled with copies.
     classes = materialise(usable.groupBy("grp", "unit").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")))
     # A pass needs as many leading bits as the largest label has rows.
-    largest = classes.groupBy("grp").count().agg(F.max("count")).first()[0] or 0
+    sizes = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
+    largest = sizes.agg(F.max("size")).first()[0] or 0
     rounds = passes(largest, threshold, window, recall)
     n_tasks = partitions(vectors.sparkSession)
 
@@ -103,7 +109,8 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, window: in
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, r, np.int32)), part.column("grp"), pa.array(code.astype(np.int64)), part.column("rep"), part.column("unit")], ["pass", "grp", "code", "rep", "unit"])
 
     coded = classes.select("grp", "rep", "unit").mapInArrow(task(hashed), "pass int, grp string, code long, rep long, unit binary")
-    edges = materialise(_windows(coded, n_tasks, threshold, window))
+    ordered = materialise(_ordered(coded, n_tasks))
+    edges = materialise(_windows(ordered, threshold, window).unionByName(_long_runs(ordered, classes, sizes, threshold, window)))
     joined = components(edges)
 
     blocks = joined.groupBy("component").agg(blocks_of(F.count(F.lit(1))).alias("blocks"))
@@ -126,17 +133,55 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, window: in
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
 
 
-def _windows(coded: DataFrame, n_tasks: int, threshold: float, window: int) -> DataFrame:
+def _ordered(coded: DataFrame, n_tasks: int) -> DataFrame:
+    """coded in the order of all passes: with the part of the order that a row is in, and its place there."""
+    order = ["pass", "grp", "code", "rep"]
+    ordered = coded.repartitionByRange(n_tasks, *order).sortWithinPartitions(*order)
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return ordered.withColumn("range", F.spark_partition_id()).withColumn("within", within)
+
+
+def _long_runs(ordered: DataFrame, classes: DataFrame, sizes: DataFrame, threshold: float, window: int) -> DataFrame:
+    """Edges of forests of the pairs at or above the threshold among rows that share a pass's leading bits, where more do than a window holds.
+
+    Sign hashes cut a dense label badly: where its runs have as many pairs as the
+    whole label, the label is compared once instead, and no pair is left to chance.
+    """
+    n = F.col("size") / F.lit(window / 2)
+    bits = F.least(F.lit(SIGN_BITS), F.greatest(F.lit(0), F.ceil(F.log2(n)).cast("int")))
+    by_bits = sizes.select(F.col("grp").alias("g"), "size", bits.alias("bits"))
+    prefixed = ordered.join(by_bits, F.col("grp") == F.col("g")).withColumn("prefix", F.expr(f"shiftrightunsigned(code, {SIGN_BITS} - bits)"))
+    runs = prefixed.groupBy("grp", "pass", "prefix").agg(F.count(F.lit(1)).alias("run")).where(F.col("run") > window + 1)
+    runs = materialise(runs.join(by_bits, F.col("grp") == F.col("g")).select("grp", "pass", "prefix", "run", "size", "bits"))
+    cost = runs.groupBy("grp", "size").agg(F.sum(F.col("run").cast("double") ** 2).alias("cost"))
+    cost = cost.select(F.col("grp").alias("g"), F.col("size").alias("run"), (F.col("cost") >= F.col("size").cast("double") ** 2).alias("whole"))
+    whole = classes.join(cost.where("whole"), F.col("grp") == F.col("g")).select("rep", "unit", "run", F.xxhash64("grp").alias("cluster"))
+    parts = runs.join(cost.where("not whole").select("g"), F.col("grp") == F.col("g"), "left_semi")
+    parts = parts.select(F.col("grp").alias("g"), F.col("pass").alias("p"), F.col("prefix").alias("x"), "run", F.col("bits").alias("cut"))
+    at = F.expr(f"shiftrightunsigned(code, {SIGN_BITS} - cut)")
+    parts = ordered.join(parts, (F.col("grp") == F.col("g")) & (F.col("pass") == F.col("p")) & (at == F.col("x")))
+    members = whole.unionByName(parts.select("rep", "unit", "run", F.xxhash64("g", "p", "x").alias("cluster")))
+    jobs = spread(members.withColumn("blocks", blocks_of(F.col("run"))), F.col("cluster"), F.col("blocks"), F.col("rep"))
+
+    def compare(group: pa.Table) -> pa.RecordBatch:
+        rep, side = (group.column(c).to_numpy() for c in ("rep", "side"))
+        v = _floats(group.column("unit"), len(group.column("unit")[0].as_py()) // 8)
+        near = np.tril(v @ v.T >= threshold, -1)
+        near &= (side[:, None] == 2) | (side[:, None] != side[None, :])
+        i, j = np.nonzero(near)
+        child, root = local_forest(rep[i], rep[j])
+        return pa.RecordBatch.from_arrays([pa.array(child), pa.array(root)], ["a", "b"])
+
+    return grouped(jobs.select("job", "rep", "unit", "side"), "job", ["rep"], compare, "a long, b long")
+
+
+def _windows(ordered: DataFrame, threshold: float, window: int) -> DataFrame:
     """Edges of a forest of the pairs at or above the threshold within `window` places of each other, in every pass and label.
 
     Every row gets its place in the order of all passes; rows go to chunks of
     places, the last window of a chunk also to the next, so a chunk is one task's
     however many rows share a label or a code.
     """
-    order = ["pass", "grp", "code", "rep"]
-    ordered = coded.repartitionByRange(n_tasks, *order).sortWithinPartitions(*order)
-    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    ordered = materialise(ordered.withColumn("range", F.spark_partition_id()).withColumn("within", within))
     counts = ordered.groupBy("range").count()  # a row for each range
     base = counts.select(F.col("range").alias("r"), (F.sum("count").over(W.orderBy("range")) - F.col("count")).alias("base"))
     placed = ordered.join(base, F.col("range") == F.col("r")).withColumn("place", F.col("base") + F.col("within"))

@@ -122,6 +122,30 @@ def test_embeddings(spark):
     assert embedding_dedup.embedding_dedup(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_a_dense_label(spark):
+    """Vectors with a common direction, which sign hashes hardly tell apart: every planted pair is found."""
+    rng = np.random.default_rng(6)
+    n, d, pairs = 6000, 48, 150
+    side = lambda k: (v := rng.normal(size=(k, d - 1))) / np.linalg.norm(v, axis=1, keepdims=True)
+    common, spread = np.sqrt(0.85), np.sqrt(0.15)
+    u = side(n)
+    w = side(pairs)
+    w -= (w * u[:pairs]).sum(axis=1, keepdims=True) * u[:pairs]
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    near = 1 - (1 - 0.94) / 0.15
+    u[n - pairs :] = near * u[:pairs] + np.sqrt(1 - near**2) * w
+    v = np.hstack([np.full((n, 1), common), spread * u])
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    linked = v @ v.T >= 0.93
+    np.fill_diagonal(linked, False)
+    sets = Sets(range(n))
+    for a, b in zip(*np.nonzero(linked), strict=True):
+        sets.join(int(a), int(b))
+    df = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.embedding_dedup(df).collect()}
+    assert got == {i: (int(linked[i].sum()), sets.find(i)) for i in range(n)}
+
+
 # ---- ops 6 and 7 ------------------------------------------------------------------------------------------------
 
 
