@@ -81,6 +81,12 @@ def test_documents_of_no_known_language_go(spark, sf_dir):
     assert {800_100, 800_101} <= kept and len(kept) == before_count(spark, sf_dir) + 2
 
 
+def test_documents_without_an_id_pass_the_join(spark, docs):
+    rows = [(1, "one two three four five six seven"), (2, "one two three four five six seven"), (None, "one two three four five six seven"), (None, None), (3, "other words")]
+    got = corpus_pipeline.join_near_duplicates(spark, docs(rows), "").collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted((str(i), str(t)) for i, t in rows if i != 2)
+
+
 def before_count(spark, sf_dir):
     return table(spark, sf_dir, "documents").where("text is not null").count()
 
