@@ -90,6 +90,18 @@ def test_line_dedup(docs):
     assert line_dedup.line_digests(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("inter,union", [(80, 100), (16, 20), (8, 10), (4, 5)])
+def test_alike_lines_share_a_band(inter, union):
+    """Pairs of lines at exactly the threshold, long and short."""
+    n, half = 20_000, (union - inter) // 2
+    hashes = np.random.default_rng(1).integers(0, 2**64, (n, union), dtype=np.uint64)
+    keys = []
+    for x in (hashes[:, : inter + half], np.hstack([hashes[:, :inter], hashes[:, inter + half :]])):
+        signature = minhash.densified(minhash.sketch(np.repeat(np.arange(n), x.shape[1]), x.ravel(), n, line_dedup.BINS_LOG2))
+        keys.append(minhash.band_keys(signature, line_dedup.BANDS, line_dedup.ROWS))
+    assert (~(keys[0] == keys[1]).any(axis=1)).sum() <= 2
+
+
 def test_repeated_rows_are_one_document(docs):
     r = line_dedup.line_digests(docs([(1, "one line here"), (1, "one line here"), (2, "one line here")])).collect()
     assert sorted((x.doc_id, x.n_removed) for x in r) == [(1, 0), (1, 0), (2, 1)]
