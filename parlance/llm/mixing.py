@@ -96,15 +96,21 @@ def _permute(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 def _split(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
-    """n slots out of left: multinomial without replacement; beyond 5e8 slots, where chance moves no share by 1e-4, the rounded expectation."""
+    """n slots out of left: multinomial without replacement; beyond 5e8 slots source after source by a normal draw of the same mean and variance, for a small source a binomial one."""
     total = int(left.sum())
     if n >= total:
         return left.copy()
     if total < 500_000_000:
         return rng.multivariate_hypergeometric(left, n, method="marginals")
-    exact = left * (n / total)
-    out = np.floor(exact).astype(np.int64)
-    out[np.argsort(out - exact, kind="stable")[: n - int(out.sum())]] += 1
+    out = np.zeros(len(left), np.int64)
+    for k, own in enumerate(map(int, left)):
+        share, rest = n / max(1, total), total - own
+        if own < 10_000:
+            drawn = int(rng.binomial(own, min(1.0, share)))
+        else:
+            drawn = round(rng.normal(own * share, np.sqrt(own * share * (1 - share) * (rest / max(1, total - 1)))))
+        out[k] = min(max(drawn, n - rest, 0), own, n)
+        n, total = n - int(out[k]), rest
     return out
 
 

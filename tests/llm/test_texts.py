@@ -2,6 +2,7 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,6 +159,16 @@ def test_shards_add_up_to_the_quotas():
     assert [(s, c.tolist(), d.tolist()) for s, c, d in part] == [(s, c.tolist(), d.tolist()) for s, c, d in whole[5:9]]
 
 
+def test_large_splits_are_drawn():
+    left = np.array([2_000_000_000, 0, 700_000_000, 40, 300_000_000], np.int64)
+    n = int(left.sum()) // 2
+    drawn = np.array([mixing._split(np.random.default_rng(k), left, n) for k in range(400)])
+    assert (drawn.sum(axis=1) == n).all() and (drawn >= 0).all() and (drawn <= left).all()
+    share = left / left.sum()
+    sd = np.sqrt(n * share * (1 - share) / 2)
+    assert np.allclose(drawn.std(axis=0), sd, rtol=0.2) and (np.abs(drawn.mean(axis=0) - left / 2) <= sd * 0.25).all()
+
+
 # ---- op 9 -------------------------------------------------------------------------------------------------------
 
 
