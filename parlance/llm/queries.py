@@ -15,7 +15,7 @@ SCHEMAS = {
     "reply": {
         "type": "object",
         "required": ["q", "turn"],
-        "properties": {"q": {"type": "string", "maxLength": 400}, "turn": {"type": "integer", "minimum": 0}, "after": {"type": "string"}},
+        "properties": {"q": {"type": "string", "maxLength": 400}, "turn": {"type": "integer", "minimum": 0}, "after": {"type": "string"}, "before": {"type": "string"}},
         "additionalProperties": False,
     }
 }
@@ -30,11 +30,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_tool_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns are calls, which refer to the user turn two before; the assistant's next turn is the result."""
+    """User turns are calls; by their text's length they refer to the user turn before, the one after (which may refer back, a cycle), both or none. The assistant's next turn is the result; turns of other roles are neither."""
     turns = table(spark, sf_dir, "conversations")
     call_id = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
-    after = F.when(F.col("turn") >= 2, F.struct(call_id(F.col("turn") - 2).alias("$ref")))
-    arguments = F.to_json(F.struct(F.col("text").alias("q"), F.col("turn"), after.alias("after")))
+    kind = F.length("text") % 16
+    to = lambda turn: F.struct(call_id(turn).alias("$ref"))
+    after = F.when((kind < 12) & (F.col("turn") >= 2), to(F.col("turn") - 2))
+    before = F.when(kind >= 10, to(F.col("turn") + 2))
+    arguments = F.to_json(F.struct(F.col("text").alias("q"), F.col("turn"), after.alias("after"), before.alias("before")))
     calls = turns.where("role = 'user'").select("conv_id", call_id(F.col("turn")).alias("call_id"), F.col("turn").alias("seq"), F.lit("reply").alias("name"), arguments.alias("arguments"))
     results = turns.where("role = 'assistant'").select("conv_id", call_id(F.col("turn") - 1).alias("call_id"), F.col("turn").alias("seq"), F.col("text").alias("content"))
     out = tool_linking.link_tools(calls, results, SCHEMAS)
@@ -82,22 +85,33 @@ ORACLE = {
         g AS (SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM n)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g""",
     "op3_tool_linking": """
-        WITH c AS (SELECT conv_id, turn, text, 'c' || conv_id || '-' || turn AS call_id FROM conversations WHERE role = 'user'),
+        WITH RECURSIVE c AS (SELECT conv_id, turn, text, length(text) % 16 AS kind, 'c' || conv_id || '-' || turn AS call_id FROM conversations WHERE role = 'user'),
         r AS (SELECT conv_id, turn, text, 'c' || conv_id || '-' || (turn - 1) AS call_id FROM conversations WHERE role = 'assistant'),
+        refs AS (SELECT conv_id, turn, turn - 2 AS ref FROM c WHERE kind < 12 AND turn >= 2 UNION ALL SELECT conv_id, turn, turn + 2 FROM c WHERE kind >= 10),
+        e AS (SELECT f.conv_id, f.turn, f.ref FROM refs f JOIN c ON f.conv_id = c.conv_id AND f.ref = c.turn),
+        lost AS (SELECT DISTINCT f.conv_id, f.turn FROM refs f ANTI JOIN c ON f.conv_id = c.conv_id AND f.ref = c.turn),
+        reach(conv_id, a, b) AS (SELECT conv_id, turn, ref FROM e UNION SELECT reach.conv_id, reach.a, e.ref FROM reach JOIN e ON reach.conv_id = e.conv_id AND reach.b = e.turn),
+        cyclic AS (SELECT conv_id, a AS turn FROM reach WHERE a = b),
+        bad AS (SELECT conv_id, turn FROM cyclic UNION SELECT reach.conv_id, reach.a FROM reach JOIN cyclic y ON reach.conv_id = y.conv_id AND reach.b = y.turn),
+        good AS (SELECT e.* FROM e ANTI JOIN bad ON e.conv_id = bad.conv_id AND e.turn = bad.turn),
+        path(conv_id, a, b, d) AS (SELECT conv_id, turn, ref, 1 FROM good UNION SELECT path.conv_id, path.a, g.ref, d + 1 FROM path JOIN good g ON path.conv_id = g.conv_id AND path.b = g.turn),
+        high AS (SELECT conv_id, a AS turn, max(d) AS level FROM path GROUP BY conv_id, a),
         j AS (SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.turn, r.turn) AS seq, coalesce(c.call_id, r.call_id) AS call_id,
-                     c.call_id IS NOT NULL AS called, r.call_id IS NOT NULL AS answered, c.turn AS turn, c.text AS q, r.text AS content,
-                     p.call_id IS NOT NULL AS known
+                     c.call_id IS NOT NULL AS called, r.call_id IS NOT NULL AS answered, c.turn AS turn, c.kind, c.text AS q, r.text AS content,
+                     lost.turn IS NOT NULL AS lost, bad.turn IS NOT NULL AS cyclic, coalesce(high.level, 0) AS level
               FROM c FULL JOIN r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
-              LEFT JOIN c p ON c.conv_id = p.conv_id AND c.turn - 2 = p.turn),
-        e AS (SELECT *, CASE WHEN NOT called THEN 'no call' WHEN q IS NULL THEN '$.q: missing' WHEN length(q) > 400 THEN '$.q: length'
-                             WHEN turn >= 2 AND NOT known THEN 'unknown reference' END AS error,
-                     '{' || CASE WHEN turn >= 2 THEN '"after":{"$ref":"c' || conv_id || '-' || (turn - 2) || '"},' ELSE '' END
+              LEFT JOIN lost ON c.conv_id = lost.conv_id AND c.turn = lost.turn LEFT JOIN bad ON c.conv_id = bad.conv_id AND c.turn = bad.turn
+              LEFT JOIN high ON c.conv_id = high.conv_id AND c.turn = high.turn),
+        k AS (SELECT *, CASE WHEN NOT called THEN 'no call' WHEN q IS NULL THEN '$.q: missing' WHEN length(q) > 400 THEN '$.q: length'
+                             WHEN lost THEN 'unknown reference' WHEN cyclic THEN 'cyclic reference' END AS error,
+                     '{' || CASE WHEN kind < 12 AND turn >= 2 THEN '"after":{"$ref":"c' || conv_id || '-' || (turn - 2) || '"},' ELSE '' END
+                         || CASE WHEN kind >= 10 THEN '"before":{"$ref":"c' || conv_id || '-' || (turn + 2) || '"},' ELSE '' END
                          || CASE WHEN q IS NOT NULL THEN '"q":' || to_json(q)::VARCHAR || ',' ELSE '' END || '"turn":' || turn || '}' AS args
               FROM j)
-        SELECT conv_id, seq, call_id, CASE WHEN called THEN 0 END::INTEGER AS level, called AND answered AS linked, error IS NULL AS valid, error,
+        SELECT conv_id, seq, call_id, CASE WHEN called AND NOT cyclic THEN level END::INTEGER AS level, called AND answered AS linked, error IS NULL AS valid, error,
                sha256('{"call":' || CASE WHEN called THEN '{"arguments":' || args || ',"id":"' || call_id || '","name":"reply"}' ELSE 'null' END
                    || ',"result":' || CASE WHEN answered THEN '{"content":' || coalesce(to_json(content)::VARCHAR, 'null') || ',"id":"' || call_id || '"}' ELSE 'null' END || '}') AS message_sha256
-        FROM e""",
+        FROM k""",
     "op5_embedding_dedup": """
         WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
                              WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
