@@ -1,7 +1,7 @@
 """BPE encoding and decoding with tree concatenation of long texts.
 
-A long text is halved down to leaves, which are encoded as rows of their own, in
-parallel. Joins go back up the tree: around each join a window of the text is
+A long text is cut into the leaves of a tree, which are encoded as rows of their own, in
+parallel. Joins go up the tree, two neighbours at a time: around each join a window of the text is
 encoded afresh, and it grows until it agrees with the left side on one token
 before the join and with the right side on one token after it (same id, same
 place). A sequence of BPE tokens is the encoding of its text exactly if each
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import grouped, task
 
-TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
-#: Characters above which a text is halved, and the widest leaf.
+TOKENIZER = "word_bpe_49k.json"
+#: Characters above which a text is cut, and the widest leaf.
 LEAF = 32_768
 #: Characters on each side of a join in the first window; each further one is four times as wide.
 WINDOW = 64
@@ -44,9 +44,15 @@ DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 @lru_cache(maxsize=4)
 def load(path: str):
+    """The tokenizer in a file; a name without a folder is one of the installed public vocabularies."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
+    if not os.path.dirname(path):
+        import public_tokenizers
+
+        path = public_tokenizers.path(path)
+
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
@@ -54,11 +60,8 @@ def load(path: str):
 
 
 def leaves(length: int, leaf: int = LEAF) -> list[tuple[int, int]]:
-    """The tree's leaves: halves of halves, until none is longer than `leaf`."""
-    if length <= leaf:
-        return [(0, length)]
-    half = length // 2
-    return leaves(half, leaf) + [(half + a, half + b) for a, b in leaves(length - half, leaf)]
+    """The tree's leaves, each `leaf` characters long but the last."""
+    return [(a, min(a + leaf, length)) for a in range(0, max(1, length), leaf)]
 
 
 class Memory:
@@ -69,6 +72,8 @@ class Memory:
         self.most = REMEMBERED
         self.young: dict[str, list[int]] = {}
         self.old: dict[str, list[int]] = {}
+        self.seen: dict[str, tuple[int, str, str]] = {}
+        self.before: dict[str, tuple[int, str, str]] = {}
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
         self.shared = list(range(max(vocabulary.values(), default=-1) + 1))  # one object for each id
         self.names = [str(i) for i in self.shared]
@@ -79,6 +84,10 @@ class Memory:
         self.marks = tuple({str(t.content)[:2] for t in tokenizer.get_added_tokens_decoder().values()})
 
     def forget(self) -> None:
+        self.forget_ids()
+        self.seen, self.before = {}, {}
+
+    def forget_ids(self) -> None:
         self.young, self.old = {}, {}
 
     def plain(self, text: str) -> str:
@@ -107,6 +116,29 @@ class Memory:
         return out
 
 
+    def written(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """Of each text the number of its ids, the ids in decimal and its tokens, both joined by one space. Only for tokenizers without a decoder, whose decoded text is its words' tokens."""
+        split = [self.plain(t).replace("\n", " ").split(" ") for t in texts]
+        if len(self.seen) > self.most:
+            self.seen, self.before = {}, self.seen
+        seen, before = self.seen, self.before
+        new = set(chain.from_iterable(split)) - seen.keys()
+        for word in new & before.keys():
+            seen[word] = before[word]
+        new = list(new - seen.keys())
+        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            ids = found.ids
+            seen[word] = (len(ids), " ".join(map(self.names.__getitem__, ids)), " ".join(map(self.tokens.__getitem__, ids)))
+        out = []
+        for words in split:
+            count, ids, tokens = zip(*map(seen.__getitem__, words), strict=True)
+            out.append((sum(count), " ".join(filter(None, ids)), " ".join(filter(None, tokens))))
+        for word in new:
+            if len(word) > LONGEST:
+                del seen[word]
+        return out
+
+
 _MEMORY: dict[int, Memory] = {}
 
 
@@ -217,13 +249,9 @@ def encode_text(tokenizer, text: str, leaf: int = LEAF) -> np.ndarray:
     return join_leaves(tokenizer, [(h, word_ids(tokenizer, [m])[0] if m else None, t) for h, m, t in parts])
 
 
-def _halved(docs: DataFrame, leaf: int, columns: list[str]) -> DataFrame:
-    """A row for each leaf of each long text: the halves of halves as they are cut by leaves(), in the JVM."""
-    # With d halvings, leaf k begins at floor(length * k / 2**d) or a character beside it; any cut will do for the joins.
-    parts = F.pow(F.lit(2), F.ceil(F.log2(F.length("text") / F.lit(leaf)))).cast("long")
-    at = lambda k: F.floor(F.length("text") * k / parts).cast("int")
-    cut = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda k: F.substring("text", at(k) + 1, at(k + 1) - at(k)))
-    return docs.select("k", *columns, F.posexplode(cut).alias("no", "piece"))
+def _leaf_rows(docs: DataFrame, leaf: int, columns: list[str]) -> DataFrame:
+    """A row for each leaf of each long text, as leaves() cuts them: in the JVM, in one pass over the text."""
+    return docs.select("k", *columns, F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{leaf}}}"), F.lit(0))).alias("no", "piece"))
 
 
 def _split(docs: DataFrame, leaf: int, columns: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -236,7 +264,7 @@ def encode(docs: DataFrame, tokenizer_path: str = TOKENIZER, leaf: int = LEAF, k
 
     Null and empty texts have no ids; repeated rows are encoded each, under
     their doc_id; other columns are ignored; an empty table gives no rows.
-    remembered bounds the words that a process keeps: fewer take less memory and more time.
+    remembered bounds the words that a process keeps: fewer take less memory and more time, and are kept for one task only.
     """
     return _encoded(docs, tokenizer_path, leaf, False, keep or [], remembered)
 
@@ -267,8 +295,14 @@ def _encoded(docs: DataFrame, path: str, leaf: int, digest: bool, keep: list[str
         for batch in batches:
             for k in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(k, TEXTS)
-                yield out(part.columns[1:-1], part.column(0).to_pylist(), words.ids(part.column(-1).to_pylist()))
-        words.forget()
+                if digest and words.tokenizer.decoder is None:
+                    found = [(n, hashlib.sha256(a.encode()).hexdigest(), hashlib.sha256(b.encode()).hexdigest()) for n, a, b in words.written(part.column(-1).to_pylist())]
+                    made = zip(*found, strict=True)
+                    yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, t) for x, t in zip(made, (pa.int64(), pa.string(), pa.string()), strict=True))], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                else:
+                    yield out(part.columns[1:-1], part.column(0).to_pylist(), words.ids(part.column(-1).to_pylist()))
+        if remembered < REMEMBERED:
+            words.forget()
 
     def leaf_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = known()
@@ -281,7 +315,7 @@ def _encoded(docs: DataFrame, path: str, leaf: int, digest: bool, keep: list[str
                     [*part.columns[:-1], pa.array([h for h, _, _ in parts], pa.string()), pa.array([i if m else None for i, (_, m, _) in zip(ids, parts, strict=True)], pa.list_(pa.int32())), pa.array([t for _, _, t in parts], pa.string())],
                     ["k", *columns, "no", "head", "middle", "tail"],
                 )
-        words.forget()
+        words.forget_ids()
 
     def joined(group: pa.Table) -> pa.RecordBatch:
         rows = group.select(["k", "head", "middle", "tail"]).to_pydict()
@@ -294,7 +328,7 @@ def _encoded(docs: DataFrame, path: str, leaf: int, digest: bool, keep: list[str
     # A long text's leaves meet again under its row's own number, so repeated rows with one doc_id stay apart.
     keyed = long.select(F.concat_ws(":", F.col("doc_id").cast("string"), F.monotonically_increasing_id()).alias("k"), *columns, "text")
     kinds = ", ".join(["k string", *(f"{c} string" for c in columns), "no int, head string, middle array<int>, tail string"])
-    coded = _halved(keyed, leaf, columns).repartition("k", "no").mapInArrow(task(leaf_rows), kinds)
+    coded = _leaf_rows(keyed, leaf, columns).repartition("k", "no").mapInArrow(task(leaf_rows), kinds)
     whole = grouped(coded, "k", ["no"], joined, schema)
     return short.mapInArrow(task(short_rows), schema).union(whole)
 
