@@ -2,8 +2,8 @@
 
 Each source's words, document after document in order of doc_id, are packed
 into blocks of a fixed number of words. Output shards of a fixed number of slots
-get multinomial counts of each source, drawn without replacement from the
-sources' quotas of the whole mix, so the counts of all shards add up to the
+get multinomial counts of each source, drawn by conditional binomials from what is left of
+the sources' quotas of the whole mix, so the counts of all shards add up to the
 targets. A source's slots, numbered through all shards, go through pseudorandom
 permutations of its block numbers, one for each pass over the source, and blocks
 are joined by their number.
@@ -39,7 +39,7 @@ def sizes(docs: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, at = buffer(batch.column(2))
-            found = [np.diff(Words(raw[at[a] : at[b]], at[a : b + 1] - at[a], hashed=False).range) for a, b in slices(at, SLICE_BYTES)]
+            found = [np.diff(Words(raw[at[a] : at[b]], at[a : b + 1] - at[a], hashed=0).range) for a, b in slices(at, SLICE_BYTES)]
             n = np.concatenate(found) if found else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["doc_id", "source", "size"])
 
@@ -96,19 +96,14 @@ def _permute(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 def _split(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
-    """n slots out of left: multinomial without replacement; beyond 5e8 slots source after source by a normal draw of the same mean and variance, for a small source a binomial one."""
+    """n slots out of left: a multinomial draw, source after source by conditional binomials, bounded by what each source has left and the others can't give."""
     total = int(left.sum())
     if n >= total:
         return left.copy()
-    if total < 500_000_000:
-        return rng.multivariate_hypergeometric(left, n, method="marginals")
     out = np.zeros(len(left), np.int64)
     for k, own in enumerate(map(int, left)):
-        share, rest = n / max(1, total), total - own
-        if own < 10_000:
-            drawn = int(rng.binomial(own, min(1.0, share)))
-        else:
-            drawn = round(rng.normal(own * share, np.sqrt(own * share * (1 - share) * (rest / max(1, total - 1)))))
+        rest = total - own
+        drawn = int(rng.binomial(n, own / total)) if own else 0
         out[k] = min(max(drawn, n - rest, 0), own, n)
         n, total = n - int(out[k]), rest
     return out
@@ -192,7 +187,11 @@ def mix(docs: DataFrame, seed: int = 0, weights: tuple = WEIGHTS, share: float =
 
 
 def mixed(docs: DataFrame, seed: int = 0, weights: tuple = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """Per document: doc_id, size, source_size, target and taken, the words that the mix takes of it."""
+    """Per row of docs: doc_id, size, source_size, target and taken, the words that the mix takes of it.
+
+    Null and empty texts have size 0 and are never taken; rows that repeat a doc_id, and rows without one, count each; a null
+    source is the last source; other columns are ignored; an empty table gives no rows.
+    """
     placed, aims, taken = mix(docs, seed, weights, share)
     words = taken.groupBy("row").agg(F.sum("n").alias("taken"))
     out = placed.join(words, "row", "left").join((aims.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s")))
@@ -200,25 +199,29 @@ def mixed(docs: DataFrame, seed: int = 0, weights: tuple = WEIGHTS, share: float
 
 
 def mixed_texts(docs: DataFrame, columns: list[str], seed: int = 0) -> DataFrame:
-    """The named columns of docs with text made of the words that the mix takes of each document, in its own order, a line for each pass; documents of which it takes none go."""
+    """The named columns of docs with text made of the words that the mix takes of each document, in its own order, a line for each pass; documents of which it takes none go.
+
+    So null and empty texts go; rows that repeat a doc_id, and rows without one, are mixed each; columns may have any
+    names but those that begin with __mix; an empty table gives no rows.
+    """
     placed, _, taken = mix(docs, seed)
-    pieces = taken.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("turn", "first", "n"))).alias("pieces"))
+    pieces = taken.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("turn", "first", "n"))).alias("__mix_pieces"))
     # Rows are told apart by doc_id, source, size and, where all are alike, their number.
     number = F.row_number().over(W.partitionBy("doc_id", "source", "size").orderBy("row"))
-    lists = placed.withColumn("no", number).join(pieces, "row").select(*(F.col(c).alias(f"{c}_") for c in ("doc_id", "source", "size", "no")), "pieces")
+    lists = placed.withColumn("no", number).join(pieces, "row").select(*(F.col(c).alias(f"__mix_{c}") for c in ("doc_id", "source", "size", "no")), "__mix_pieces")
 
     def size(batch: pa.RecordBatch) -> list[pa.Array]:
         raw, at = buffer(batch.column("text"))
-        return [pa.array(np.diff(Words(raw, at, hashed=False).range), pa.int64())]
+        return [pa.array(np.diff(Words(raw, at, hashed=0).range), pa.int64())]
 
-    sized = with_columns(docs, columns, size, "size_words long")
-    sized = sized.withColumn("no", F.row_number().over(W.partitionBy("doc_id", "source", "size_words").orderBy("text")))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("doc_id_")) & F.col("source").eqNullSafe(F.col("source_")) & (F.col("size_words") == F.col("size_")) & (F.col("no") == F.col("no_"))
-    joined = sized.join(lists, on).select(*columns, "pieces")
+    sized = with_columns(docs, columns, size, "__mix_words long")
+    sized = sized.withColumn("__mix_nth", F.row_number().over(W.partitionBy("doc_id", "source", "__mix_words").orderBy("text")))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__mix_doc_id")) & F.col("source").eqNullSafe(F.col("__mix_source")) & (F.col("__mix_words") == F.col("__mix_size")) & (F.col("__mix_nth") == F.col("__mix_no"))
+    joined = sized.join(lists, on).select(*columns, "__mix_pieces")
 
     def texts(batch: pa.RecordBatch) -> list[pa.Array]:
         out = []
-        for text, wanted in zip(batch.column("text").to_pylist(), batch.column("pieces").to_pylist(), strict=True):
+        for text, wanted in zip(batch.column("text").to_pylist(), batch.column("__mix_pieces").to_pylist(), strict=True):
             words = text.encode().split()
             lines: dict[int, list[bytes]] = {}
             for p in wanted:
@@ -226,5 +229,5 @@ def mixed_texts(docs: DataFrame, columns: list[str], seed: int = 0) -> DataFrame
             out.append(b"\n".join(b" ".join(lines[t]) for t in sorted(lines)).decode())
         return [pa.array(out, pa.string())]
 
-    found = with_columns(joined, [*columns, "pieces"], texts, "mixed_text string")
-    return found.withColumn("text", F.col("mixed_text")).select(*columns)
+    found = with_columns(joined, [*columns, "__mix_pieces"], texts, "__mix_text string")
+    return found.withColumn("text", F.col("__mix_text")).select(*columns)
