@@ -11,14 +11,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import task, with_columns
+from .common import grouped, materialise, task, with_columns
 
 #: Families of closely related languages; a language that is not here is a family of its own.
 FAMILIES = {
@@ -32,8 +34,10 @@ FAMILIES = {
 DIMENSIONS = 1 << 12
 #: Labelled rows that a language is learned from, at most; drawn by a hash of doc_id from all of them.
 PER_LANGUAGE = 400
-#: Languages that can be learned; with PER_LANGUAGE this bounds what training brings to the driver.
-LANGUAGES = 200
+#: Rows on either side of a family's machine, at most; drawn by the same hash.
+PER_SIDE = 1600
+#: Languages whose counts are broadcast to the rows; more are joined by a shuffle.
+BROADCAST_ROWS = 10_000
 #: Characters that are scored at once.
 CHARS = 200_000
 #: Standard deviations by which a text's n-grams may be less usual than its language's own texts, for a score of 0.5.
@@ -147,53 +151,31 @@ def svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 60) -> tupl
     return w[:-1], float(w[-1]), margin
 
 
+class Machine(NamedTuple):
+    """What one task learns: of a language its table, or the weights of a machine that parts `name` from `other` (a language, or None: all other families)."""
+
+    kind: str
+    name: str
+    other: str | None
+
+
 class Model:
-    """weights: a column for each machine; machines: (positive, negative) languages, or (family, None) for families.
+    """weights: a column for each machine, families first; tables: a row for each language, the logarithms of its n-grams' shares.
 
-    tables: a row for each language, the logarithms of its n-grams' shares; usual: their mean over one
-    of its texts that the shares leave out (the median), its variance from text to text, and that over a text's n-grams.
+    usual: the mean of such logarithms over one of the language's texts that the shares leave out
+    (the median), its variance from text to text, and that over a text's n-grams.
     """
 
-    def __init__(self, langs: list[str], x: np.ndarray, y: np.ndarray):
-        self.langs = sorted(map(str, langs))
+    def __init__(self, learned: dict[Machine, tuple[np.ndarray, list[float]]]):
+        self.langs = sorted(m.name for m in learned if m.kind == "language")
         self.families = sorted({family(v) for v in self.langs})
-        self.machines: list[tuple[str, str | None]] = []
-        if not len(x):
-            return
-        self.tables = np.empty((len(self.langs), DIMENSIONS), np.float32)
-        self.usual = np.empty((len(self.langs), 3))
-        for k, name in enumerate(self.langs):
-            self.tables[k], self.usual[k] = self._learn(x[y == name])
-        scale = np.sqrt(np.mean(x**2, axis=0)) + 1e-4
-        x = x / scale
-        x /= np.sqrt((x**2).sum(axis=1)).mean() or 1.0
-        columns = []
-        fam = np.array([family(v) for v in y])
-        if len(self.families) > 1:
-            for name in self.families if len(self.families) > 2 else self.families[:1]:
-                self.machines.append((name, None))
-                columns.append((x, np.where(fam == name, 1.0, -1.0)))
-        for name in self.families:
-            for a, b in combinations([v for v in self.langs if family(v) == name], 2):
-                self.machines.append((a, b))
-                pick = (y == a) | (y == b)
-                columns.append((x[pick], np.where(y[pick] == a, 1.0, -1.0)))
-        fitted = [svm(*c) for c in columns]
-        norm = (x * scale).sum(axis=1).mean()
-        self.bias = np.array([b / m for _, b, m in fitted])
-        self.weights = np.array([w / scale / m for w, _, m in fitted]).T.reshape(x.shape[1], len(fitted))
-        self.factor = 1.0 / norm if norm else 1.0
-
-    @staticmethod
-    def _learn(x: np.ndarray) -> tuple[np.ndarray, tuple[float, float, float]]:
-        m, total = len(x), x.sum(axis=0)
-        table = np.log((1 - UNSEEN) * total / m + UNSEEN / DIMENSIONS)
-        own = np.array([np.log((1 - UNSEEN) * np.maximum(0, total - v) / max(1, m - 1) + UNSEEN / DIMENSIONS) @ v for v in x])
-        # Medians, as some of the texts may have a wrong label. Few texts show little of how much texts differ: a quarter is added as if another text had been half a unit off.
-        middle = np.median(own)
-        between = (1.4826 * np.median(np.abs(own - middle))) ** 2 + 0.25 / (m - 1) if m > 1 else np.inf
-        share = total / total.sum()
-        return table, (middle, between, share @ (table - share @ table) ** 2)
+        found = [m for m in learned if m.kind != "language"]
+        self.machines = sorted(found, key=lambda m: (m.kind != "family", m.name, m.other or ""))
+        tables = [learned[Machine("language", v, None)] for v in self.langs]
+        self.tables = np.array([t for t, _ in tables], np.float32).reshape(-1, DIMENSIONS)
+        self.usual = np.array([u for _, u in tables]).reshape(-1, 3)
+        self.weights = np.array([learned[m][0] for m in self.machines], np.float32).reshape(-1, DIMENSIONS).T
+        self.bias = np.array([learned[m][1][0] for m in self.machines])
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         clean = [letters(t) for t in texts]
@@ -239,7 +221,7 @@ class Model:
     def _decide_part(self, clean: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         n = len(clean)
         found = features(clean)
-        margins = _sums(found, self.weights) / self.factor + self.bias if self.machines else np.zeros((n, 0))
+        margins = _sums(found, self.weights) + self.bias if self.machines else np.zeros((n, 0))
         share = 1 / (1 + np.exp(-np.clip(3 * margins, -30, 30)))
         if len(self.families) > 2:
             fam = share[:, : len(self.families)]
@@ -249,7 +231,7 @@ class Model:
             fam = np.ones((n, len(self.families)))
         votes = {v: np.zeros(n) for v in self.langs}
         faith = {v: np.ones(n) for v in self.langs}
-        for k, (a, b) in enumerate(self.machines):
+        for k, (_, a, b) in enumerate(self.machines):
             if b is not None:
                 p = share[:, k]
                 votes[a] += (p >= 0.5) + p * 1e-3
@@ -266,30 +248,93 @@ class Model:
         return best, score, self.usual[best, 0] - _usual(found, self.tables, best)
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Learn from text and lang of labelled rows that are not held out: at most per_language rows of each of LANGUAGES languages, as vectors made on the executors."""
+def machines(langs: list[str]) -> list[Machine]:
+    """All that is to be learned: a table of each language, a machine for each family (for two families: one) and for each pair of languages in one."""
+    families = sorted({family(v) for v in langs})
+    out = [Machine("language", v, None) for v in langs]
+    if len(families) > 1:
+        out += [Machine("family", f, None) for f in (families if len(families) > 2 else families[:1])]
+    return out + [Machine("pair", a, b) for f in families for a, b in combinations([v for v in langs if family(v) == f], 2)]
+
+
+def _learn_table(x: np.ndarray) -> tuple[np.ndarray, list[float]]:
+    m, total = len(x), x.sum(axis=0)
+    table = np.log((1 - UNSEEN) * total / m + UNSEEN / DIMENSIONS)
+    own = np.array([np.log((1 - UNSEEN) * np.maximum(0, total - v) / max(1, m - 1) + UNSEEN / DIMENSIONS) @ v for v in x])
+    # Medians, as some of the texts may have a wrong label. Few texts show little of how much texts differ: a quarter is added as if another text had been half a unit off.
+    middle = np.median(own)
+    between = (1.4826 * np.median(np.abs(own - middle))) ** 2 + 0.25 / (m - 1) if m > 1 else np.inf
+    share = total / total.sum()
+    return table, [float(middle), float(between), float(share @ (table - share @ table) ** 2)]
+
+
+def _learn_machine(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, list[float]]:
+    scale = np.sqrt(np.mean(x**2, axis=0)) + 1e-4
+    x = x / scale
+    length = np.sqrt((x**2).sum(axis=1)).mean() or 1.0
+    x /= length
+    w, bias, margin = svm(x, y)
+    return w / scale / length / margin, [bias / margin]
+
+
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, per_side: int = PER_SIDE) -> Model:
+    """Learn from text and lang of labelled rows that are not held out.
+
+    At most per_language rows of each language are used, drawn by a hash of doc_id from all of them, and at most
+    per_side on either side of a family's machine. Every machine is fitted in a task of its own from its own rows;
+    the driver gets weights, DIMENSIONS numbers a machine. Null texts, texts without a letter and null labels teach
+    nothing; without any other the model predicts `und` for all. The result doesn't depend on how rows are dealt.
+    """
     rows = docs.select(F.col("doc_id").cast("string").alias("key"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where(~held_out(F.col("key")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
-    if not counts:
-        return Model([], np.zeros((0, DIMENSIONS)), np.array([], str))
-    share = F.element_at(F.create_map(*(F.lit(v) for k, n in counts.items() for v in (k, min(1.0, 1.1 * per_language / n)))), F.col("lang"))
-    drawn = (F.abs(F.xxhash64(F.col("key"), F.lit(9))) % 1_000_003) / 1_000_003.0 < share
-    known = F.col("lang").isin(list(counts))
+    counts = materialise(rows.groupBy("lang").count())
+    share = counts.select(F.col("lang").alias("l"), F.least(F.lit(1.0), F.lit(1.1 * per_language) / F.col("count")).alias("share"))
+    share = F.broadcast(share) if counts.count() <= BROADCAST_ROWS else share
+    drawn = (F.abs(F.xxhash64(F.col("key"), F.lit(9))) % 1_000_003) / 1_000_003.0 < F.col("share")
+    order = F.xxhash64(F.col("key"), F.lit(9))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            clean = [letters(t) for t in batch.column(0).to_pylist()]
-            use = [k for k, t in enumerate(clean) if t]
-            langs = batch.column(1).to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array([langs[k] for k in use], pa.string()), pa.array([vector(clean[k]).astype(np.float32).tobytes() for k in use], pa.binary())], ["lang", "v"])
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                clean = [letters(t) for t in part.column(0).to_pylist()]
+                use = pa.array([i for i, t in enumerate(clean) if t], pa.int64())
+                found = pa.array([vector(t).astype(np.float32).tobytes() for t in clean if t], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(1).take(use), part.column(2).take(use), found], ["lang", "h", "v"])
+
+    known = rows.join(share, F.col("lang") == F.col("l")).where(drawn).select("text", "lang", order.alias("h")).mapInArrow(task(vectors), "lang string, h long, v binary")
+    place = F.row_number().over(W.partitionBy("lang").orderBy("h", "v"))
+    sample = materialise(known.withColumn("place", place).where(F.col("place") <= per_language))
+
+    sizes = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()}  # a row for each language, as the model has
+    wanted = machines(sorted(sizes))
+    sides: dict[str, list[tuple[int, float, float]]] = {v: [] for v in sizes}  # machine, side, share of the language's rows
+    for k, (kind, name, other) in enumerate(wanted):
+        if kind == "language":
+            sides[name].append((k, 1.0, 1.0))
+        elif kind == "pair":
+            sides[name].append((k, 1.0, 1.0))
+            sides[other].append((k, -1.0, 1.0))
+        else:
+            for y in (1.0, -1.0):
+                members = [v for v in sizes if (family(v) == name) == (y > 0)]
+                for v in members:
+                    sides[v].append((k, y, min(1.0, per_side / sum(sizes[m] for m in members))))
 
-    sample = rows.where(known & drawn).select("text", "lang").mapInArrow(task(vectors), "lang string, v binary")
-    found = sample.limit(2 * per_language * len(counts)).collect()
-    found.sort(key=lambda r: (r["lang"], bytes(r["v"])))
-    x = np.array([np.frombuffer(r["v"], np.float32) for r in found], np.float64).reshape(-1, DIMENSIONS)
-    y = np.array([r["lang"] for r in found], str)
-    return Model(sorted({str(v) for v in y}), x, y)
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (lang, h, v) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("lang", "h", "v")), strict=True)):
+                to = [(k, y) for k, y, part in sides[lang] if part >= 1 or (h * 0x9E3779B97F4A7C15 + k * 0xD6E8FEB86659FD93) % 2**64 < part * 2**64]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in to], pa.int32()), pa.array([y for _, y in to], pa.float64()), pa.array([h] * len(to), pa.int64()), pa.array([v] * len(to), pa.binary())], ["machine", "side", "h", "v"])
+
+    def fit(group: pa.Table) -> pa.RecordBatch:
+        k = group.column("machine")[0].as_py()
+        x = np.frombuffer(b"".join(group.column("v").to_pylist()), np.float32).reshape(-1, DIMENSIONS).astype(np.float64)
+        found, numbers = _learn_table(x) if wanted[k].kind == "language" else _learn_machine(x, group.column("side").to_numpy())
+        return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([found.astype(np.float32).tobytes()], pa.binary()), pa.array([numbers], pa.list_(pa.float64()))], ["machine", "found", "numbers"])
+
+    fitted = grouped(sample.select("lang", "h", "v").mapInArrow(task(dealt), "machine int, side double, h long, v binary"), "machine", ["h", "side", "v"], fit, "machine int, found binary, numbers array<double>")
+    return Model({wanted[r["machine"]]: (np.frombuffer(r["found"], np.float32), list(r["numbers"])) for r in fitted.collect()})
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -312,7 +357,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def identify_rows(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
-    """The named columns of docs (text among them) with lang_pred and score, as identify() finds them."""
+    """The named columns of docs (text among them) with lang_pred and score, as identify() finds them.
+
+    Columns of these two names give way; nulls, empty texts, repeated rows and empty tables are as in identify().
+    """
+    columns = [c for c in columns if c not in ("lang_pred", "score")]
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batch: pa.RecordBatch) -> list[pa.Array]:
