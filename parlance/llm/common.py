@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,11 +14,8 @@ from pyspark.sql import functions as F
 #: Texts are handled in slices of about this many bytes, cut between texts.
 SLICE_BYTES = 1_000_000
 
-_RNG = np.random.default_rng(20_240_601)
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_R = 0x9E3779B97F4A7C15
-_RINV = pow(_R, -1, 2**64)
-_POW = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Odd multipliers of the two independent halves of a 128-bit hash.
+LANES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 #: ASCII white space: 0x20 and 0x09-0x0D.
 SPACE = np.zeros(256, bool)
@@ -56,10 +52,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or where it is unset (tests) one in the warehouse, which they share too."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="parlance-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/parlance-{uuid.uuid4().hex}"
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
@@ -68,29 +64,30 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: lineage ends there, and a lost executor costs a reread."""
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+_WRITTEN: list[str] = []
+
+
+def written() -> int:
+    """How many tables materialise() has written so far."""
+    return len(_WRITTEN)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """R**i and R**-i modulo 2**64 for i < n; kept for the next call."""
-    have = len(_POW[0])
-    if have < n:
-        n = max(n, 2 * have)
-        for k, base in enumerate((_R, _RINV)):
-            out = np.empty(n, np.uint64)
-            out[0] = 1
-            done = 1
-            with np.errstate(over="ignore"):
-                while done < n:
-                    step = min(done, n - done)
-                    out[done : done + step] = out[:step] * np.uint64(pow(base, done, 2**64))
-                    done += step
-            _POW[k] = out
-    return _POW[0], _POW[1]
+def discard(spark: SparkSession, since: int, keep: DataFrame) -> None:
+    """Delete the tables written since then that nothing needs any more: all but those that `keep` reads."""
+    needed = [f.rsplit("/", 1)[0].split(":", 1)[-1].rstrip("/") for f in keep.inputFiles()]
+    for path in _WRITTEN[since:]:
+        if not any(n.endswith(path.split(":", 1)[-1].rstrip("/")) for n in needed):
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            _WRITTEN.remove(path)
+
+
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -103,22 +100,51 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def prefix(symbols: np.ndarray) -> np.ndarray:
-    """Prefix sums of value(symbol) * R**position, from which any substring hash follows in O(1)."""
-    values = _BYTE[symbols] if symbols.dtype == np.uint8 else (symbols.astype(np.uint64) + np.uint64(0x51ED27)) * np.uint64(0xD1342543DE82EF95)
-    out = np.zeros(len(symbols) + 1, np.uint64)
-    np.cumsum(values * powers(len(symbols))[0][: len(symbols)], out=out[1:])
+def joined_hash(a: np.ndarray, b: np.ndarray, lane: int = 0) -> np.ndarray:
+    """A hash of two neighbours; the shift between products keeps it from being a polynomial, whose collisions don't depend on the multiplier."""
+    out = a ^ (a >> np.uint64(29))
+    out *= LANES[lane]
+    out += b
     return out
 
 
-def spans_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mix((sums[end] - sums[start]) * powers(len(sums))[1][start])
-
-
-def grams_hash(sums: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of every k consecutive symbols."""
-    n = len(sums) - k
-    return mix((sums[k:] - sums[:n]) * powers(len(sums))[1][:n]) if n > 0 else np.empty(0, np.uint64)
+def grams_hash(symbols: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
+    """64-bit hashes of every k consecutive symbols, by doubling. Equal strings hash alike; what must not be taken for equal is compared besides."""
+    if len(symbols) < k:
+        return np.empty(0, np.uint64)
+    power = symbols.astype(np.uint64)
+    power += np.uint64(0x51ED27)
+    power *= LANES[1 - lane]
+    have, out, done = 1, None, 0
+    while True:
+        if k & have:
+            out, done = (power, have) if out is None else (joined_hash(power[: len(power) - done], out[have:], lane), done + have)
+            if done == k:
+                return mix(out)
+        power = joined_hash(power[:-have], power[have:], lane)
+        have *= 2
+
+
+def words_hash(raw: np.ndarray, start: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
+    """64-bit hashes of byte strings: eight bytes a round, multiplied and shifted, their length last. Both lanes together are a 128-bit hash of the bytes."""
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))
+    size = end - start
+    out = np.full(len(start), LANES[1 - lane], np.uint64)
+    todo = np.arange(len(start))
+    at, left = start, size
+    while len(todo):
+        block = eight[at] & _MASK[np.minimum(left, 8)]
+        now = (out[todo] if len(todo) < len(out) else out) ^ block
+        now *= LANES[lane]
+        now ^= now >> np.uint64(31)
+        out[todo] = now
+        more = left > 8
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    return mix(out + size.astype(np.uint64) * LANES[1 - lane])
+
+
+_MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
 
 def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -142,9 +168,9 @@ def slices(offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 
 class Words:
-    """The words `[^\\x20\\x09-\\x0D]+` of several texts: byte spans, 64-bit hashes and each text's range."""
+    """The words `[^\\x20\\x09-\\x0D]+` of several texts: byte spans, each text's range, and both halves of 128-bit hashes."""
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray, hashed: bool = True):
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, hashed: int = 2):
         inside = ~SPACE[raw]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
@@ -157,33 +183,32 @@ class Words:
         self.start = np.flatnonzero(first)
         self.end = np.flatnonzero(last) + 1
         self.range = np.searchsorted(self.start, offsets)
-        self.hash = spans_hash(prefix(raw), self.start, self.end) if hashed else None
+        self.hash = [words_hash(raw, self.start, self.end, lane) for lane in range(hashed)]
 
 
-def shingles(words: Words, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of n consecutive words and the range of each text; a text of 1 to n-1 words has one shingle, all its words."""
-    h, at = words.hash, words.range
+def shingles(words: Words, n: int = 5) -> tuple[list[np.ndarray], np.ndarray]:
+    """128-bit hashes (two halves) of n consecutive words, and the range of each text; a text of 1 to n-1 words has one shingle, all its words."""
+    at = words.range
     count = np.diff(at)
-    m = len(h)
-    with np.errstate(over="ignore"):
-        acc = np.zeros(max(0, m - n + 1), np.uint64)
-        for j in range(n):
-            acc = acc * np.uint64(_R) + h[j : m - n + 1 + j] if m >= n else acc
-        acc = mix(acc)
     many = np.maximum(0, count - n + 1)
     out = np.concatenate([[0], np.cumsum(np.where((count > 0) & (count < n), 1, many))]).astype(np.int64)
-    flat = np.empty(out[-1], np.uint64)
-    long = np.flatnonzero(many)
-    if len(long):
-        take = np.repeat(at[:-1][long] - np.concatenate([[0], np.cumsum(many[long])[:-1]]), many[long]) + np.arange(many[long].sum())
-        put = np.repeat(out[:-1][long] - np.concatenate([[0], np.cumsum(many[long])[:-1]]), many[long]) + np.arange(many[long].sum())
-        flat[put] = acc[take]
-    for d in np.flatnonzero((count > 0) & (count < n)):
-        v = int(count[d])
-        for x in h[at[d] : at[d + 1]]:
-            v = (v * _R + int(x) + 1) % 2**64
-        flat[out[d]] = mix(np.array([v], np.uint64))[0]
-    return flat, out
+    long, few = np.flatnonzero(many), np.flatnonzero((count > 0) & (count < n))
+    before = np.cumsum(many[long]) - many[long]
+    step = np.arange(many[long].sum())
+    take = np.repeat(at[:-1][long] - before, many[long]) + step
+    put = np.repeat(out[:-1][long] - before, many[long]) + step
+    found = []
+    for lane, h in enumerate(words.hash):
+        flat = np.empty(out[-1], np.uint64)
+        flat[put] = grams_hash(h, n, lane)[take] if len(take) else 0
+        # Fewer words than n: folded from the first on, with their number, one round for all texts.
+        value = count[few].astype(np.uint64)
+        for k in range(n - 1):
+            on = np.flatnonzero(count[few] > k)
+            value[on] = joined_hash(value[on], h[at[few[on]] + k], lane)
+        flat[out[few]] = mix(value)
+        found.append(flat)
+    return found, out
 
 
 def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -206,13 +231,13 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def grouped(df: DataFrame, key: str, order: list[str], fn: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """fn over each group of a bounded size, streamed from sorted partitions; its results are gathered into larger batches."""
+def grouped(df: DataFrame, key: str, order: list[str], fn: Callable[[pa.Table], pa.RecordBatch | None], schema: str, many: int = 0) -> DataFrame:
+    """fn over each group of a bounded size, streamed from sorted partitions; its results are gathered into larger batches. With `many`, fn gets several whole groups at once, of that many rows or some more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready: list[pa.RecordBatch] = []
         rows = 0
-        for group in groups(batches, key):
+        for group in runs_of_groups(batches, key, many) if many else groups(batches, key):
             out = fn(group)
             if out is not None and out.num_rows:
                 ready.append(out)
@@ -227,6 +252,26 @@ def grouped(df: DataFrame, key: str, order: list[str], fn: Callable[[pa.Table],
     return df.repartition(n, key).sortWithinPartitions(key, *order).mapInArrow(task(run), schema)
 
 
+def runs_of_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int) -> Iterator[pa.Table]:
+    """Tables of whole groups out of batches that are sorted by key, each of so many rows at least (but the last); only one is held at a time."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in (b.slice(k, rows) for b in batches for k in range(0, b.num_rows, rows)):
+        if held and size >= rows:
+            differs = np.flatnonzero(batch.column(key).to_numpy(zero_copy_only=False) != held[-1].column(key)[-1].as_py())
+            cut = int(differs[0]) if len(differs) else batch.num_rows
+            held.append(batch.slice(0, cut))
+            if cut < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+            batch = batch.slice(cut)
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def documents(docs: DataFrame) -> DataFrame:
     """doc_id and text alone: other columns, of whatever name, are left behind."""
     bound_batches(docs.sparkSession)

@@ -51,7 +51,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in local_forest(*np.concatenate(held, axis=1))], ["a", "b"])
 
 
-def components(edges: DataFrame, dense: bool = False) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of an edge table (a, b): the component is its smallest node.
 
     Each partition first contracts its own edges to a forest. Then rounds join
@@ -62,19 +62,18 @@ def components(edges: DataFrame, dense: bool = False) -> DataFrame:
     e = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     # Dealt by the larger end: a hub is the smaller end of its edges, so they spread over all tasks.
     e = materialise(e.mapInArrow(task(_forest), EDGE).repartition(partitions(e.sparkSession), "a").mapInArrow(task(_forest), EDGE))
-    state = None
     while True:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")).select("n", F.least("n", "m").alias("m"))
-        large = both.join(low, both.a == low.n).where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = both.join(low, both.a == low.n).where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"), (F.col("m") != F.col("a")).alias("moved"))
         low = large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"))
         small = large.join(low, large.a == low.n)
-        small = small.select("a", F.col("m").alias("b")).union(small.select(F.col("b").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
+        # Links stay as they are if every node has one, to the smallest of all that it leads to.
+        far = F.col("b") != F.col("m")
+        small = small.select("a", F.col("m").alias("b"), (F.col("moved") | far).alias("moved")).union(small.where(far).select(F.col("b").alias("a"), F.col("m").alias("b"), F.lit(True).alias("moved")))
         told = Observation()
-        e = materialise(small.observe(told, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")))
-        now = told.get
-        if now == state:
+        e = materialise(small.groupBy("a", "b").agg(F.max("moved").alias("moved")).observe(told, F.max("moved").alias("moved"))).select("a", "b")
+        if not told.get["moved"]:
             break
-        state = now
     roots = e.select(F.col("b").alias("node"), F.col("b").alias("component"))
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots).distinct()

@@ -66,10 +66,11 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, window: in
     Only vectors of one label, not null, and of one dimension are compared, by cosine in double
     precision. Vectors that are null, empty, zero or hold null or non-finite components link with
     nothing. n_links counts the other vectors linked directly, component_id is
-    the smallest vec_id that links reach, kept marks it. Rows that repeat a vec_id count each. Rows without a vec_id are
-    left out; other columns are ignored; an empty table gives no rows.
+    the smallest vec_id that links reach, kept marks it. Rows that repeat a vec_id count each. A row without a vec_id
+    links with nothing and is kept, with a null component_id; other columns are ignored; an empty table gives no rows.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("string").alias("label")).where("vec_id is not null")
+    every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("string").alias("label"))
+    rows = every.where("vec_id is not null")
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,7 +131,8 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, window: in
     per = per.select(F.col("grp").alias("g"), F.col("unit").alias("u"), F.coalesce("component", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
     out = found.join(per, (F.col("grp") == F.col("g")) & (F.col("unit") == F.col("u")), "left")
     component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    return out.unionByName(every.where("vec_id is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept")))
 
 
 def _ordered(coded: DataFrame, n_tasks: int) -> DataFrame:

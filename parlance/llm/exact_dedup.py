@@ -63,10 +63,13 @@ def exact_dedup(docs: DataFrame, keep: str = "max") -> DataFrame:
 
     keep is "max" or "min": which doc_id of equal texts stays. Null counts as the
     empty text. Rows that repeat a doc_id and a text are counted each, and only
-    one of them is kept. Rows without a doc_id are left out. Other columns are
+    one of them is kept. A null doc_id comes after all others in the order of preference: a row without one
+    stays (keep_id null) only if no equal text has one. Other columns are
     ignored; an empty table gives no rows. Texts of any length are compared in full.
     """
-    docs = documents(docs)
+    # Stands for null inside; the least wanted of all numbers.
+    nobody = -(2**63) if keep == "max" else 2**63 - 1
+    docs = documents(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(nobody)))
     spark = docs.sparkSession
     ranges = partitions(spark)
     cuts = splitters(docs, ranges)
@@ -113,7 +116,7 @@ def exact_dedup(docs: DataFrame, keep: str = "max") -> DataFrame:
                 last = last.copy()
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), *(batch.column(n) for n in ("sha", "ids", "best"))], ["grp", "sha", "ids", "best"])
 
-    reps = docs.where("doc_id is not null").mapInArrow(task(local), REP)
+    reps = docs.mapInArrow(task(local), REP)
     dealt = reps.repartitionById(ranges, F.col("pid")).sortWithinPartitions("head", "body").drop("head", "h", "pid")
     found = dealt.mapInArrow(task(neighbours), "grp string, sha string, ids array<long>, best long")
     found = materialise(found.withColumn("uid", F.monotonically_increasing_id()))
@@ -122,4 +125,5 @@ def exact_dedup(docs: DataFrame, keep: str = "max") -> DataFrame:
     sizes = found.groupBy("grp").agg(stays, F.sum(F.size("ids")).alias("group_size"))
     out = found.join(sizes, "grp").select("sha", F.col("stays.best").alias("keep_id"), (F.col("stays.uid") == F.col("uid")).alias("here"), "group_size", F.posexplode("ids").alias("no", "doc_id"), "ids")
     kept = F.col("here") & (F.col("doc_id") == F.col("keep_id")) & (F.col("no") == F.array_position("ids", F.col("doc_id")) - 1)
-    return out.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256"))
+    named = lambda c: F.nullif(c, F.lit(nobody)).alias(c)
+    return out.select(named("doc_id"), named("keep_id"), F.col("group_size").cast("long").alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256"))

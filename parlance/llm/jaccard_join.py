@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import Words, buffer, documents, grouped, materialise, shingles, slices, task
 from .components import components, local_forest
-from .minhash import STAR, band_keys, bayes_pairs, blocks_of, densified, exact_pairs, sketch, spread, star_edges, star_rows
+from .minhash import STAR, Sets, band_keys, bayes_pairs, blocks_of, densified, exact_pairs, sketch, spread, star_edges, star_rows
 
 NGRAM, THRESHOLD = 5, 0.8
 #: A pair goes when P(Jaccard >= THRESHOLD) falls below this.
@@ -30,21 +30,45 @@ TOLERANCE = 1e-7
 BINS_LOG2, BANDS, ROWS = 8, 42, 6
 
 
-def _sets(column: pa.Array, n: int) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """Sorted distinct n-gram hashes of each text, a slice of rows at a time."""
+def _distinct(values: np.ndarray) -> np.ndarray:
+    s = np.sort(values)
+    keep = np.ones(len(s), bool)
+    np.not_equal(s[1:], s[:-1], out=keep[1:])
+    return s[keep]
+
+
+def _sets(column: pa.Array, n: int) -> Iterator[tuple[int, list[np.ndarray], list[bytes]]]:
+    """Sorted distinct n-gram hashes of each text and a key of its set, a slice of rows at a time.
+
+    The key is a digest of both halves of the n-grams' 128-bit hashes; empty where there are none.
+    """
     raw, at = buffer(column)
     for a, b in slices(at):
-        flat, of = shingles(Words(raw[at[a] : at[b]], at[a : b + 1] - at[a]), n)
-        out = []
+        (one, two), of = shingles(Words(raw[at[a] : at[b]], at[a : b + 1] - at[a]), n)
+        sets = [_distinct(one[x:y]) for x, y in zip(of[:-1], of[1:], strict=True)]
+        keys = [xxhash.xxh3_128_digest(s.tobytes() + _distinct(two[x:y]).tobytes()) if len(s) else b"" for s, x, y in zip(sets, of[:-1], of[1:], strict=True)]
+        yield a, sets, keys
+
+
+def _exact_sets(column: pa.Array, n: int) -> tuple[list[np.ndarray], list[np.ndarray], list[bytes]]:
+    """Hashes as in _sets(), numbers that are equal only for n-grams with equal 128-bit hashes, and the sets' keys."""
+    sets, keys, flat, other = [], [], [], []
+    raw, at = buffer(column)
+    for a, found, key in _sets(column, n):
+        b = a + len(found)
+        (one, two), of = shingles(Words(raw[at[a] : at[b]], at[a : b + 1] - at[a]), n)
+        sets += found
+        keys += key
         for x, y in zip(of[:-1], of[1:], strict=True):
-            s = np.sort(flat[x:y])
-            if len(s) > 1:
-                keep = np.empty(len(s), bool)
-                keep[0] = True
-                np.not_equal(s[1:], s[:-1], out=keep[1:])
-                s = s[keep]
-            out.append(s)
-        yield a, out
+            order = np.argsort(one[x:y], kind="stable")
+            flat.append(one[x:y][order])
+            other.append(two[x:y][order])
+    h, g = np.concatenate(flat), np.concatenate(other)
+    order = np.argsort(h, kind="stable")
+    if (g[order[1:]] != g[order[:-1]])[h[order[1:]] == h[order[:-1]]].any():
+        code = np.unique(np.column_stack([h, g]), axis=0, return_inverse=True)[1].ravel().astype(np.uint64)
+        return sets, [_distinct(x) for x in np.split(code, np.cumsum([len(x) for x in flat])[:-1])], keys
+    return sets, sets, keys
 
 
 def _signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -61,17 +85,18 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
     same set of n-grams and group_size their number; n_links counts the other
     documents with Jaccard >= threshold, copies included; component_id is the
     smallest doc_id that links reach; kept marks it. Rows that repeat a doc_id count as
-    documents of their own, of which all or none are kept. Rows without a doc_id are left out; other columns
-    are ignored; an empty table gives no rows.
+    documents of their own, of which all or none are kept. A row without a doc_id links with nothing and is kept, with null rep_id
+    and component_id; other columns are ignored; an empty table gives no rows. N-grams are equal if 128-bit hashes of
+    their words' bytes are.
     """
-    docs = documents(docs).where("doc_id is not null")
+    every = documents(docs)
+    docs = every.where("doc_id is not null")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for a, sets in _sets(batch.column(1), n):
+            for a, sets, digest in _sets(batch.column(1), n):
                 keys = densified(_signatures(sets))
-                digest = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else b"" for s in sets]
                 bands = pa.FixedSizeListArray.from_arrays(pa.array(band_keys(keys, BANDS, ROWS).ravel()), BANDS).cast(pa.list_(pa.int64()))
                 size = pa.array([len(s) for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(ids[a : a + len(sets)]), pa.array(digest, pa.binary()), bands, size], ["doc_id", "cls", "bands", "size"])
@@ -99,13 +124,13 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
     def compare(group: pa.Table) -> pa.RecordBatch | None:
         group = group.combine_chunks()
         rep, count, side = (group.column(c).to_numpy() for c in ("rep", "n", "side"))
-        sets = [s for _, part in _sets(group.column("text").chunk(0), n) for s in part]
-        own = np.array([xxhash.xxh3_128_digest(s.tobytes()) == c for s, c in zip(sets, group.column("cls").to_pylist(), strict=True)], bool)
+        sets, exact, keys = _exact_sets(group.column("text").chunk(0), n)
+        own = np.array([k == c for k, c in zip(keys, group.column("cls").to_pylist(), strict=True)], bool)
         own[own] = _firsts(rep[own])
         if not own.all():
-            rep, count, side, sets = rep[own], count[own], side[own], [s for s, k in zip(sets, own, strict=True) if k]
+            rep, count, side, sets, exact = rep[own], count[own], side[own], [s for s, k in zip(sets, own, strict=True) if k], [s for s, k in zip(exact, own, strict=True) if k]
         i, j = bayes_pairs(_signatures(sets), side, threshold, tolerance)
-        real = exact_pairs(sets, i, j, threshold)
+        real = exact_pairs(Sets.of(exact), i, j, threshold)
         i, j = i[real], j[real]
         if not len(i):
             return None
@@ -125,7 +150,9 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
     per = classes.select("cls", "rep", "n").join(links, F.col("rep") == F.col("r"), "left").join(joined, F.col("rep") == F.col("node"), "left")
     per = per.select("cls", F.col("rep").alias("rep_id"), F.col("n").alias("group_size"), F.coalesce("component", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
     out = found.select("doc_id", "cls").join(per, "cls")
-    return out.select("doc_id", "rep_id", "group_size", "component_id", "n_links", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    out = out.select("doc_id", "rep_id", "group_size", "component_id", "n_links", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    none = F.lit(None).cast("long")
+    return out.unionByName(every.where("doc_id is null").select("doc_id", none.alias("rep_id"), F.lit(1).cast("long").alias("group_size"), none.alias("component_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept")))
 
 
 def _firsts(values: np.ndarray) -> np.ndarray:

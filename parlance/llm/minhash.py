@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import mix, partitions
+from .common import mix, partitions, task
 
 EMPTY = np.uint32(0xFFFFFFFF)
 #: Members of a block, and elements of their sets; a larger cluster is compared block by block.
@@ -68,25 +69,37 @@ def stars(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def star_rows(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-    """What a batch of (key, id) sends on: a row for each key with its hub (b is null), and a row for each edge found, under some key."""
+    """What a batch of (key, id) sends on: a row for each key with its hub, and for each edge found two rows under a key of their own."""
     k, hub, a, b = stars(keys, ids)
-    other = pa.array(np.concatenate([hub, b]), pa.int64(), mask=np.arange(len(k) + len(b)) < len(k))
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([k, b])), pa.array(np.concatenate([hub, a])), other], ["key", "a", "b"])
+    own = mix(mix(a.view(np.uint64)) + b.view(np.uint64)).view(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([k, own, own])), pa.array(np.concatenate([hub, a, b]))], ["key", "id"])
 
 
-STAR = "key long, a long, b long"
+STAR = "key long, id long"
 
 
 def star_edges(rows: DataFrame) -> DataFrame:
     """Edges (a, b) that join the members of every band bucket, from star_rows().
 
     Each batch has sent one row for a bucket, so a bucket with a third of all rows
-    is a row for each batch here; in a bucket every hub is linked to the one before it.
-    Hubs and edges go through one exchange, so that rows are made once.
+    is a row for each batch here; in a bucket every hub is linked to the one read before it.
+    All goes through one exchange, so that rows are made once, and one sort by a
+    single number; buckets are streamed, none is held.
     """
-    dealt = rows.repartition(partitions(rows.sparkSession), "key").withColumn("edge", F.col("b").isNotNull())
-    before = F.lag("a").over(W.partitionBy("key", "edge").orderBy("a"))
-    return dealt.select("a", F.when(F.col("edge"), F.col("b")).otherwise(before).alias("b")).where("b is not null and a <> b")
+
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple[int, int] | None = None
+        for batch in batches:
+            key, own = (batch.column(c).to_numpy() for c in ("key", "id"))
+            if last is not None:
+                key, own = np.concatenate([[last[0]], key]), np.concatenate([[last[1]], own])
+            if len(key):
+                last = (key[-1], own[-1])
+                again = np.flatnonzero((key[1:] == key[:-1]) & (own[1:] != own[:-1]))
+                yield pa.RecordBatch.from_arrays([pa.array(own[again + 1]), pa.array(own[again])], ["a", "b"])
+
+    dealt = rows.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key")
+    return dealt.mapInArrow(task(chain), "a long, b long")
 
 
 def blocks_of(rows: Column, elements: Column | None = None) -> Column:
@@ -123,13 +136,6 @@ def _least_table(bins: int, threshold: float, tolerance: float) -> np.ndarray:
     return np.array([least_matches(n, threshold, tolerance) for n in range(bins + 1)])
 
 
-def all_pairs(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs of a job: across its two blocks, or within its one."""
-    i, j = np.triu_indices(len(side), 1)
-    keep = (side[i] == 2) | (side[i] != side[j])
-    return i[keep], j[keep]
-
-
 def bayes_pairs(signatures: np.ndarray, side: np.ndarray, threshold: float, tolerance: float, step: int = 16) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (i, j) that survive: values are compared step by step, and a pair goes once its posterior falls below the tolerance. Bins empty in both are no evidence."""
     bins = signatures.shape[1]
@@ -156,27 +162,67 @@ def bayes_pairs(signatures: np.ndarray, side: np.ndarray, threshold: float, tole
     return (np.concatenate(out_i), np.concatenate(out_j)) if out_i else (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
-def exact_pairs(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
-    """Which of the pairs have exact Jaccard >= threshold; sets are arrays of distinct values."""
-    if not len(i):
-        return np.empty(0, bool)
-    size = np.array([len(s) for s in sets], np.int64)
-    if len(i) < 4 * len(sets):
-        common = np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i.tolist(), j.tolist(), strict=True)], np.int64)
-    else:
-        common = _all_common(sets)[i, j]
-    union = size[i] + size[j] - common
-    return (union > 0) & (common >= threshold * union - 1e-9)
+@dataclass(frozen=True)
+class Sets:
+    """Sets of numbers 0..kinds-1: those of set k at code[at[k]:at[k + 1]], distinct and in order."""
+
+    code: np.ndarray
+    at: np.ndarray
+    kinds: int
 
+    @classmethod
+    def of(cls, sets: list[np.ndarray]) -> Sets:
+        values, code = np.unique(np.concatenate(sets), return_inverse=True)
+        return cls(code.ravel(), np.concatenate([[0], np.cumsum([len(s) for s in sets])]), len(values))
 
-def _all_common(sets: list[np.ndarray]) -> np.ndarray:
+    def part(self, a: int, b: int) -> Sets:
+        return Sets(self.code[self.at[a] : self.at[b]], self.at[a : b + 1] - self.at[a], self.kinds)
+
+
+def exact_pairs(sets: Sets, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the pairs have exact Jaccard >= threshold."""
+    size = np.diff(sets.at)
+    least, most = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+    out = (most > 0) & (least >= threshold * most - 1e-9)
+    x, y = i[out], j[out]
+    if len(x):
+        common = _common(sets, x, y) if len(x) < SMALL * len(size) else _all_common(sets)[x, y]
+        out[out] = common >= threshold * (size[x] + size[y] - common) - 1e-9
+    return out
+
+
+#: Elements that are looked up at once.
+LOOKUP = 2_000_000
+
+
+def _common(sets: Sets, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of some pairs: the elements of i are looked up among (set, element), as one sorted array of numbers."""
+    size = np.diff(sets.at)
+    cells = np.repeat(np.arange(len(size)), size) * sets.kinds + sets.code
+    out = np.empty(len(i), np.int64)
+    ends = np.cumsum(size[i])
+    a = 0
+    while a < len(i):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + LOOKUP, "right")))
+        n = size[i[a:b]]
+        begin = np.cumsum(n) - n
+        take = np.repeat(sets.at[i[a:b]] - begin, n) + np.arange(n.sum())
+        wanted = np.repeat(j[a:b], n) * sets.kinds + sets.code[take]
+        at = np.searchsorted(cells, wanted)
+        hit = np.concatenate([[0], np.cumsum(cells[np.minimum(at, len(cells) - 1)] == wanted)])
+        out[a:b] = hit[begin + n] - hit[begin]
+        a = b
+    return out
+
+
+def _all_common(sets: Sets) -> np.ndarray:
     """Sizes of all intersections of up to two blocks of sets: values of many sets by products of 0/1 matrices, those of few by counting their pairs."""
-    n = len(sets)
-    owner = np.repeat(np.arange(n), [len(s) for s in sets])
-    values, column, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    n = len(sets.at) - 1
+    owner = np.repeat(np.arange(n), np.diff(sets.at))
+    df = np.bincount(sets.code, minlength=sets.kinds)
     out = np.zeros((n, n), np.float32)
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
+    order = np.argsort(sets.code, kind="stable")
+    owner, column = owner[order], sets.code[order]
     few = (df[column] > 1) & (df[column] <= 8)
     first = np.concatenate([[0], np.cumsum(df)])
     place = np.arange(len(column)) - first[column]
@@ -186,7 +232,7 @@ def _all_common(sets: list[np.ndarray]) -> np.ndarray:
         hit = np.bincount(pairs, minlength=n * n).reshape(n, n)
         out += hit + hit.T
     many = np.flatnonzero(df > 8)
-    code = np.full(len(values), -1)
+    code = np.full(sets.kinds, -1)
     code[many] = np.arange(len(many))
     code = code[column]
     width = max(64, 8_000_000 // n)
@@ -196,3 +242,37 @@ def _all_common(sets: list[np.ndarray]) -> np.ndarray:
         dense[owner[use], code[use] - a] = 1
         out += dense @ dense.T
     return out.astype(np.int64)
+
+
+#: Sets of a job above which all its intersections are counted at once.
+SMALL = 32
+
+
+def alike(sets: Sets, jobs: np.ndarray, side: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (i, j) of each job with exact Jaccard >= threshold, across its two blocks or within its one; rows of one job are neighbours."""
+    cuts = np.concatenate([[0], np.flatnonzero(jobs[1:] != jobs[:-1]) + 1, [len(jobs)]])
+    sizes = np.diff(cuts)
+    out = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    small = [_job_pairs(side, cuts[:-1][sizes == n], n) for n in np.unique(sizes[(sizes > 1) & (sizes <= SMALL)]).tolist()]
+    if small:
+        i, j = map(np.concatenate, zip(*small, strict=True))
+        real = exact_pairs(sets, i, j, threshold)
+        out.append((i[real], j[real]))
+    for a, n in zip(cuts[:-1][sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+        i, j = _job_pairs(side, np.array([a]), n)
+        real = exact_pairs(_dense(sets.part(a, a + n)), i - a, j - a, threshold)
+        out.append((i[real], j[real]))
+    return tuple(map(np.concatenate, zip(*out, strict=True)))
+
+
+def _dense(sets: Sets) -> Sets:
+    """The same sets with as many kinds as they have."""
+    values, code = np.unique(sets.code, return_inverse=True)
+    return Sets(code.ravel(), sets.at, len(values))
+
+
+def _job_pairs(side: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of all jobs of n rows at once."""
+    i, j = ((starts[:, None] + x).ravel() for x in np.triu_indices(n, 1))
+    keep = (side[i] == 2) | (side[i] != side[j])
+    return i[keep], j[keep]

@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Words, buffer, documents, slices, task
-from .segments import Plan, covered, hot_windows, repeats, runs, with_runs
+from .common import SPACE, Words, buffer, documents, slices, task
+from .segments import Plan, Slice, covered, identified, repeats, runs, with_runs
 
 #: Words of a window, and of the strings that segments are chosen by.
 WINDOW, GRAM = 20, 6
@@ -27,17 +27,17 @@ class Automaton:
     """A suffix automaton of several word sequences, read one word at a time."""
 
     def __init__(self) -> None:
-        self.next: list[dict[int, int]] = [{}]
+        self.next: list[dict[bytes, int]] = [{}]
         self.link = [-1]
         self.length = [0]
 
-    def _state(self, length: int, link: int, to: dict[int, int]) -> int:
+    def _state(self, length: int, link: int, to: dict[bytes, int]) -> int:
         self.next.append(to)
         self.link.append(link)
         self.length.append(length)
         return len(self.link) - 1
 
-    def _target(self, p: int, q: int, word: int) -> int:
+    def _target(self, p: int, q: int, word: bytes) -> int:
         """The state for p's strings followed by word: q, or a clone of q if q holds longer ones."""
         if self.length[q] == self.length[p] + 1:
             return q
@@ -48,7 +48,7 @@ class Automaton:
             p = self.link[p]
         return clone
 
-    def read(self, words: list[int]) -> list[int]:
+    def read(self, words: list[bytes]) -> list[int]:
         """Takes in a sequence; for each word, how many words up to it, within the sequence, occurred earlier."""
         out = []
         last = 0
@@ -69,39 +69,49 @@ class Automaton:
         return out
 
 
-def _symbols(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _symbols(column: pa.Array) -> Iterator[Slice]:
+    """Words by a hash, which only finds candidates, and their bytes with one space after each."""
     raw, at = buffer(column)
     for a, b in slices(at):
-        words = Words(raw[at[a] : at[b]], at[a : b + 1] - at[a])
-        yield a, b, words.hash, words.range
+        part = raw[at[a] : at[b]]
+        words = Words(part, at[a : b + 1] - at[a], hashed=1)
+        size = words.end - words.start
+        hi = np.cumsum(size + 1) - 1
+        plain = np.full(int(size.sum()) + len(size), 0x20, np.uint8)
+        inside = np.ones(len(plain), bool)
+        inside[hi] = False
+        plain[inside] = part[~SPACE[part]]
+        yield Slice(a, b, words.hash[0], words.range, plain, hi - size, hi)
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(doc_id, a, n): runs of n windows, from word a on, that also start earlier (smaller doc_id, or earlier in the same document)."""
+    """(doc_id, text_key, a, n): runs of n windows, from word a on, that also start earlier (smaller doc_id, or earlier in the same document)."""
 
     def compare(group: pa.Table) -> pa.RecordBatch | None:
-        found: list[tuple[int, int, int]] = []
-        last, automaton = None, Automaton()
-        for key, doc_id, start, n, body in zip(*(group.column(c).to_pylist() for c in ("key", "doc_id", "start", "n", "body")), strict=True):
+        found: list[tuple[int, int, int, int]] = []
+        last, place, automaton = None, None, Automaton()
+        for key, doc_id, text_key, start, n, body in zip(*(group.column(c).to_pylist() for c in ("key", "doc_id", "text_key", "start", "n", "body")), strict=True):
             if key != last:
-                last, automaton = key, Automaton()
-            match = np.array(automaton.read(np.frombuffer(body, np.int64).tolist()))
+                last, place, automaton = key, None, Automaton()
+            if place == (doc_id, text_key, start):
+                continue  # a row that repeats another
+            place = (doc_id, text_key, start)
+            match = np.array(automaton.read(body.split(b" ")))
             a, count = runs(match[window - 1 : window - 1 + n] >= window)
-            found += [(doc_id, start + x, m) for x, m in zip(a.tolist(), count.tolist(), strict=True)]
+            found += [(doc_id, text_key, start + x, m) for x, m in zip(a.tolist(), count.tolist(), strict=True)]
         if not found:
             return None
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), (pa.int64(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "a", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "text_key", "a", "n"])
 
-    plan = Plan(window, gram)
-    return repeats(docs, plan, _symbols, compare, lambda rows: hot_windows(rows, plan, 8, True), True)
+    return repeats(docs, Plan(window, gram), _symbols, compare, True)
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for every row of docs (doc_id, text); kept are the remaining words joined by one space.
 
     Words are `[^\\x20\\x09-\\x0D]+`, unchanged; null texts have none. Every word covered by a window that also starts
-    earlier goes; texts shorter than a window stay whole. Of rows that repeat a doc_id, none is earlier than
-    the other. Rows without a doc_id are left out; other columns are ignored; an empty table gives no rows.
+    earlier goes; texts shorter than a window stay whole. Of equal rows (doc_id and text) none is earlier than
+    the other; of other rows that repeat a doc_id some are, always the same; rows without one come last. Other columns are ignored; an empty table gives no rows.
     """
     return _removed(docs, window, gram, False)
 
@@ -112,7 +122,7 @@ def substring_digests(docs: DataFrame) -> DataFrame:
 
 
 def _removed(docs: DataFrame, window: int, gram: int, digest: bool) -> DataFrame:
-    docs = documents(docs).where("doc_id is not null")
+    docs = identified(documents(docs))
     rows = with_runs(docs, repeated_windows(docs, window, gram))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

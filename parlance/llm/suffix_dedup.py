@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import buffer, documents, slices, task
-from .segments import Plan, covered, hot_windows, repeats, runs, with_runs
+from .segments import Plan, Slice, covered, identified, repeats, runs, with_runs
 
 #: Bytes of a string that counts as a repeat, and of the strings that segments are chosen by.
 WIDTH, GRAM = 200, 48
@@ -105,14 +105,15 @@ def equal_neighbours(text: np.ndarray, order: np.ndarray, width: int, words: np.
     return same
 
 
-def _symbols(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _symbols(column: pa.Array) -> Iterator[Slice]:
     raw, at = buffer(column)
     for a, b in slices(at):
-        yield a, b, raw[at[a] : at[b]], at[a : b + 1] - at[a]
+        part = raw[at[a] : at[b]]
+        yield Slice(a, b, part, at[a : b + 1] - at[a], part)
 
 
 def repeated_strings(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
-    """(doc_id, a, n): runs of n places, from byte a on, where a string of `width` bytes starts that also starts anywhere else."""
+    """(doc_id, text_key, a, n): runs of n places, from byte a on, where a string of `width` bytes starts that also starts anywhere else."""
 
     def compare(group: pa.Table) -> pa.RecordBatch | None:
         body = group.column("body").to_pylist()
@@ -133,10 +134,10 @@ def repeated_strings(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> D
         # A run may cross from one content into the next only if both touch: contents are longer than their starts, so none does.
         of = np.searchsorted(at, a, "right") - 1
         start = group.column("start").to_numpy()[of] + (a - at[of])
-        return pa.RecordBatch.from_arrays([pa.array(group.column("doc_id").to_numpy()[of]), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))], ["doc_id", "a", "n"])
+        columns = (group.column("doc_id").to_numpy()[of], group.column("text_key").to_numpy()[of], start.astype(np.int32), count.astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["doc_id", "text_key", "a", "n"])
 
-    plan = Plan(width, gram)
-    return repeats(docs, plan, _symbols, compare, lambda rows: hot_windows(rows, plan, 1, False), False)
+    return repeats(docs, Plan(width, gram), _symbols, compare, False)
 
 
 def suffix_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
@@ -144,10 +145,10 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataF
 
     Texts are UTF-8 bytes, null is empty; every byte covered by a string of `width` bytes that also starts anywhere
     else, in the same text too, goes; matches never cross texts. Shorter texts
-    stay whole. Rows that repeat a doc_id are occurrences of their own. Rows without a doc_id are left out; other columns
+    stay whole. Rows that repeat a doc_id, and rows without one, are occurrences of their own; other columns
     are ignored; an empty table gives no rows.
     """
-    docs = documents(docs).where("doc_id is not null")
+    docs = identified(documents(docs))
     rows = with_runs(docs, repeated_strings(docs, width, gram))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
