@@ -25,6 +25,6 @@ STOPWORDS = ("the", "and", "for", "are", "but", "not", "you", "all", "any", "can
 FILLERS = ("um", "uh", "uhh", "hmm", "ah", "er", "like", "matlab", "toh", "yaar", "you know")
 
 # Language tags, display names and speech rates (mean, deviation in words a minute).
-BCP47 = {"hi": "hi-Deva", "hi-latn": "hi-Latn", "en": "en-IN", "pa": "pa-Guru", "pa-latn": "pa-Latn", "mwr": "mwr-Deva", "mwr-latn": "mwr-Latn"}
+BCP47 = {"hi": "hi-Deva", "pa": "pa-Guru", "mr": "mr-Deva", "en": "en-IN", "hinglish": "hi-Latn", "ur": "ur-Arab", "gu": "gu-Gujr", "bn": "bn-Beng", "ta": "ta-Taml", "te": "te-Telu", "kn": "kn-Knda", "ml": "ml-Mlym", "mwr": "mwr-Latn"}
 LANGUAGE_NAMES = {"hi": "Hindi", "en": "English", "pa": "Punjabi", "raj": "Marwadi", "mrw": "Marwadi"}
 WPM = {"hi": (130.0, 30.0), "pa": (120.0, 28.0), "mwr": (110.0, 25.0), "en": (145.0, 35.0), "hinglish": (140.0, 32.0), "default": (135.0, 35.0)}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from . import lexicons as lex
+from . import oracle_blocks
 from .operators.language import PUNCTUATED
 from .operators.speakers import DOMAINS, EDGE, INTENTS
 
@@ -177,6 +178,9 @@ def _with(sql: str, short: int = 400) -> str:
                 done.append(name)
 
     need(sql)
+    if done and sql.lstrip().startswith("WITH "):
+        head = ",\n".join(f"{n} AS ({RELATIONS[n].strip()})" for n in done).replace("@SHORT", str(short))
+        return f"WITH {head},\n{sql.strip().removeprefix('WITH ')}"
     return "WITH " + ",\n".join(f"{n} AS ({RELATIONS[n].strip()})" for n in done).replace("@SHORT", str(short)) + "\n" + sql.strip() if done else sql.strip()
 
 
@@ -282,7 +286,7 @@ SQL = {
         SELECT a.session_id, n AS switch_count, coalesce(p, '') AS patterns, CASE WHEN span > 0 THEN n * 60000.0::DOUBLE / span ELSE 0.0 END AS switching_frequency
         FROM (SELECT session_id, count(*) FILTER (l <> language) AS n, max(e_ms) - min(s_ms) AS span FROM (SELECT *, lag(language) OVER (PARTITION BY session_id ORDER BY s_ms, e_ms, idx) AS l FROM segments) GROUP BY session_id) a
         LEFT JOIN (SELECT session_id, string_agg(x, ',' ORDER BY f) AS p FROM (SELECT session_id, l || '→' || language AS x, min((s_ms, e_ms, idx)) AS f FROM (SELECT *, lag(language) OVER (PARTITION BY session_id ORDER BY s_ms, e_ms, idx) AS l FROM segments) WHERE l <> language GROUP BY ALL) GROUP BY session_id) b ON a.session_id = b.session_id""",
-    "bcp47_distribution": "SELECT session_id, string_agg(tag || ':' || c, ',' ORDER BY tag) AS distribution FROM (SELECT session_id, CASE language WHEN 'en' THEN 'en-IN' WHEN 'hi' THEN 'hi-Deva' ELSE language END AS tag, count(*) AS c FROM segments GROUP BY ALL) GROUP BY session_id",
+    "bcp47_distribution": "SELECT session_id, string_agg(tag || ':' || c, ',' ORDER BY tag) AS distribution FROM (SELECT session_id, CASE language WHEN 'en' THEN 'en-IN' WHEN 'hi' THEN 'hi-Deva' WHEN 'mwr' THEN 'mwr-Latn' WHEN 'pa' THEN 'pa-Guru' ELSE language END AS tag, count(*) AS c FROM segments GROUP BY ALL) GROUP BY session_id",
     "word_language": r"SELECT session_id, seg_idx, word_idx, CASE WHEN wl = 'en' AND NOT regexp_matches(tok, '\p{Latin}') THEN 'en' ELSE wl END AS lang, confidence FROM wlang",
     "switch_points": r"""
         SELECT session_id, seg_idx, word_idx, p AS from_lang, lang AS to_lang, CASE WHEN split_part(p, '-', 1) = split_part(lang, '-', 1) THEN 'intra_word' WHEN n >= 3 AND p = nx THEN 'tag' WHEN regexp_matches(pw, '[.?!]\s*$') THEN 'inter_sentential' ELSE 'intra_sentential' END AS switch_type
@@ -435,4 +439,4 @@ SQL = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _with(sql, 2_000 if name == "snr_forward_fill" else 400) for name, sql in SQL.items() if sql}
+    return {name: _with(sql, 2_000 if name == "snr_forward_fill" else 400) for name, sql in (SQL | oracle_blocks.SQL).items() if sql}

@@ -6,6 +6,8 @@ will do, and no file's content is read to list it.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -170,3 +172,28 @@ def studio_file(listing: DataFrame) -> DataFrame:
     left = ok.withColumn("_any", good).where(F.col("_good") | ~F.col("_any"))
     out = left.groupBy("session", "label").agg(F.count(F.lit(1)).alias("_n"), F.min(F.when(F.col("_named"), F.col("path"))).alias("_named_path"), F.min("path").alias("_first"))
     return out.select("session", "label", F.when(F.col("_n") == 1, F.col("_first")).otherwise(F.col("_named_path")).alias("path"), F.when((F.col("_n") == 1) | F.col("_named_path").isNotNull(), 1).otherwise(F.col("_n")).alias("n"))
+
+
+def studio_folders(listing: DataFrame) -> DataFrame:
+    """Folders that hold a studio conversation, of listed paths relative to the root (rel): the root itself (".") if it has speaker folders, else its children named conversation_*, in order."""
+    parts = F.split("rel", "/")
+    own = listing.where((F.size(parts) > 1) & parts[0].isin("speaker_1", "speaker_2")).select(F.lit(".").alias("folder")).distinct()
+    below = listing.where((F.size(parts) > 1) & parts[0].startswith("conversation_")).select(parts[0].alias("folder")).distinct()
+    return below if own.isEmpty() else own
+
+
+def premium_settings(spark: SparkSession, path: str | None) -> dict:
+    """The settings in a JSON file, which must hold one object; none without a path."""
+    if not path:
+        return {}
+    found = json.loads(spark.read.text(path, wholetext=True).first()[0])
+    if not isinstance(found, dict):
+        raise ValueError("premium settings must be an object")
+    return found
+
+
+def studio_pairs(channels: DataFrame, metadata: DataFrame, checks: DataFrame) -> DataFrame:
+    """Channels of studio conversations with recording_type and, by conversation_id, their metadata, errors and warnings."""
+    context = checks.select(F.col("conversation_id").alias("session_id"), "errors", "warnings")
+    given = metadata.select(F.col("conversation_id").alias("session_id"), "metadata")
+    return channels.withColumn("recording_type", F.lit("studio_pair")).join(given, "session_id", "left").join(context, "session_id", "left")

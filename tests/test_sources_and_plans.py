@@ -115,7 +115,7 @@ def test_waveforms(spark, tmp_path):
     assert got["passed"] and got["lag_samples"] == 400
     assert np.argmax(w.shift(b, got["lag_samples"])) == np.argmax(a)
     assert not w.estimate_offset(a, np.zeros(rate, np.float32), rate)["passed"]
-    assert w.segment_snr(np.ones(rate, np.float32), rate, 0, 1)["snr_reason"] == "clipped"
+    assert w.snr_table(np.ones(rate, np.float32), rate, [(0, 1), (0, 0.4)])["snr_reason"].tolist() == ["clipped", "short_segment"]
     assert w.silence_ratio(np.zeros(0), rate) == 1.0 and w.clipping_ratio(np.ones(4)) == 1.0
     speech = np.concatenate([np.zeros(rate), np.sin(np.arange(rate) / 10), np.zeros(rate)]).astype(np.float32)
     (s, e), = w.energy_vad(speech, rate)
