@@ -369,7 +369,7 @@ SQL = {
     "merged_transcript": "SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY s_ms, e_ms, speaker, idx) - 1 AS idx, speaker, s_ms FROM segments",
     "transcript_header": "SELECT session_id, arg_max(language, (quality_score, -idx)) AS language, max(quality_score) AS language_probability, max(e_ms) AS duration_ms, length(string_agg(trim(text), ' ' ORDER BY idx) FILTER (length(trim(text)) > 0))::INTEGER AS chars FROM segments GROUP BY session_id",
     "speaker_texts": "SELECT session_id, speaker, string_agg(trim(text), ' ' ORDER BY idx) AS text FROM segments WHERE length(trim(text)) > 0 GROUP BY ALL",
-    "forced_alignment": "SELECT session_id, idx, CASE WHEN idx % 2 = 0 THEN s_ms + 100 ELSE s_ms END AS s_ms, CASE WHEN idx % 2 = 0 THEN e_ms + 100 ELSE e_ms END AS e_ms, idx % 2 = 0 AS aligned FROM segments",
+    "forced_alignment": "SELECT session_id, idx, CASE WHEN length(text) > 80 THEN s_ms + 100 ELSE s_ms END AS s_ms, CASE WHEN length(text) > 80 THEN e_ms + 100 ELSE e_ms END AS e_ms, length(text) > 80 AS aligned FROM segments",
     "accuracy_gate": "SELECT session_id, word AS estimated_word, est_ts AS estimated_timestamp, est_cs AS estimated_code_switch, array_to_string(reasons, ',') AS gate_reasons, len(reasons) = 0 AS gate_passed FROM gate",
     "tts_suitability": f"""
         SELECT session_id, r AS tts_reasons, r = '' AS tts_eligible, CASE WHEN r = '' THEN 0.92 ELSE 0.2 END::DOUBLE AS tts_confidence FROM (SELECT session_id, {_joined(("k % 2 + 1 <> 1", "multi_speaker_segment"), ("k % 4 > 0", "overlap_detected"), ("k % 3 = 2", "noise_not_low"), ("k % 4 = 0", "outdoor_condition"), ("k % 5 >= 3", "review_not_final"), ("k % 8 = 0", "timing_not_verified"), ("k % 8 <> 0 AND k % 5 = 0", "synthetic_timestamps"), ("k % 8 <> 0 AND k % 5 = 0", "timing_not_stable"))} AS r FROM gate_in)""",
@@ -390,7 +390,7 @@ SQL = {
     "finalise_status": """
         SELECT session_id, conf AS delivery_confidence, array_to_string(why, ',') AS verify_reasons, passed, stage, CASE WHEN stage IN ('approved', 'reviewed') THEN 'completed' WHEN stage = 'review_required' THEN 'pending' ELSE 'needs_correction' END AS review_status,
                CASE stage WHEN 'approved' THEN '' WHEN 'reviewed' THEN 'manual_approval_withheld' ELSE array_to_string(why, ';') END AS delivery_reason FROM final""",
-    "manifest_upsert": "SELECT session_id, 'review_required' AS stage FROM (SELECT DISTINCT session_id FROM turns) WHERE session_id % 3 <> 0 AND session_id % 2 <> 0 UNION ALL SELECT session_id, stage FROM final WHERE session_id % 2 = 0",
+    "manifest_upsert": "SELECT session_id, stage, CASE WHEN stage = 'review_required' THEN 'old' ELSE 'new' END AS row FROM final",
     "status_sync": "SELECT session_id, stage, CASE WHEN stage IN ('approved', 'rejected') THEN stage ELSE 'review_required' END AS manifest FROM final",
     "routing_difficulty": f"""
         SELECT session_id, rc AS recording_condition, nl AS noise_level, sd AS switch_density,
