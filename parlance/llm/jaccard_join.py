@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import Words, buffer, documents, grouped, materialise, shingles, slices, task
 from .components import components, local_forest
-from .minhash import STAR, Sets, band_keys, bayes_pairs, blocks_of, densified, exact_pairs, sketch, spread, star_edges, star_rows
+from .minhash import STAR, Sets, band_keys, bayes_pairs, blocks_of, buckets_of, densified, exact_pairs, sketch, spread, star_edges, star_rows
 
 NGRAM, THRESHOLD = 5, 0.8
 #: A pair goes when P(Jaccard >= THRESHOLD) falls below this.
@@ -107,10 +107,12 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
     found = materialise(found.select("doc_id", key.alias("cls"), F.when(F.length("cls") > 0, F.col("bands")).alias("bands"), "size"))
     classes = materialise(found.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"), F.first("size").alias("size")))
 
+    buckets = buckets_of(classes)
+
     def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(1).flatten().to_numpy()
-            yield star_rows(keys, np.repeat(batch.column(0).to_numpy(), BANDS))
+            yield star_rows(keys, np.repeat(batch.column(0).to_numpy(), BANDS), buckets)
 
     stars = classes.where("bands is not null").select("rep", "bands").mapInArrow(task(bucketed), STAR)
     clusters = components(star_edges(stars))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from math import comb
@@ -12,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, partitions, task
+from .common import grouped, mix, partitions
 
 EMPTY = np.uint32(0xFFFFFFFF)
 #: Members of a block, and elements of their sets; a larger cluster is compared block by block.
@@ -68,38 +67,71 @@ def stars(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return keys[first], ids[first], hub[link], ids[link]
 
 
-def star_rows(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-    """What a batch of (key, id) sends on: a row for each key with its hub, and for each edge found two rows under a key of their own."""
-    k, hub, a, b = stars(keys, ids)
-    own = mix(mix(a.view(np.uint64)) + b.view(np.uint64)).view(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([k, own, own])), pa.array(np.concatenate([hub, a, b]))], ["key", "id"])
+#: Bytes of a table that a bucket of band keys stands for, about; a bucket is one task's at a time.
+BUCKET_BYTES = 8 << 20
+STAR = "bucket long, rows binary"
+
+
+def buckets_of(df: DataFrame) -> int:
+    """In how many buckets to deal the band keys of a table, by Spark's estimate of its size; the number changes no result."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return min(1 << 40, max(partitions(df.sparkSession), size // BUCKET_BYTES))
 
 
-STAR = "key long, id long"
+def star_rows(keys: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """What a batch of (key, id) sends on, packed by ranges of keys: a pair for each key with its hub, and for each edge found two pairs under a key of their own."""
+    k, hub, a, b = stars(keys, ids)
+    own = mix(mix(a.view(np.uint64)) + b.view(np.uint64))
+    key = np.concatenate([k.view(np.uint64), own, own])
+    order = np.argsort(key)
+    key = key[order]
+    pairs = np.column_stack([key.view(np.int64), np.concatenate([hub, a, b])[order]])
+    bucket = (key >> np.uint64(24)).astype(np.int64) * buckets >> 40 if buckets < 1 << 23 else (key >> np.uint64(24)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(key) else np.empty(0, np.int64)
+    offsets = np.concatenate([first, [len(key)]]).astype(np.int32) * 16
+    packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pairs.tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first]), packed], ["bucket", "rows"])
 
 
 def star_edges(rows: DataFrame) -> DataFrame:
-    """Edges (a, b) that join the members of every band bucket, from star_rows().
+    """Edges (a, b) that join the members of every key, from star_rows().
 
-    Each batch has sent one row for a bucket, so a bucket with a third of all rows
-    is a row for each batch here; in a bucket every hub is linked to the one read before it.
-    All goes through one exchange, so that rows are made once, and one sort by a
-    single number; buckets are streamed, none is held.
+    Each batch has sent one pair for a key, so a key with a third of all rows
+    is a pair for each batch here; every hub is linked to the one before it.
     """
 
-    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int, int] | None = None
-        for batch in batches:
-            key, own = (batch.column(c).to_numpy() for c in ("key", "id"))
-            if last is not None:
-                key, own = np.concatenate([[last[0]], key]), np.concatenate([[last[1]], own])
-            if len(key):
-                last = (key[-1], own[-1])
-                again = np.flatnonzero((key[1:] == key[:-1]) & (own[1:] != own[:-1]))
-                yield pa.RecordBatch.from_arrays([pa.array(own[again + 1]), pa.array(own[again])], ["a", "b"])
+    def chain(bucket: pa.Table) -> pa.RecordBatch:
+        pairs = np.frombuffer(b"".join(bucket.column("rows").to_pylist()), np.int64).reshape(-1, 2)
+        order = np.argsort(pairs[:, 0])
+        key, own = pairs[order, 0], pairs[order, 1]
+        again = np.flatnonzero((key[1:] == key[:-1]) & (own[1:] != own[:-1]))
+        return pa.RecordBatch.from_arrays([pa.array(own[again + 1]), pa.array(own[again])], ["a", "b"])
+
+    return grouped(rows, "bucket", [], chain, "a long, b long")
+
 
-    dealt = rows.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key")
-    return dealt.mapInArrow(task(chain), "a long, b long")
+def bucket_members(rows: DataFrame) -> DataFrame:
+    """(key, id, hub): the members of every key that has two or more, and the smallest of them, from star_rows()."""
+
+    def members(bucket: pa.Table) -> pa.RecordBatch:
+        pairs = np.frombuffer(b"".join(bucket.column("rows").to_pylist()), np.int64).reshape(-1, 2)
+        order = np.argsort(pairs[:, 0])
+        key = pairs[order, 0]
+        twice = np.flatnonzero(key[1:] == key[:-1])
+        many = np.zeros(len(key), bool)
+        many[twice], many[twice + 1] = True, True
+        key, own = key[many], pairs[order[many], 1]
+        order = np.lexsort((own, key))
+        key, own = key[order], own[order]
+        new_key = np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]
+        use = new_key | np.concatenate([[True], own[1:] != own[:-1]])[: len(key)]
+        key, own, new_key = key[use], own[use], new_key[use]
+        first = np.flatnonzero(new_key)
+        count = np.diff(np.concatenate([first, [len(key)]]))
+        several = np.repeat(count > 1, count)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (key[several], own[several], np.repeat(own[first], count)[several])], ["key", "id", "hub"])
+
+    return grouped(rows, "bucket", [], members, "key long, id long, hub long")
 
 
 def blocks_of(rows: Column, elements: Column | None = None) -> Column:
@@ -185,14 +217,26 @@ def exact_pairs(sets: Sets, i: np.ndarray, j: np.ndarray, threshold: float) -> n
     least, most = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
     out = (most > 0) & (least >= threshold * most - 1e-9)
     x, y = i[out], j[out]
+    if len(x):
+        needed = threshold / (1 + threshold) * (size[x] + size[y]) - 1e-9
+        can = _most_common(sets, x, y) >= needed
+        out[out], x, y = can, x[can], y[can]
     if len(x):
         common = _common(sets, x, y) if len(x) < SMALL * len(size) else _all_common(sets)[x, y]
         out[out] = common >= threshold * (size[x] + size[y] - common) - 1e-9
     return out
 
 
-#: Elements that are looked up at once.
-LOOKUP = 2_000_000
+def _most_common(sets: Sets, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Upper bounds of the intersections' sizes: elements are counted in cells, of which two sets share no more than the lesser count."""
+    owner = np.repeat(np.arange(len(sets.at) - 1), np.diff(sets.at))
+    cells = np.bincount(owner * CELLS + sets.code % CELLS, minlength=(len(sets.at) - 1) * CELLS).reshape(-1, CELLS)
+    cells = cells.astype(np.uint8 if cells.max(initial=0) < 256 else np.int32)
+    return np.concatenate([np.minimum(cells[i[a : a + 4096]], cells[j[a : a + 4096]]).sum(axis=1, dtype=np.int64) for a in range(0, len(i), 4096)])
+
+
+#: Cells of the bound; elements that are looked up at once.
+CELLS, LOOKUP = 1024, 2_000_000
 
 
 def _common(sets: Sets, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -248,18 +292,18 @@ def _all_common(sets: Sets) -> np.ndarray:
 SMALL = 32
 
 
-def alike(sets: Sets, jobs: np.ndarray, side: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs (i, j) of each job with exact Jaccard >= threshold, across its two blocks or within its one; rows of one job are neighbours."""
+def alike(sets: Sets, jobs: np.ndarray, side: np.ndarray, known: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (i, j) of each job with exact Jaccard >= threshold, across its two blocks or within its one, but those known to be in one component; rows of one job are neighbours."""
     cuts = np.concatenate([[0], np.flatnonzero(jobs[1:] != jobs[:-1]) + 1, [len(jobs)]])
     sizes = np.diff(cuts)
     out = [(np.empty(0, np.int64), np.empty(0, np.int64))]
-    small = [_job_pairs(side, cuts[:-1][sizes == n], n) for n in np.unique(sizes[(sizes > 1) & (sizes <= SMALL)]).tolist()]
+    small = [_job_pairs(side, known, cuts[:-1][sizes == n], n) for n in np.unique(sizes[(sizes > 1) & (sizes <= SMALL)]).tolist()]
     if small:
         i, j = map(np.concatenate, zip(*small, strict=True))
         real = exact_pairs(sets, i, j, threshold)
         out.append((i[real], j[real]))
     for a, n in zip(cuts[:-1][sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
-        i, j = _job_pairs(side, np.array([a]), n)
+        i, j = _job_pairs(side, known, np.array([a]), n)
         real = exact_pairs(_dense(sets.part(a, a + n)), i - a, j - a, threshold)
         out.append((i[real], j[real]))
     return tuple(map(np.concatenate, zip(*out, strict=True)))
@@ -271,8 +315,8 @@ def _dense(sets: Sets) -> Sets:
     return Sets(code.ravel(), sets.at, len(values))
 
 
-def _job_pairs(side: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _job_pairs(side: np.ndarray, known: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The pairs of all jobs of n rows at once."""
     i, j = ((starts[:, None] + x).ravel() for x in np.triu_indices(n, 1))
-    keep = (side[i] == 2) | (side[i] != side[j])
+    keep = ((side[i] == 2) | (side[i] != side[j])) & (known[i] != known[j])
     return i[keep], j[keep]

@@ -294,3 +294,60 @@ def test_intersections_by_matrix_and_by_hand():
 def test_pruning_keeps_all_pairs_at_the_threshold():
     assert minhash.least_matches(0, 0.8, 1e-7) == 0
     assert minhash.least_matches(64, 0.8, 1e-7) < 40 < minhash.least_matches(64, 0.8, 0.5)
+
+
+# ---- hashes ------------------------------------------------------------------------------------------------------
+
+
+def thue_morse(n, a, b):
+    """A word on which polynomial hashes modulo 2**64 of it and of its complement agree, whatever the base."""
+    return [(a, b)[bin(k).count("1") % 2] for k in range(n)]
+
+
+def test_words_are_told_apart_by_their_bytes(docs):
+    one, other = "".join(thue_morse(4096, "a", "b")), "".join(thue_morse(4096, "b", "a"))
+    rest = " ".join(f"w{k}" for k in range(19))
+    r = {x.doc_id: x.n_removed for x in substring_dedup.substring_digests(docs([(1, f"{one} {rest}"), (2, f"{other} {rest}")])).collect()}
+    assert r == {1: 0, 2: 0}
+    r = jaccard_join.jaccard_join(docs([(1, f"{one} x y z"), (2, f"{other} x y z")])).collect()
+    assert [x.n_links for x in r] == [0, 0] and all(x.kept for x in r)
+
+
+def test_lines_sets_are_exact():
+    rng = random.Random(2)
+    for k in (3, 8, 11):
+        lines = ["".join(rng.choice("abé日本c") for _ in range(rng.randint(0, 40))) for _ in range(40)] + ["", "ab"]
+        sets = line_dedup._sets(lines, k)
+        want = [{x[i : i + k] for i in range(len(x) - k + 1)} for x in lines]
+        got = [set(sets.code[a:b].tolist()) for a, b in zip(sets.at[:-1], sets.at[1:], strict=True)]
+        assert [len(g) for g in got] == [len(w) for w in want]
+        assert all(len(got[a] & got[b]) == len(want[a] & want[b]) for a in range(len(lines)) for b in range(a))
+
+
+def test_rows_without_an_id_stay(docs):
+    text = " ".join(f"word{k}" for k in range(60))
+    rows = docs([(None, text), (1, text), (None, None), (2, text)])
+    key = lambda r: (r.doc_id is None, r.doc_id or 0)
+    assert [(x.doc_id, x.n_removed) for x in sorted(substring_dedup.substring_digests(rows).collect(), key=key)][:2] == [(1, 0), (2, 60)]
+    assert sorted(x.n_removed for x in substring_dedup.substring_digests(rows).collect() if x.doc_id is None) == [0, 60]
+    assert sorted(x.n_removed for x in suffix_dedup.suffix_digests(rows).collect()) == [0, len(text), len(text), len(text)]
+    assert sorted((x.doc_id or 0, x.n_links, x.kept) for x in jaccard_join.jaccard_join(rows).collect()) == [(0, 0, True), (0, 0, True), (1, 1, True), (2, 1, False)]
+    assert sorted((x.doc_id or 0, x.n_removed) for x in line_dedup.line_digests(rows).collect()) == [(0, 0), (0, 0), (1, 0), (2, 1)]
+
+
+def test_different_texts_under_one_id(docs):
+    a, b = " ".join(f"a{k}" for k in range(80)), "short text"
+    rows = docs([(1, a), (1, b), (2, a)])
+    assert sorted((x.doc_id, x.n_words, x.n_removed) for x in substring_dedup.substring_digests(rows).collect()) == [(1, 2, 0), (1, 80, 0), (2, 80, 80)]
+    assert sorted((x.doc_id, x.n_removed) for x in suffix_dedup.suffix_digests(rows).collect()) == [(1, 0), (1, len(a)), (2, len(a))]
+
+
+def test_large_buckets_of_lines(docs, monkeypatch):
+    """Clusters of more lines than a block or a batch holds."""
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(line_dedup, "COMPARE", 16)
+    rng = random.Random(4)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(120)) for _ in range(2)]
+    rows = [(i, fuzzy(rng, fuzzy(rng, rng.choice(base)))) for i in range(70)]
+    got = {r.doc_id: r.n_removed for r in line_dedup.line_digests(docs(rows)).collect()}
+    assert got == {i: int(not x) for i, x in brute_lines(rows).items()}

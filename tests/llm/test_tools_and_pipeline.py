@@ -37,11 +37,11 @@ def test_linking(spark):
     results = [("a", "1", 1, "two"), ("a", "1", 5, "late"), ("b", "7", 1, "orphan"), ("c", "1", 1, None), (None, "1", 0, "x")]
     r = {(x.conv_id, x.call_id): x for x in linked(spark, calls, results).collect()}
     assert r[("a", "1")].linked and r[("a", "1")].message == '{"call":{"arguments":{"x":2},"id":"1","name":"add"},"result":{"content":"two","id":"1"}}'
-    assert [r[("b", k)].level for k in "1234"] == [2, 1, 0, 0] and r[("a", "2")].level == 0 and r[("a", "2")].seq == 2
+    assert [r[("b", k)].level for k in "1234"] == [2, 1, 0, 0] and r[("a", "2")].level == 1 and r[("a", "2")].seq == 2
     assert r[("b", "4")].error == "unknown reference" and r[("b", "7")].error == "no call" and "é" in r[("b", "3")].message
     assert r[("c", "1")].error == r[("c", "2")].error == "cyclic reference" and r[("c", "1")].linked
     assert (r[("c", "3")].error, r[("c", "4")].error, r[("c", "5")].error) == ("unknown tool", "not JSON", "no arguments")
-    assert not any(k[0] is None or k[1] is None for k in r) and len(r) == 12
+    assert r[("a", None)].error == "no identifier" and not r[("a", None)].linked and linked(spark, calls, results).count() == 15
     assert linked(spark, [], []).count() == 0
 
 
@@ -94,3 +94,41 @@ def before_count(spark, sf_dir):
 def test_queries_are_ten():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
     assert set(queries.oracle_sql()) <= set(queries.queries())
+
+
+def test_malformed_arguments(spark):
+    calls = [
+        ("a", "1", 0, "add", '{"x": "\\ud800"}'), ("a", "2", 1, "add", "[" * 100_000 + "]" * 100_000), ("a", "3", 2, "add", '{"x": NaN}'), ("a", "4", 3, "add", '{"x": 1e999}'),
+        ("a", "5", 4, "add", '{"x": {"$ref": 5}}'), ("a", "6", 5, "add", '{"x": {"$ref": "\\ud800"}}'), ("a", "7", 6, "add", '{"x": "[[[["}'),
+    ]
+    r = {x.call_id: x for x in linked(spark, calls, []).collect()}
+    assert [r[str(k)].error for k in range(1, 8)] == [None, "nested too deeply", "not JSON", "not JSON", "$.x: type", "unknown reference", None]
+    assert '"x":"\\ud800"' in r["1"].message and all(json.loads(x.message) for x in r.values())
+
+
+@pytest.mark.parametrize(
+    "schema,good,bad",
+    [
+        ({"anyOf": [{"type": "string"}, {"minimum": 3}]}, 4, 2), ({"allOf": [{"minimum": 1}, {"maximum": 3}]}, 2, 4), ({"oneOf": [{"minimum": 1}, {"maximum": 3}]}, 0, 2), ({"not": {"type": "null"}}, 1, None),
+        ({"exclusiveMinimum": 1}, 2, 1), ({"uniqueItems": True}, [1, 2], [1, 1.0]), ({"minProperties": 1}, {"a": 1}, {}), ({"enum": [1]}, 1.0, True), ({"const": [True]}, [True], [1]),
+        ({"multipleOf": 3}, 9, 10), ({"patternProperties": {"^a": {"type": "string"}}}, {"ab": "x"}, {"ab": 1}), ({"propertyNames": {"maxLength": 1}}, {"a": 1}, {"ab": 1}), ({"type": ["nonsense", "null"]}, None, 1),
+    ],
+)
+def test_schema_rules(schema, good, bad):
+    assert tool_linking.violation(good, schema) is None and tool_linking.violation(bad, schema)
+
+
+def test_levels_across_tasks(spark):
+    """One long conversation over several tasks: a chain, forward references and a cycle at its end."""
+    n = 400
+    to = lambda k: [k - 1] if 0 < k < 200 else [k + 1] if 200 <= k < 398 else [399] if k == 398 else [398] if k == 399 else []
+    rows = [("a", f"c{k}", k, [f"c{x}" for x in to(k)]) for k in range(n)] + [("b", "c0", 0, ["c1"]), ("b", "c1", 1, [])]
+    got = {(r.conv_id, r.call_id): r.level for r in tool_linking.levels(spark.createDataFrame(rows, "conv_id string, call_id string, seq long, refs array<string>")).collect()}
+    assert [got["a", f"c{k}"] for k in range(200)] == list(range(200)) and all(got["a", f"c{k}"] is None for k in range(200, 400)) and got["b", "c0"] == 1 and len(got) == n + 2
+
+
+def test_an_empty_table_through_the_pipeline(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = materialise(stage(spark, docs, ""))
+    assert docs.count() == 0
