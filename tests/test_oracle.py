@@ -8,6 +8,7 @@ import pytest
 duckdb = pytest.importorskip("duckdb")
 
 from parlance.oracle import oracle_sql  # noqa: E402
+import parlance.queries_blocks  # noqa: E402, F401 - registers its queries
 from parlance.queries import QUERIES  # noqa: E402
 
 SQL = oracle_sql()
