@@ -20,14 +20,11 @@ BLOCK_ROWS, BLOCK_ELEMENTS = 512, 400_000
 
 def sketch(item: np.ndarray, hashes: np.ndarray, items: int, bins_log2: int) -> np.ndarray:
     """The smallest hash in each of 2**bins_log2 bins of each item's set, EMPTY where it has none there. item and hashes are parallel; repeats don't matter."""
-    bits = 32 + bins_log2
-    key = np.sort((item.astype(np.uint64) << np.uint64(bits)) | (hashes >> np.uint64(64 - bits)))
-    cell = key >> np.uint64(32)
-    first = np.empty(len(key), bool)
-    first[:1] = True
-    first[1:] = cell[1:] != cell[:-1]
+    cell = item.astype(np.int64) << bins_log2
+    cell |= (hashes >> np.uint64(64 - bins_log2)).view(np.int64)
+    value = (hashes >> np.uint64(32 - bins_log2)).astype(np.uint32)
     out = np.full(items << bins_log2, EMPTY, np.uint32)
-    out[cell[first].astype(np.int64)] = np.minimum(key[first] & np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFE)).astype(np.uint32)
+    np.minimum.at(out, cell, np.minimum(value, EMPTY - np.uint32(1)))
     return out.reshape(items, 1 << bins_log2)
 
 
@@ -35,14 +32,16 @@ def densified(signature: np.ndarray) -> np.ndarray:
     """Empty bins take the value of a bin that a fixed pseudorandom walk meets first, so equal sets fill alike and short sets still vote in all bands."""
     out = signature.copy()
     bins = signature.shape[1]
+    every = np.arange(bins, dtype=np.uint64)
     row, col = np.nonzero(signature == EMPTY)
     for step in range(1, 8 * bins):
         if not len(row):
             break
-        to = (mix(col.astype(np.uint64) * np.uint64(977) + np.uint64(step * 131_071)) % np.uint64(bins)).astype(np.int64) if step < 6 * bins else (col + step) % bins
-        found = signature[row, to]
-        out[row, col] = np.where(found != EMPTY, found, out[row, col])
-        row, col = row[found == EMPTY], col[found == EMPTY]
+        to = (mix(every * np.uint64(977) + np.uint64(step * 131_071)) % np.uint64(bins)).astype(np.int64) if step < 6 * bins else (np.arange(bins) + step) % bins
+        found = signature[row, to[col]]
+        full = found != EMPTY
+        out[row[full], col[full]] = found[full]
+        row, col = row[~full], col[~full]
     return out
 
 
