@@ -324,6 +324,30 @@ def test_lines_sets_are_exact():
         assert all(len(got[a] & got[b]) == len(want[a] & want[b]) for a in range(len(lines)) for b in range(a))
 
 
+def test_equal_values_stand_together(monkeypatch):
+    """Also where hashes begin alike for different values, as a constant hash makes all do."""
+    for alike in (False, True):
+        if alike:
+            monkeypatch.setattr(line_dedup, "mix", lambda x: np.zeros_like(x))
+        for n in (0, 1, 2, 1000):
+            values = np.random.default_rng(n).integers(0, 50, n).astype(np.uint64)
+            order = line_dedup._equal_together(values)
+            assert sorted(order.tolist()) == list(range(n))
+            ranked = values[order].astype(np.int64)
+            assert np.count_nonzero(np.diff(ranked)) == max(0, len(set(values.tolist())) - 1)
+
+
+def test_smallest_hashes_of_bins():
+    rng = np.random.default_rng(4)
+    item, hashes = rng.integers(0, 9, 700).astype(np.int32), rng.integers(0, 2**64, 700, dtype=np.uint64)
+    hashes[:9] = np.uint64(2**64 - 1)
+    expected = np.full((9, 64), minhash.EMPTY)
+    for k, h in zip(item.tolist(), hashes.tolist(), strict=True):
+        low = min((h >> 26) & 0xFFFFFFFF, 0xFFFFFFFE)
+        expected[k, h >> 58] = min(expected[k, h >> 58], low)
+    assert (minhash.sketch(item, hashes, 9, 6) == expected).all()
+
+
 def test_rows_without_an_id_stay(docs):
     text = " ".join(f"word{k}" for k in range(60))
     rows = docs([(None, text), (1, text), (None, None), (2, text)])
