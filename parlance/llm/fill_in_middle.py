@@ -73,7 +73,7 @@ def fill_in_middle(docs: DataFrame, seed: int = 7, share: int = 100, spm: int =
             for batch in batches:
                 for part in _parts(batch):
                     con.register("batch", part)
-                    yield from con.execute(STATEMENT, {"seed": str(seed), "share": share, "spm": spm}).to_arrow_table().cast(_ARROW).combine_chunks().to_batches()
+                    yield from con.sql(STATEMENT, params={"seed": str(seed), "share": share, "spm": spm}).to_arrow_table().cast(_ARROW).combine_chunks().to_batches()
                     con.unregister("batch")
 
     return documents(docs).mapInArrow(task(run), SCHEMA)

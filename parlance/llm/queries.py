@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, exact_dedup, jaccard_join, language_id, line_dedup, mixing, substring_dedup, suffix_dedup, tool_linking
+from . import bpe, embedding_dedup, exact_dedup, fill_in_middle, hard_negatives, jaccard_join, language_id, line_dedup, mixing, secret_scan, substring_dedup, suffix_dedup, tool_linking
 from .common import table
 
 #: The tool that every user turn of `conversations` counts as a call of.
@@ -74,8 +74,25 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of each positive of each anchor (vec_id divisible by 100) among all vectors; every seventh vec_id has the label after its own."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every whole document."""
+    return secret_scan.scan_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's fill-in-the-middle text, and of the text restored from it."""
+    return fill_in_middle.middle_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_bpe_codec, op2_exact_dedup, op3_tool_linking, op4_line_dedup, op5_embedding_dedup, op6_suffix_dedup, op7_substring_dedup, op8_source_mixing, op9_language_id, op10_jaccard_join)
+    found = (op1_bpe_codec, op2_exact_dedup, op3_tool_linking, op4_line_dedup, op5_embedding_dedup, op6_suffix_dedup, op7_substring_dedup, op8_source_mixing, op9_language_id, op10_jaccard_join, op11_hard_negatives, op12_secret_scan, op13_fill_in_middle)
     return {f.__name__: f for f in found}
 
 
@@ -131,6 +148,30 @@ ORACLE = {
         kept AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.at) AS t, count(*) AS n FROM e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.at = g.at GROUP BY e.doc_id)
         SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id""",
+    "op11_hard_negatives": """
+        WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id AS id, b.r AS r, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+              FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+        p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5),
+        n AS (SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY s.score DESC, s.id) AS rank,
+                     s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+              FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+        SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""",
+    "op13_fill_in_middle": """
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS h, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+        n AS (SELECT *, len(l) - CASE WHEN l[-1] = '' THEN 1 ELSE 0 END AS n FROM d),
+        x AS (SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS x, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS y,
+                     CASE WHEN t = '' OR t LIKE '%<P>%' OR t LIKE '%<S>%' OR t LIKE '%<M>%' THEN 'plain'
+                          WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM n),
+        c AS (SELECT *, list_sum(list_transform(l[1:least(x, y)], lambda u: length(u) + 1))::BIGINT AS a, list_sum(list_transform(l[1:greatest(x, y)], lambda u: length(u) + 1))::BIGINT AS b FROM x),
+        e AS (SELECT *, least(coalesce(a, 0), length(t)) AS pa, least(coalesce(b, 0), length(t)) AS pb FROM c),
+        o AS (SELECT *, substr(t, 1, pa) AS p, substr(t, pa + 1, pb - pa) AS m, substr(t, pb + 1) AS s FROM e)
+        SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN pa END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN pb - pa END::BIGINT AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM o""",
 }
 
 
