@@ -321,12 +321,13 @@ def _encoded(docs: DataFrame, path: str, leaf: int, digest: bool, keep: list[str
         rows = group.select(["k", "head", "middle", "tail"]).to_pydict()
         kept = [group.column(c).slice(0, 1).combine_chunks() for c in columns]
         kept = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in kept]
-        return out(kept, [int(rows["k"][0].split(":")[0])], [join_leaves(load(path), list(zip(rows["head"], rows["middle"], rows["tail"], strict=True)))])
+        own = rows["k"][0].split(":")[0]
+        return out(kept, [int(own) if own else None], [join_leaves(load(path), list(zip(rows["head"], rows["middle"], rows["tail"], strict=True)))])
 
     named = docs.select("doc_id", "text", *(F.col(c).cast("string").alias(n) for c, n in zip(keep, columns, strict=True)))
     short, long = _split(named, leaf, columns)
-    # A long text's leaves meet again under its row's own number, so repeated rows with one doc_id stay apart.
-    keyed = long.select(F.concat_ws(":", F.col("doc_id").cast("string"), F.monotonically_increasing_id()).alias("k"), *columns, "text")
+    # A long text's leaves meet again under its row's own number, so repeated rows with one doc_id, or none, stay apart.
+    keyed = long.select(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.monotonically_increasing_id()).alias("k"), *columns, "text")
     kinds = ", ".join(["k string", *(f"{c} string" for c in columns), "no int, head string, middle array<int>, tail string"])
     coded = _leaf_rows(keyed, leaf, columns).repartition("k", "no").mapInArrow(task(leaf_rows), kinds)
     whole = grouped(coded, "k", ["no"], joined, schema)

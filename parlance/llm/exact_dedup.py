@@ -25,16 +25,16 @@ SPLITTER_BYTES = 256
 #: Sampled texts for each range, on average.
 SAMPLE_PER_RANGE = 40
 
-REP = "pid int, head binary, h long, body binary, sha string, ids array<long>, best long"
+REP = "pid int, head binary, h long, body binary, sha string, ids array<long>, best long, at int"
 
 
 def _lowered(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[bytes]]]:
-    keys = batch.column(0).to_numpy(zero_copy_only=False)
+    keys = batch.column(0).to_pylist()
     raw, at = buffer(batch.column(1))
     for a, b in slices(at, 8_000_000):
         low = raw[at[a] : at[b]].tobytes().lower()  # bytes.lower() changes A-Z only
         cut = (at[a : b + 1] - at[a]).tolist()
-        yield keys[a:b].tolist(), [low[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)]
+        yield keys[a:b], [low[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)]
 
 
 def _head(body: bytes) -> tuple[bytes, int]:
@@ -67,9 +67,7 @@ def exact_dedup(docs: DataFrame, keep: str = "max") -> DataFrame:
     stays (keep_id null) only if no equal text has one. Other columns are
     ignored; an empty table gives no rows. Texts of any length are compared in full.
     """
-    # Stands for null inside; the least wanted of all numbers.
-    nobody = -(2**63) if keep == "max" else 2**63 - 1
-    docs = documents(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(nobody)))
+    docs = documents(docs)
     spark = docs.sparkSession
     ranges = partitions(spark)
     cuts = splitters(docs, ranges)
@@ -82,6 +80,7 @@ def exact_dedup(docs: DataFrame, keep: str = "max") -> DataFrame:
                 for key, body in zip(keys, bodies, strict=True):
                     members.setdefault(body, []).append(key)  # a dict of bytes compares whole texts
                 heads = [_head(x) for x in members]
+                best = [choose((k for k in x if k is not None), default=None) for x in members.values()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([bisect.bisect_right(cuts, x) for x in heads], pa.int32()),
@@ -90,9 +89,10 @@ def exact_dedup(docs: DataFrame, keep: str = "max") -> DataFrame:
                         pa.array(list(members), pa.binary()),
                         pa.array([hashlib.sha256(x).hexdigest() for x in members], pa.string()),
                         pa.array(list(members.values()), pa.list_(pa.int64())),
-                        pa.array([choose(x) for x in members.values()], pa.int64()),
+                        pa.array(best, pa.int64()),
+                        pa.array([x.index(b) for x, b in zip(members.values(), best, strict=True)], pa.int32()),
                     ],
-                    ["pid", "head", "h", "body", "sha", "ids", "best"],
+                    ["pid", "head", "h", "body", "sha", "ids", "best", "at"],
                 )
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,16 +114,16 @@ def exact_dedup(docs: DataFrame, keep: str = "max") -> DataFrame:
                 last = mine
             if last is not None:
                 last = last.copy()
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), *(batch.column(n) for n in ("sha", "ids", "best"))], ["grp", "sha", "ids", "best"])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), *(batch.column(n) for n in ("sha", "ids", "best", "at"))], ["grp", "sha", "ids", "best", "at"])
 
     reps = docs.mapInArrow(task(local), REP)
     dealt = reps.repartitionById(ranges, F.col("pid")).sortWithinPartitions("head", "body").drop("head", "h", "pid")
-    found = dealt.mapInArrow(task(neighbours), "grp string, sha string, ids array<long>, best long")
+    found = dealt.mapInArrow(task(neighbours), "grp string, sha string, ids array<long>, best long, at int")
     found = materialise(found.withColumn("uid", F.monotonically_increasing_id()))
-    # The row that stays is told by its batch, too, in case others repeat its doc_id.
-    stays = (F.max if keep == "max" else F.min)(F.struct("best", "uid")).alias("stays")
+    # A null comes last; the row that stays is told by its batch, too, in case others repeat its doc_id.
+    named = F.col("best").isNotNull() if keep == "max" else F.col("best").isNull()
+    stays = (F.max if keep == "max" else F.min)(F.struct(named.alias("named"), "best", "uid")).alias("stays")
     sizes = found.groupBy("grp").agg(stays, F.sum(F.size("ids")).alias("group_size"))
-    out = found.join(sizes, "grp").select("sha", F.col("stays.best").alias("keep_id"), (F.col("stays.uid") == F.col("uid")).alias("here"), "group_size", F.posexplode("ids").alias("no", "doc_id"), "ids")
-    kept = F.col("here") & (F.col("doc_id") == F.col("keep_id")) & (F.col("no") == F.array_position("ids", F.col("doc_id")) - 1)
-    named = lambda c: F.nullif(c, F.lit(nobody)).alias(c)
-    return out.select(named("doc_id"), named("keep_id"), F.col("group_size").cast("long").alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256"))
+    out = found.join(sizes, "grp").select("sha", F.col("stays.best").alias("keep_id"), (F.col("stays.uid") == F.col("uid")).alias("here"), "group_size", F.posexplode("ids").alias("no", "doc_id"), "at")
+    kept = F.col("here") & (F.col("no") == F.col("at"))
+    return out.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256"))

@@ -102,9 +102,9 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
                 yield pa.RecordBatch.from_arrays([pa.array(ids[a : a + len(sets)]), pa.array(digest, pa.binary()), bands, size], ["doc_id", "cls", "bands", "size"])
 
     found = docs.mapInArrow(task(features), "doc_id long, cls binary, bands array<long>, size long")
-    # Texts without n-grams are told apart by doc_id.
-    key = F.when(F.length("cls") == 0, F.col("doc_id").cast("string").cast("binary")).otherwise(F.col("cls"))
-    found = materialise(found.select("doc_id", key.alias("cls"), F.when(F.length("cls") > 0, F.col("bands")).alias("bands"), "size"))
+    found = materialise(found)
+    wordless = found.where(F.length("cls") == 0).select("doc_id", F.col("doc_id").alias("own"))
+    found = found.where(F.length("cls") > 0)
     classes = materialise(found.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"), F.first("size").alias("size")))
 
     buckets = buckets_of(classes)
@@ -114,7 +114,7 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
             keys = batch.column(1).flatten().to_numpy()
             yield star_rows(keys, np.repeat(batch.column(0).to_numpy(), BANDS), buckets)
 
-    stars = classes.where("bands is not null").select("rep", "bands").mapInArrow(task(bucketed), STAR)
+    stars = classes.select("rep", "bands").mapInArrow(task(bucketed), STAR)
     clusters = components(star_edges(stars))
     sized = clusters.join(classes.select("rep", "n", "cls", "size"), F.col("node") == F.col("rep"))
     blocks = sized.groupBy(F.col("component").alias("c")).agg(blocks_of(F.count(F.lit(1)), F.sum("size")).alias("blocks"))
@@ -154,7 +154,9 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
     out = found.select("doc_id", "cls").join(per, "cls")
     out = out.select("doc_id", "rep_id", "group_size", "component_id", "n_links", (F.col("doc_id") == F.col("component_id")).alias("kept"))
     none = F.lit(None).cast("long")
-    return out.unionByName(every.where("doc_id is null").select("doc_id", none.alias("rep_id"), F.lit(1).cast("long").alias("group_size"), none.alias("component_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept")))
+    # Rows that link with nothing: each is a class of its own.
+    alone = every.where("doc_id is null").select("doc_id", none.alias("own")).unionByName(wordless)
+    return out.unionByName(alone.select("doc_id", F.col("own").alias("rep_id"), F.lit(1).cast("long").alias("group_size"), F.col("own").alias("component_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept")))
 
 
 def _firsts(values: np.ndarray) -> np.ndarray:

@@ -113,8 +113,10 @@ BODY = "key long, kinds long, copies long, doc_id long, text_key long, start int
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, text) of documents; the largest number stands for a null doc_id, as text_key tells such rows apart."""
-    return docs.select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
+    """(doc_id, text_key, text) of documents. A null doc_id counts as the largest number; text_key, a hash of the text, has no sign in such rows alone, so they come after those that have this number."""
+    hashed = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 1)
+    text_key = F.when(F.col("doc_id").isNull(), hashed).otherwise(hashed.bitwiseOR(F.lit(-(2**63))))
+    return docs.select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), text_key.alias("text_key"), "text")
 
 
 def repeats(docs: DataFrame, plan: Plan, symbols: Symbols, compare: Callable[[pa.Table], pa.RecordBatch | None], firsts_stay: bool) -> DataFrame:
@@ -273,7 +275,7 @@ def with_runs(docs: DataFrame, found: DataFrame) -> DataFrame:
     """identified() rows beside the lists a and n of their runs, null where there is none."""
     lists = found.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("t")).agg(F.collect_list("a").alias("a"), F.collect_list("n").alias("n"))
     joined = docs.join(lists, (F.col("doc_id") == F.col("d")) & (F.col("text_key") == F.col("t")), "left")
-    return joined.select(F.nullif("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "text", "a", "n")
+    return joined.select(F.when(F.col("text_key") < 0, F.col("doc_id")).alias("doc_id"), "text", "a", "n")
 
 
 def covered(size: int, a: list[int] | None, n: list[int] | None, width: int) -> np.ndarray:
