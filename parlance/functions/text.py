@@ -138,6 +138,6 @@ def ascii_id(text: Column) -> Column:
 
 
 def bcp47(code: Column, table: dict[str, str]) -> Column:
-    """A tag with a hyphen stays, a known code becomes its tag, another stays as it is."""
+    """A tag with a hyphen stays, a known code (in this case of letters) becomes its tag, another stays as it is; null is empty."""
     known = F.create_map(*(F.lit(x) for kv in table.items() for x in kv))
-    return F.when(code.contains("-"), code).otherwise(F.coalesce(F.get(F.array(known[F.lower(code)]), F.lit(0)), code))
+    return F.when(code.contains("-"), code).otherwise(F.coalesce(F.try_element_at(known, code), code, F.lit("")))

@@ -40,17 +40,23 @@ SQL = {
     "basic_metadata": "SELECT session_id, count(*) AS turn_count, count(DISTINCT speaker) AS speaker_count, 'basic' AS metadata_depth FROM turns GROUP BY session_id",
     "basic_speaker_metadata": "SELECT session_id, speaker, count(*) AS turn_count FROM turns GROUP BY ALL",
     "language_aliases": """
-        SELECT s.session_id, coalesce(n, 0)::INTEGER AS switch_count, coalesce(p, '') AS patterns FROM (SELECT DISTINCT session_id FROM segments) s LEFT JOIN (
-          SELECT session_id, sum(c) AS n, string_agg(p, ',' ORDER BY place) AS p FROM (
-            SELECT session_id, l || '→' || language AS p, min(idx) AS place, count(*) AS c FROM (SELECT *, lag(language) OVER (PARTITION BY session_id ORDER BY idx) AS l FROM segments) WHERE l <> language GROUP BY ALL) GROUP BY session_id) USING (session_id)""",
+        WITH s AS (SELECT *, CASE WHEN length(text) % 7 <> 0 THEN language ELSE 'unknown' END AS lang, coalesce(nullif(CASE WHEN length(text) % 3 <> 0 THEN quality_score ELSE 0.7 END, 0), 0.5) AS conf FROM segments),
+        m AS (SELECT *, lag(lang) OVER (PARTITION BY session_id ORDER BY idx) AS l FROM s),
+        p AS (SELECT session_id, l || '→' || lang AS p, min(idx) AS place, count(*) AS c FROM m WHERE l <> lang GROUP BY ALL),
+        q AS (SELECT session_id, sum(c) AS n, string_agg(p, ',' ORDER BY place) AS p FROM p GROUP BY session_id)
+        SELECT session_id, t AS segments, coalesce(n, 0)::INTEGER AS switch_count, coalesce(p, '') AS patterns
+        FROM (SELECT session_id, string_agg(printf('%.3f-%.3f:%s:%.3f', s_ms / 1000.0::DOUBLE, e_ms / 1000.0::DOUBLE, lang, conf::DOUBLE), ',' ORDER BY idx) AS t FROM s GROUP BY session_id) LEFT JOIN q USING (session_id)""",
     "interaction_aliases": """
-        SELECT session_id, count(*) AS total_turns, sum(CASE WHEN contains(text, '?') THEN 1 END)::BIGINT AS interruption_count, count(*) AS turn_count, coalesce(sum(CASE WHEN contains(text, '?') THEN 1 END), 0)::BIGINT AS interruptions FROM turns GROUP BY session_id""",
+        SELECT session_id, count(*) AS total_turns, sum(CASE WHEN contains(text, '?') THEN 1 END)::BIGINT AS interruption_count, count(*) AS turn_count, coalesce(sum(CASE WHEN contains(text, '?') THEN 1 END), 0)::BIGINT AS interruptions,
+          0.0::DOUBLE AS overlap_duration, NULL::DOUBLE AS avg_response_latency, any_value(shares) AS speaker_dominance
+        FROM turns JOIN (SELECT session_id, string_agg(speaker || ':' || printf('%.9f', ms / CASE WHEN total = 0 THEN 1 ELSE total END::DOUBLE), ',' ORDER BY speaker) AS shares
+          FROM (SELECT session_id, speaker, sum(e_ms - s_ms) AS ms, sum(sum(e_ms - s_ms)) OVER (PARTITION BY session_id) AS total FROM turns GROUP BY session_id, speaker) GROUP BY session_id) USING (session_id) GROUP BY session_id""",
     "candidate_payload": r"""
         SELECT session_id, engine, count(*)::INTEGER AS full_segments, sum(n)::INTEGER AS full_inner, sum(n)::INTEGER AS full_words, count(*)::INTEGER AS slim_segments, 0 AS slim_inner, 0 AS slim_words, 0 AS bare_segments, 0 AS bare_inner, sum(n)::INTEGER AS bare_words
         FROM (SELECT *, len(regexp_extract_all(text, '[^ \t\n\r\f]+')) AS n FROM candidates) GROUP BY ALL""",
     "normalisation_notes": r"""
         SELECT session_id, idx, array_to_string(list_filter([CASE WHEN k % 3 = 0 THEN 'vendor_note' END,
-            CASE WHEN regexp_matches(t, '[^\p{L}\p{M}\p{N}\p{Pc}\s]') THEN 'punctuation_normalisation_applied_for_comparison' END, CASE WHEN regexp_matches(t, '[0-9०-९੦-੯]') THEN 'numeral_normalisation_applied_for_comparison' END,
+            CASE WHEN regexp_matches(t, '[^\p{L}\p{N}_\s]') THEN 'punctuation_normalisation_applied_for_comparison' END, CASE WHEN regexp_matches(t, '[0-9०-९੦-੯]') THEN 'numeral_normalisation_applied_for_comparison' END,
             CASE WHEN len(list_intersect(string_split_regex(lower(trim(t)), '\s+'), ['hai', 'hain', 'nahi', 'nahin', 'kya', 'kyun', 'kaise', 'mera', 'meri', 'tera', 'aap', 'hum', 'tum', 'mein', 'aur', 'lekin', 'bahut', 'accha', 'namaste', 'thik', 'abhi', 'kal', 'aaj', 'raha', 'rahi', 'karo', 'karna', 'gaya', 'tha', 'thi', 'kuch', 'sab', 'yeh', 'woh', 'tusi', 'tussi', 'assi', 'menu', 'tenu', 'kiven', 'kidda', 'changa', 'vadiya', 'sanu', 'ohna', 'kithe', 'hunda', 'karda', 'kardi', 'hega', 'paaji', 'sat', 'sri', 'akal', 'nu', 'vich', 'mhare', 'mharo', 'tharo', 'thare', 'kain', 'padharo', 'ghano', 'ghani', 'sa', 'khamma', 'chhe', 'konni', 'hukum', 'mhane', 'thane', 'bega'])) > 0 THEN 'romanized_indic_tokens_present' END,
             CASE WHEN contains(t, '-') THEN 'provider_token_split_merge_variation_detected' END], lambda x: x IS NOT NULL), ',') AS notes
         FROM (SELECT *, session_id + idx AS k, CASE WHEN (session_id + idx) % 4 = 0 THEN regexp_replace(text, '[^A-Za-z0-9 ]', '', 'g') ELSE text END || CASE WHEN (session_id + idx) % 5 = 0 THEN ' namaste' ELSE '' END || CASE WHEN (session_id + idx) % 7 = 0 THEN ' ४२ co-op' ELSE '' END AS t FROM turns)""",
@@ -64,11 +70,11 @@ SQL = {
         FROM (SELECT DISTINCT session_id, session_id % 5 AS k, (session_id % 11) / 20.0::DOUBLE AS m FROM turns)""",
     "bcp47_tags": """
         SELECT DISTINCT session_id, c.code, c.tag FROM turns JOIN (VALUES (0, 'hi', 'hi-Deva'), (1, 'pa', 'pa-Guru'), (2, 'mr', 'mr-Deva'), (3, 'en', 'en-IN'), (4, 'hinglish', 'hi-Latn'), (5, 'ur', 'ur-Arab'), (6, 'gu', 'gu-Gujr'), (7, 'bn', 'bn-Beng'),
-          (8, 'ta', 'ta-Taml'), (9, 'te', 'te-Telu'), (10, 'kn', 'kn-Knda'), (11, 'ml', 'ml-Mlym'), (12, 'mwr', 'mwr-Latn'), (13, 'fr', 'fr'), (14, 'pa-Latn', 'pa-Latn'), (15, 'HI', 'hi-Deva')) c(k, code, tag) ON session_id % 16 = c.k""",
+          (8, 'ta', 'ta-Taml'), (9, 'te', 'te-Telu'), (10, 'kn', 'kn-Knda'), (11, 'ml', 'ml-Mlym'), (12, 'mwr', 'mwr-Latn'), (13, 'fr', 'fr'), (14, 'pa-Latn', 'pa-Latn'), (15, 'HI', 'HI')) c(k, code, tag) ON session_id % 16 = c.k""",
     "conversation_manifest": """
-        SELECT session_id AS session, 'pair' AS input_mode, NULL::VARCHAR AS generated_at, NULL::VARCHAR AS duration_s, NULL::VARCHAR AS conversation_duration_s, count(*) AS turn_count, count(DISTINCT speaker) AS speaker_count, NULL::VARCHAR AS primary_language, NULL::VARCHAR AS dominant_language,
-          session_id % 2 = 0 AS multilingual, NULL::VARCHAR AS switching_score, NULL::VARCHAR AS engagement_score, NULL::VARCHAR AS dominant_speaker, NULL::VARCHAR AS alignment_applied, NULL::VARCHAR AS alignment_confidence, NULL::VARCHAR AS mono_mix_peak_after, NULL::VARCHAR AS mean_quality_score,
-          NULL::VARCHAR AS validation_passed, count(*) % 3 AS validation_issue_count, NULL::VARCHAR AS mono_audio_path, NULL::VARCHAR AS annotation_path FROM turns GROUP BY session_id""",
+        SELECT session_id::VARCHAR AS session, 'pair' AS input_mode, '' AS generated_at, NULL::DOUBLE AS duration_s, NULL::DOUBLE AS conversation_duration_s, count(*) AS turn_count, count(DISTINCT speaker) AS speaker_count, NULL::VARCHAR AS primary_language, NULL::VARCHAR AS dominant_language,
+          session_id % 2 = 0 AS multilingual, NULL::DOUBLE AS switching_score, NULL::DOUBLE AS engagement_score, NULL::VARCHAR AS dominant_speaker, NULL::BOOLEAN AS alignment_applied, NULL::DOUBLE AS alignment_confidence, NULL::DOUBLE AS mono_mix_peak_after, NULL::DOUBLE AS mean_quality_score,
+          NULL::BOOLEAN AS validation_passed, count(*) % 3 AS validation_issue_count, '' AS mono_audio_path, '/data/annotations/' || session_id || '.json' AS annotation_path FROM turns GROUP BY session_id""",
     "speaker_manifest": """
         WITH s AS (SELECT session_id AS session, speaker, speaker AS label, count(*) AS turn_count, CASE session_id % 3 WHEN 0 THEN speaker || '.wav' WHEN 1 THEN '' END AS monologue_path FROM turns GROUP BY session_id, speaker)
         SELECT 'speakers' AS manifest, * FROM s UNION ALL SELECT 'monologues', * FROM s WHERE monologue_path <> ''""",

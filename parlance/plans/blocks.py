@@ -96,16 +96,26 @@ def basic(df: DataFrame, keep: tuple[str, ...], keys: tuple[str, ...] = ("sessio
 
 
 def interaction_aliases(df: DataFrame) -> DataFrame:
-    """Older names beside the newer ones of an interaction report; a column that is there stays."""
-    names = {"turn_count": ("total_turns", 0), "interruptions": ("interruption_count", 0), "overlap_duration": ("overlap_duration_s", 0.0), "avg_response_latency": ("mean_latency_s", None)}
-    return df.withColumns({new: F.coalesce(F.col(old), F.lit(least)) if least is not None else F.col(old) for new, (old, least) in names.items() if new not in df.columns and old in df.columns})
+    """Older names beside the newer ones of an interaction report; a column that is there stays, a report without the newer one has the value of none."""
+    none = {"turn_count": F.lit(0).cast("long"), "interruptions": F.lit(0).cast("long"), "overlap_duration": F.lit(0.0), "avg_response_latency": F.lit(None).cast("double"), "speaker_dominance": F.create_map().cast("map<string,double>")}
+    names = {"turn_count": "total_turns", "interruptions": "interruption_count", "overlap_duration": "overlap_duration_s", "avg_response_latency": "mean_latency_s", "speaker_dominance": "dominance"}
+    return df.withColumns({new: F.coalesce(F.col(old), none[new]) if old in df.columns else none[new] for new, old in names.items() if new not in df.columns})
 
 
-def language_aliases(languages: Column) -> tuple[Column, Column]:
-    """(switch_count, patterns) of the languages of consecutive segments: a pattern `a→b` once, in order of its first use."""
-    steps = F.transform(F.sequence(F.lit(1), F.greatest(F.size(languages) - 1, F.lit(1))), lambda i: F.struct(F.get(languages, i - 1).alias("a"), F.get(languages, i).alias("b")))
-    moved = F.filter(steps, lambda s: s["b"].isNotNull() & (s["a"] != s["b"]))
-    return F.size(moved), F.array_distinct(F.transform(moved, lambda s: F.concat_ws("→", s["a"], s["b"])))
+def language_aliases(segments: Column, confidence: Column | float = 0.5) -> Column:
+    """Struct segments, switch_count, patterns of consecutive segments (start, end, language, confidence).
+
+    Segments get times and confidence to 3 places and a lang, `unknown` where there is none; a confidence that is null is the report's, and 0 counts as 0.5.
+    A pattern `a→b` stands once, in order of its first use.
+    """
+    report = F.lit(confidence) if isinstance(confidence, float) else confidence
+    sure = lambda s: F.coalesce(F.nullif(F.coalesce(s["confidence"], report), F.lit(0.0)), F.lit(0.5))
+    place = lambda s, c: F.round(F.coalesce(s[c].cast("double"), F.lit(0.0)), 3).alias(c)
+    lang = lambda s: F.coalesce(F.nullif(s["language"], F.lit("")), F.lit("unknown")).alias("lang")
+    named = F.transform(segments, lambda s: F.struct(place(s, "start"), place(s, "end"), lang(s), F.round(sure(s), 3).alias("confidence")))
+    steps = F.arrays_zip(F.slice(named["lang"], 1, F.greatest(F.size(named) - 1, F.lit(0))).alias("a"), F.slice(named["lang"], 2, F.greatest(F.size(named) - 1, F.lit(0))).alias("b"))
+    moved = F.filter(steps, lambda s: s["a"] != s["b"])
+    return F.struct(named.alias("segments"), F.size(moved).alias("switch_count"), F.array_distinct(F.transform(moved, lambda s: F.concat_ws("→", s["a"], s["b"]))).alias("patterns"))
 
 
 def candidate_payload(segments: Column, include_segments: bool = True, include_words: bool = True) -> tuple[Column, Column]:
@@ -120,7 +130,7 @@ def normalisation_notes(text: Column, words: Column, extra: Column | None = None
     roman = F.array(*map(F.lit, dict.fromkeys((*lex.ROMAN_HINDI, *lex.ROMAN_PUNJABI, *lex.ROMAN_MARWADI))))
     say = lambda c, note: F.when(F.coalesce(c, F.lit(False)), note)
     notes = F.array(
-        say(text.rlike(r"(?U)[^\w\s]"), "punctuation_normalisation_applied_for_comparison"),
+        say(text.rlike(r"(?U)[^\p{L}\p{N}_\s]"), "punctuation_normalisation_applied_for_comparison"),
         say(text.rlike(r"[0-9०-९੦-੯]"), "numeral_normalisation_applied_for_comparison"),
         say(F.arrays_overlap(F.split(F.lower(F.trim(text)), r"\s+"), roman), "romanized_indic_tokens_present"),
         say(F.exists(words, lambda w: F.contains(w, F.lit("-"))), "provider_token_split_merge_variation_detected"),
@@ -147,7 +157,8 @@ def rationale(agreement: Column, timing: Column, preservation: Column, structure
 
 def diarisation_status(requested: Column, failed: Column) -> Column:
     """The back end that did the work: a failed one is replaced by clustering, which is said."""
-    return F.when(F.coalesce(failed, F.lit(False)) & (requested != "kmeans"), F.concat_ws("_", F.lit("kmeans"), F.lit("fallback"))).otherwise(requested)
+    # Fixed value: the status of a replaced back end.
+    return F.when(F.coalesce(failed, F.lit(False)) & (requested != "kmeans"), "kmeans_fallback").otherwise(requested)
 
 
 def document_language(scripts: Column, marwadi: Column, roman_language: Column, roman_strength: Column) -> Column:
@@ -165,14 +176,18 @@ def document_language(scripts: Column, marwadi: Column, roman_language: Column,
     )
 
 
-def conversation_manifest(records: DataFrame) -> DataFrame:
-    """One row a conversation, in the manifest's columns; a column that the records lack is null."""
-    # The manifest's columns and, where it differs, what they are called in a record.
+def conversation_manifest(records: DataFrame, annotations: str = "") -> DataFrame:
+    """One row a conversation, in the manifest's columns and types, whatever columns the records have; annotations is the folder of the records' files."""
+    # The manifest's columns with their types and, where it differs, what they are called in a record.
     columns = {
-        "session": "session_id", "input_mode": "", "generated_at": "", "duration_s": "total_speech_time_s", "conversation_duration_s": "", "turn_count": "", "speaker_count": "", "primary_language": "", "dominant_language": "", "multilingual": "multilingual_flag", "switching_score": "",
-        "engagement_score": "", "dominant_speaker": "", "alignment_applied": "", "alignment_confidence": "", "mono_mix_peak_after": "peak_after", "mean_quality_score": "", "validation_passed": "", "validation_issue_count": "issue_count", "mono_audio_path": "", "annotation_path": "",
+        "session": ("string", "session_id"), "input_mode": ("string", ""), "generated_at": ("string", ""), "duration_s": ("double", "total_speech_time_s"), "conversation_duration_s": ("double", ""), "turn_count": ("bigint", ""), "speaker_count": ("bigint", ""), "primary_language": ("string", ""),
+        "dominant_language": ("string", ""), "multilingual": ("boolean", "multilingual_flag"), "switching_score": ("double", ""), "engagement_score": ("double", ""), "dominant_speaker": ("string", ""), "alignment_applied": ("boolean", ""), "alignment_confidence": ("double", ""),
+        "mono_mix_peak_after": ("double", "peak_after"), "mean_quality_score": ("double", ""), "validation_passed": ("boolean", ""), "validation_issue_count": ("bigint", "issue_count"), "mono_audio_path": ("string", "mono_wav"), "annotation_path": ("string", ""),
     }
-    return records.select(*((F.col(src or name) if (src or name) in records.columns else F.lit(None).cast("string")).alias(name) for name, src in columns.items()))
+    absent = {"session": F.lit(""), "input_mode": F.lit(""), "generated_at": F.lit(""), "multilingual": F.lit(False), "mono_audio_path": F.lit("")}
+    out = {name: F.col(src or name) if (src or name) in records.columns else absent.get(name, F.lit(None)) for name, (_, src) in columns.items()}
+    out["annotation_path"] = F.concat(F.lit(f"{annotations.rstrip('/')}/" if annotations else ""), F.coalesce(out["session"].cast("string"), F.lit("")), F.lit(".json"))
+    return records.select(*(out[name].cast(kind).alias(name) for name, (kind, _) in columns.items()))
 
 
 def speaker_manifest(speakers: DataFrame) -> tuple[DataFrame, DataFrame]:

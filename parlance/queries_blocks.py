@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import lexicons as lex
 from .functions import text as T
 from .functions import waveform as w
+from .operators import interaction
 from .plans import blocks
 from .queries import joined, query
 from .sources import audio, listing
@@ -100,15 +101,23 @@ def basic_speaker_metadata(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def language_aliases(spark: SparkSession, d: str) -> DataFrame:
-    s = R.segments(spark, d).groupBy("session_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "language"))), lambda x: x["language"]).alias("langs"))
-    count, patterns = blocks.language_aliases(F.col("langs"))
-    return s.select("session_id", count.alias("switch_count"), F.array_join(patterns, ",").alias("patterns"))
+    """Segments whose text's length divides by 7 have no language, of those it divides by 3 no confidence."""
+    n = F.length("text")
+    each = F.struct("idx", (F.col("s_ms") / 1000.0).alias("start"), (F.col("e_ms") / 1000.0).alias("end"), F.when(n % 7 != 0, F.col("language")).alias("language"), F.when(n % 3 != 0, F.col("quality_score")).alias("confidence"))
+    s = R.segments(spark, d).groupBy("session_id").agg(F.array_sort(F.collect_list(each)).alias("s"))
+    found = s.select("session_id", blocks.language_aliases(F.col("s"), 0.7).alias("v")).select("session_id", "v.*")
+    line = F.transform("segments", lambda x: F.format_string("%.3f-%.3f:%s:%.3f", x["start"], x["end"], x["lang"], x["confidence"]))
+    return found.select("session_id", F.array_join(line, ",").alias("segments"), "switch_count", F.array_join("patterns", ",").alias("patterns"))
 
 
 @query
 def interaction_aliases(spark: SparkSession, d: str) -> DataFrame:
     t = R.turns(spark, d).groupBy("session_id").agg(F.count(F.lit(1)).alias("total_turns"), F.sum(F.when(F.col("text").contains("?"), 1)).alias("interruption_count"))
-    return blocks.interaction_aliases(t)
+    shares = F.map_from_entries(F.array_sort(F.collect_list(F.struct("speaker", "share")))).alias("dominance")
+    t = t.join(interaction.dominance(R.turns(spark, d)).groupBy("session_id").agg(shares), "session_id")
+    out = blocks.interaction_aliases(t).drop("dominance")
+    parts = F.transform(F.map_entries("speaker_dominance"), lambda e: F.format_string("%s:%.9f", e["key"], e["value"]))
+    return out.withColumn("speaker_dominance", F.array_join(parts, ","))
 
 
 @query
@@ -165,7 +174,7 @@ def bcp47_tags(spark: SparkSession, d: str) -> DataFrame:
 @query
 def conversation_manifest(spark: SparkSession, d: str) -> DataFrame:
     t = R.turns(spark, d).groupBy("session_id").agg(F.count(F.lit(1)).alias("turn_count"), F.countDistinct("speaker").alias("speaker_count"))
-    return blocks.conversation_manifest(t.withColumns({"input_mode": F.lit("pair"), "multilingual_flag": F.col("session_id") % 2 == 0, "issue_count": F.col("turn_count") % 3}))
+    return blocks.conversation_manifest(t.withColumns({"input_mode": F.lit("pair"), "multilingual_flag": F.col("session_id") % 2 == 0, "issue_count": F.col("turn_count") % 3}), "/data/annotations/")
 
 
 @query
