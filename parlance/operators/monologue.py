@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .intervals import overlap_pairs
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -36,9 +38,10 @@ def spans(words: DataFrame, turns: DataFrame, limits: Limits = Limits(), own_tur
     A turn's words (midpoint inside, 1 ms slack) part where a pause exceeds limits.gap. own_turns_only takes
     all spans for uninterrupted, as where each speaker's turns are looked at alone.
     """
-    t = turns.select(F.col("session_id").alias("_s"), F.col("idx").alias("turn_idx"), F.col("speaker").alias("turn_speaker"), F.col("s_ms").alias("_a"), F.col("e_ms").alias("_b"))
     mid = F.col("ws_ms") + F.col("we_ms")
-    inside = words.drop("speaker").join(t, (F.col("session_id") == F.col("_s")) & (mid >= F.col("_a") * 2 - 2) & (mid <= F.col("_b") * 2 + 2))
+    w = words.drop("speaker").withColumn("s_ms", mid).withColumn("e_ms", mid + 1)
+    t = turns.select("session_id", "idx", "speaker", (F.col("s_ms") * 2 - 2).alias("s_ms"), (F.col("e_ms") * 2 + 3).alias("e_ms"))
+    inside = overlap_pairs(w, t).select("l.*", F.col("r.idx").alias("turn_idx"), F.col("r.speaker").alias("turn_speaker")).drop("s_ms", "e_ms")
     w = W.partitionBy("session_id", "turn_idx").orderBy("ws_ms", "seg_idx", "word_idx")
     opened = inside.withColumn("_new", F.when(F.col("ws_ms") - F.lag("we_ms").over(w) > limits.gap, 1).otherwise(0))
     parts = opened.withColumn("span", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
@@ -56,9 +59,9 @@ def spans(words: DataFrame, turns: DataFrame, limits: Limits = Limits(), own_tur
     if own_turns_only:
         out = out.withColumn("interruption_free", F.lit(True))
     else:
-        o = turns.select(F.col("session_id").alias("_s"), F.col("speaker").alias("_spk"), F.col("s_ms").alias("_a"), F.col("e_ms").alias("_b"))
-        hit = (F.col("session_id") == F.col("_s")) & (F.col("speaker") != F.col("_spk")) & (F.col("_b") > F.col("s_ms")) & (F.col("_a") < F.col("e_ms"))
-        broken = out.join(o, hit, "left_semi").select("session_id", "turn_idx", "span", F.lit(True).alias("_broken"))
+        o = turns.select("session_id", "speaker", "s_ms", "e_ms")
+        hit = overlap_pairs(out.select("session_id", "turn_idx", "span", "speaker", "s_ms", "e_ms"), o, F.col("l.speaker") != F.col("r.speaker"))
+        broken = hit.select("l.session_id", "l.turn_idx", "l.span").distinct().withColumn("_broken", F.lit(True))
         out = out.join(broken, ["session_id", "turn_idx", "span"], "left").withColumn("interruption_free", F.col("_broken").isNull()).drop("_broken")
     score = length_score(ms, limits) * F.greatest(F.lit(0.0), 1.0 - F.col("silence_ratio") * 1.5) * F.when(F.col("interruption_free"), 1.0).otherwise(0.5)
     return out.withColumn("score", score).drop("spoken_ms")

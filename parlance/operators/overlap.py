@@ -28,13 +28,15 @@ def is_backchannel(text: Column, language: Column) -> Column:
 
 def _texts(turns: DataFrame, segments: DataFrame) -> DataFrame:
     """Each turn's text and language: of the first segment that holds its midpoint, else of the last that overlaps it, else none."""
-    s = segments.select(F.col("session_id").alias("_s"), F.col("s_ms").alias("_a"), F.col("e_ms").alias("_b"), F.col("idx").alias("_i"), F.struct(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("language", F.lit("")).alias("language")).alias("_x"))
-    mid = F.col("s_ms") + F.col("e_ms")
-    holds = (F.col("_a") * 2 <= mid) & (mid <= F.col("_b") * 2)
-    meets = F.least("e_ms", "_b") > F.greatest("s_ms", "_a")
-    j = turns.join(s, (F.col("session_id") == F.col("_s")) & (holds | meets), "left")
-    pick = F.coalesce(F.min_by(F.when(holds, F.col("_x")), F.when(holds, F.col("_i"))), F.max_by(F.when(meets, F.col("_x")), F.when(meets, F.col("_i"))))
-    return j.groupBy("session_id", "idx").agg(pick.alias("x"))
+    # a millisecond more at either end brings together what only touches
+    s = segments.select("session_id", "s_ms", (F.col("e_ms") + 1).alias("e_ms"), F.col("e_ms").alias("to"), "idx", F.struct(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("language", F.lit("")).alias("language")).alias("x"))
+    t = turns.select("session_id", "idx", "s_ms", (F.col("e_ms") + 1).alias("e_ms"), F.col("e_ms").alias("to"))
+    mid = F.col("l.s_ms") + F.col("l.to")
+    holds = (F.col("r.s_ms") * 2 <= mid) & (mid <= F.col("r.to") * 2)
+    meets = F.least("l.to", "r.to") > F.greatest("l.s_ms", "r.s_ms")
+    pick = F.coalesce(F.min_by(F.when(holds, F.col("r.x")), F.when(holds, F.col("r.idx"))), F.max_by(F.when(meets, F.col("r.x")), F.when(meets, F.col("r.idx"))))
+    found = overlap_pairs(t, s).where(holds | meets).groupBy(F.col("l.session_id").alias("session_id"), F.col("l.idx").alias("idx")).agg(pick.alias("x"))
+    return turns.select("session_id", "idx").join(found, ["session_id", "idx"], "left")
 
 
 def regions(turns: DataFrame, segments: DataFrame, min_ms: int = MIN_MS) -> DataFrame:
@@ -50,8 +52,8 @@ def regions(turns: DataFrame, segments: DataFrame, min_ms: int = MIN_MS) -> Data
 
 def annotate(segments: DataFrame, overlaps: DataFrame) -> DataFrame:
     """segments with overlap, overlap_type, overlap_speakers, overlap_start, overlap_end: of the longest region that meets them, of equals the earliest."""
-    o = overlaps.select(F.col("session_id").alias("_s"), F.struct("o_start", "o_end", "overlap_type", "speaker_a", "speaker_b").alias("o"))
-    j = segments.select("session_id", "idx", "s_ms", "e_ms").join(o, (F.col("session_id") == F.col("_s")) & (F.col("s_ms") < F.col("o.o_end")) & (F.col("o.o_start") < F.col("e_ms")))
+    o = overlaps.select("session_id", F.col("o_start").alias("s_ms"), F.col("o_end").alias("e_ms"), F.struct("o_start", "o_end", "overlap_type", "speaker_a", "speaker_b").alias("o"))
+    j = overlap_pairs(segments.select("session_id", "idx", "s_ms", "e_ms"), o).select("l.session_id", "l.idx", "r.o")
     best = j.groupBy("session_id", "idx").agg(F.max_by("o", F.struct(F.col("o.o_end") - F.col("o.o_start"), -F.col("o.o_start"), -F.col("o.o_end"))).alias("o"))
     out = segments.join(best, ["session_id", "idx"], "left")
     speakers = F.when(F.col("o").isNull(), F.array().cast("array<string>")).otherwise(F.array("o.speaker_a", "o.speaker_b"))
