@@ -106,4 +106,37 @@ SQL = {
         SELECT session_id, s.speaker, CASE WHEN s.speaker = 'SPEAKER_01' THEN 30 - session_id % 61 ELSE 0 END::INTEGER AS offset_ms, TRUE AS passed, s.speaker = 'SPEAKER_01' AND session_id % 61 <> 30 AS applied, 2000::DOUBLE AS samples, TRUE AS whole
         FROM (SELECT DISTINCT session_id FROM turns), (VALUES ('SPEAKER_00'), ('SPEAKER_01')) s(speaker)""",
     "waveform_wav": "SELECT session_id, s.speaker, 1000 AS sample_rate, 1 AS channels, 16 AS bits, 44 + 2 * 2000 AS bytes FROM (SELECT DISTINCT session_id FROM turns), (VALUES ('SPEAKER_00'), ('SPEAKER_01')) s(speaker)",
+    "schema_gate_compiled": """
+        SELECT session_id, len(x)::BIGINT AS n_errors, list_sort(list_transform(x, lambda e: {'d': -len(string_split(split_part(e, ': ', 1), ' -> ')) + CASE WHEN starts_with(e, '(root)') THEN 1 ELSE 0 END, 'e': e}))[1].e AS first_error,
+               array_to_string(list_sort(x), '; ') AS errors
+        FROM (SELECT session_id, list_concat(list_filter([
+            CASE WHEN j->>'$.schema_version' <> '3.0.0' THEN 'schema_version: const' END,
+            CASE WHEN length(j->>'$.session_name') < 1 THEN 'session_name: minLength' END,
+            CASE WHEN NOT json_exists(j, '$.transcript.raw') THEN 'transcript: required raw' END,
+            CASE WHEN json_type(j, '$.metadata') <> 'OBJECT' THEN 'metadata: type' END,
+            CASE WHEN json_type(j, '$.validation.passed') <> 'BOOLEAN' THEN 'validation -> passed: type' END,
+            CASE WHEN (j->>'$.accuracy_gate.estimated_word_accuracy')::DOUBLE > 1 THEN 'accuracy_gate -> estimated_word_accuracy: maximum' END,
+            CASE WHEN json_type(j, '$.accuracy_gate.verified_word_accuracy') NOT IN ('NULL', 'DOUBLE') THEN 'accuracy_gate -> verified_word_accuracy: anyOf' END,
+            CASE WHEN json_type(j, '$.accuracy_gate.reasons[0]') <> 'VARCHAR' THEN 'accuracy_gate -> reasons -> 0: type' END,
+            CASE WHEN j->>'$.delivery_status.stage' NOT IN ('review_required', 'reviewed', 'approved', 'rejected') THEN 'delivery_status -> stage: enum' END,
+            CASE WHEN j->>'$.pipeline_mode' = 'premium_accuracy' AND NOT json_exists(j, '$.consensus') THEN '(root): required consensus' END,
+            CASE WHEN j->>'$.pipeline_mode' = 'premium_accuracy' AND NOT json_exists(j, '$.review_artifacts') THEN '(root): required review_artifacts' END,
+            CASE WHEN j->>'$.pipeline_mode' = 'premium_accuracy' AND NOT json_exists(j, '$.transcript_candidates') THEN '(root): required transcript_candidates' END],
+          lambda e: e IS NOT NULL), flatten(list_transform(range(json_array_length(j, '$.transcript.segments')::BIGINT), lambda i: list_filter([
+            CASE WHEN length(json_extract_string(j, '$.transcript.segments[' || i || '].segment_id')) < 1 THEN 'transcript -> segments -> ' || i || ' -> segment_id: minLength' END,
+            CASE WHEN json_extract_string(j, '$.transcript.segments[' || i || '].start')::DOUBLE < 0 THEN 'transcript -> segments -> ' || i || ' -> start: minimum' END,
+            CASE WHEN json_extract_string(j, '$.transcript.segments[' || i || '].sample_rate')::BIGINT < 1 THEN 'transcript -> segments -> ' || i || ' -> sample_rate: minimum' END,
+            CASE WHEN json_extract(j, '$.transcript.segments[' || i || '].speaker_id') IS NULL THEN 'transcript -> segments -> ' || i || ': required speaker_id' END],
+          lambda e: e IS NOT NULL)))) AS x
+        FROM (SELECT session_id, json_object('schema_version', CASE WHEN k = 1 THEN '2.0.0' ELSE '3.0.0' END, 'session_name', CASE WHEN k = 2 THEN '' ELSE 'session_' || session_id END, 'session_id', session_id::VARCHAR,
+            'pipeline_mode', CASE WHEN session_id % 2 = 1 THEN 'premium_accuracy' ELSE 'offline_standard' END, 'metadata', CASE WHEN k = 13 THEN '[]' ELSE '{}' END::JSON, 'validation', json_object('passed', CASE WHEN k = 7 THEN '"yes"' ELSE 'true' END::JSON),
+            'transcript', json_merge_patch(json_object('segments', segs), CASE WHEN k = 3 THEN '{}'::JSON ELSE json_object('raw', raw) END),
+            'accuracy_gate', json_object('estimated_word_accuracy', CASE WHEN k = 8 THEN 1.5 ELSE 0.5 END, 'verified_word_accuracy', CASE WHEN k = 11 THEN '"x"' ELSE 'null' END::JSON, 'reasons', CASE WHEN k = 12 THEN '[1]' ELSE '["a"]' END::JSON),
+            'delivery_status', json_object('stage', CASE WHEN k = 9 THEN 'sent' ELSE 'approved' END)) AS base,
+            CASE WHEN session_id % 3 <> 0 THEN (rtrim(base::VARCHAR, '}') || repeat('}', length(base::VARCHAR) - length(rtrim(base::VARCHAR, '}')) - 1) || ',"consensus":{},"review_artifacts":{},"transcript_candidates":[]}')::JSON ELSE base END AS j
+          FROM (SELECT session_id, session_id % 14 AS k, string_agg(coalesce(text, ''), ' ' ORDER BY idx) AS raw,
+                  list(CASE WHEN session_id % 14 = 6 THEN json_object('segment_id', printf('%d_%04d', session_id, idx), 'start', s_ms / 1000.0, 'sample_rate', 16000)
+                            ELSE json_object('segment_id', CASE WHEN session_id % 14 = 5 AND idx = 0 THEN '' ELSE printf('%d_%04d', session_id, idx) END, 'start', CASE WHEN session_id % 14 = 4 AND idx = 0 THEN -1.0 ELSE s_ms / 1000.0 END,
+                                             'speaker_id', speaker, 'sample_rate', CASE WHEN session_id % 14 = 10 THEN 0 ELSE 16000 END) END ORDER BY idx) AS segs
+                FROM turns GROUP BY session_id)))""",
 }

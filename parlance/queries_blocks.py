@@ -9,7 +9,7 @@ from . import lexicons as lex
 from .functions import text as T
 from .functions import waveform as w
 from .operators import interaction
-from .plans import blocks
+from .plans import blocks, schemas
 from .queries import joined, query
 from .sources import audio, listing
 from .sources import relations as R
@@ -256,3 +256,49 @@ def waveform_wav(spark: SparkSession, d: str) -> DataFrame:
 def waveform_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     """SHA-256 of the first second's samples, and SHA-1 of the whole content."""
     return _samples(spark, d).select("session_id", "speaker", w.fingerprint(F.col("waveform"), F.col("sample_rate"), 1).alias("fingerprint"), F.sha1("waveform").alias("sha1"))
+
+
+# ---- schema gate ------------------------------------------------------------------------------------------------
+
+
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    """A record in JSON for each session, out of its turns; by session_id modulo 14 one rule of the schema is broken, 0 breaks none."""
+    k, odd = F.col("session_id") % 14, F.col("session_id") % 2 == 1
+    js = lambda n, bad, good: F.when(k == n, F.parse_json(F.lit(bad))).otherwise(F.parse_json(F.lit(good)))
+    opening = F.col("idx") == 0
+    segment = F.struct(
+        F.when((k == 5) & opening, "").otherwise(F.format_string("%d_%04d", "session_id", "idx")).alias("segment_id"),
+        F.when((k == 4) & opening, -1.0).otherwise(F.col("s_ms") / 1000.0).alias("start"),
+        (F.col("e_ms") / 1000.0).alias("end"),
+        F.when(k != 6, F.col("speaker")).alias("speaker_id"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        F.when(k == 10, 0).otherwise(16000).alias("sample_rate"),
+    )
+    s = R.turns(spark, d).groupBy("session_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", segment.alias("s")))), lambda x: x["s"]).alias("segments"))
+    premium = F.when(F.col("session_id") % 3 != 0, F.parse_json(F.lit("{}")))
+    gate = [F.lit(False).alias(n) for n in ("passed", "human_review_required", "human_review_completed", "human_review_required_for_delivery")]
+    record = F.struct(
+        F.when(k == 1, "2.0.0").otherwise("3.0.0").alias("schema_version"),
+        F.when(k == 2, "").otherwise(F.concat(F.lit("session_"), "session_id")).alias("session_name"),
+        F.col("session_id").cast("string").alias("session_id"),
+        F.lit("mono").alias("input_mode"),
+        F.when(odd, "premium_accuracy").otherwise("offline_standard").alias("pipeline_mode"),
+        F.struct(F.when(k != 3, F.array_join(F.transform("segments", lambda x: x["text"]), " ")).alias("raw"), "segments").alias("transcript"),
+        js(13, "[]", "{}").alias("metadata"),
+        F.struct(js(7, '"yes"', "true").alias("passed")).alias("validation"),
+        F.struct(*gate, js(8, "1.5", "0.5").alias("estimated_word_accuracy"), js(11, '"x"', "null").alias("verified_word_accuracy"), js(12, "[1]", '["a"]').alias("reasons")).alias("accuracy_gate"),
+        F.struct(F.lit(True).alias("required"), F.lit("pending").alias("status")).alias("human_review"),
+        F.struct(F.when(k == 9, "sent").otherwise("approved").alias("stage"), F.lit(False).alias("approved_for_client_delivery")).alias("delivery_status"),
+        premium.alias("consensus"),
+        premium.alias("review_artifacts"),
+        F.when(premium.isNotNull(), F.array().cast("array<string>")).alias("transcript_candidates"),
+    )
+    return s.select("session_id", F.to_json(record).alias("record"))
+
+
+@query
+def schema_gate_compiled(spark: SparkSession, d: str) -> DataFrame:
+    """What each session's record breaks of the whole record schema."""
+    found = schemas.check(_documents(spark, d), "record", schemas.record_schema())
+    text = F.transform("errors", lambda e: F.concat(schemas.shown(e["path"]), F.lit(": "), e["message"]))
+    return found.select("session_id", F.size("errors").cast("long").alias("n_errors"), F.try_element_at(text, F.lit(1)).alias("first_error"), F.array_join(F.array_sort(text), "; ").alias("errors"))
