@@ -34,6 +34,9 @@ def merge_and_pad(df: DataFrame, total: Column, key: list[str] = ["session_id",
 #: Widths of the cells of time in which intervals are compared; an interval longer than the last lies in several of those.
 CELLS_MS = tuple(60_000 * 64**k for k in range(4))
 
+#: One width for words, segments and turns, which are short and carry texts: each then travels once or twice.
+CELL_MS = 300_000
+
 
 def _touched(side: str, width: Column | int) -> Column:
     """Numbers of the cells of that width that an interval touches."""

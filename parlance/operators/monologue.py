@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .intervals import overlap_pairs
+from .intervals import CELL_MS, overlap_pairs
 
 
 @dataclass(frozen=True)
@@ -41,7 +41,7 @@ def spans(words: DataFrame, turns: DataFrame, limits: Limits = Limits(), own_tur
     mid = F.col("ws_ms") + F.col("we_ms")
     w = words.drop("speaker").withColumn("s_ms", mid).withColumn("e_ms", mid + 1)
     t = turns.select("session_id", "idx", "speaker", (F.col("s_ms") * 2 - 2).alias("s_ms"), (F.col("e_ms") * 2 + 3).alias("e_ms"))
-    inside = overlap_pairs(w, t).select("l.*", F.col("r.idx").alias("turn_idx"), F.col("r.speaker").alias("turn_speaker")).drop("s_ms", "e_ms")
+    inside = overlap_pairs(w, t, bucket_ms=CELL_MS * 2).select("l.*", F.col("r.idx").alias("turn_idx"), F.col("r.speaker").alias("turn_speaker")).drop("s_ms", "e_ms")
     w = W.partitionBy("session_id", "turn_idx").orderBy("ws_ms", "seg_idx", "word_idx")
     opened = inside.withColumn("_new", F.when(F.col("ws_ms") - F.lag("we_ms").over(w) > limits.gap, 1).otherwise(0))
     parts = opened.withColumn("span", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import lexicons as lex
-from .intervals import overlap_pairs, speaker_overlaps
+from .intervals import CELL_MS, overlap_pairs, speaker_overlaps
 
 #: Shortest region, and the length from which one is always crosstalk.
 MIN_MS, HARD_MS = 200, 600
@@ -35,7 +35,7 @@ def _texts(turns: DataFrame, segments: DataFrame) -> DataFrame:
     holds = (F.col("r.s_ms") * 2 <= mid) & (mid <= F.col("r.to") * 2)
     meets = F.least("l.to", "r.to") > F.greatest("l.s_ms", "r.s_ms")
     pick = F.coalesce(F.min_by(F.when(holds, F.col("r.x")), F.when(holds, F.col("r.idx"))), F.max_by(F.when(meets, F.col("r.x")), F.when(meets, F.col("r.idx"))))
-    found = overlap_pairs(t, s).where(holds | meets).groupBy(F.col("l.session_id").alias("session_id"), F.col("l.idx").alias("idx")).agg(pick.alias("x"))
+    found = overlap_pairs(t, s, bucket_ms=CELL_MS).where(holds | meets).groupBy(F.col("l.session_id").alias("session_id"), F.col("l.idx").alias("idx")).agg(pick.alias("x"))
     return turns.select("session_id", "idx").join(found, ["session_id", "idx"], "left")
 
 
@@ -69,7 +69,7 @@ def adjacent_markers(turns: DataFrame) -> DataFrame:
 
 def utterances(turns: DataFrame, rows: DataFrame) -> DataFrame:
     """Each turn with the text, first language and mean quality of the rows that overlap it: utterance_id, session_id, speaker, s_ms, e_ms, text, language, quality."""
-    pairs = overlap_pairs(turns, rows)
+    pairs = overlap_pairs(turns, rows, bucket_ms=CELL_MS)
     key = [F.col("l.session_id").alias("session_id"), F.col("l.idx").alias("idx"), F.col("l.speaker").alias("speaker"), F.col("l.s_ms").alias("s_ms"), F.col("l.e_ms").alias("e_ms")]
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r.idx", F.trim("r.text").alias("t")))), lambda x: x["t"]), " ")
     out = pairs.groupBy(*key).agg(text.alias("text"), F.min_by("r.language", "r.idx").alias("language"), F.avg("r.quality_score").alias("quality"))
