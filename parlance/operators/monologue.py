@@ -68,13 +68,13 @@ def spans(words: DataFrame, turns: DataFrame, limits: Limits = Limits(), own_tur
 
 
 def best(candidates: DataFrame, key: list[str] = ["session_id"], limits: Limits = Limits()) -> DataFrame:
-    """The best candidate of each key: those in range first, then by score, then the earliest. One that is too long is cut after the last word that starts in time."""
+    """The best candidate of each key: those in range first, then by score, then the earliest. One that is too long is cut after the words that start in time, where the last of them ends (words of turns that overlap may end in another order)."""
     rank = F.row_number().over(W.partitionBy(*key).orderBy(F.desc("in_range"), F.desc("score"), "turn_idx", "span"))
     top = candidates.withColumn("_r", rank).where("_r = 1").drop("_r")
     long = (F.col("e_ms") - F.col("s_ms")) > limits.longest
     kept = F.filter("words", lambda x: x["ws_ms"] <= F.col("s_ms") + limits.longest)
     top = top.withColumn("_long", long & ~F.col("in_range")).withColumn("words", F.when(F.col("_long"), kept).otherwise(F.col("words")))
-    end = F.when(F.col("_long"), F.element_at("words", -1)["we_ms"]).otherwise(F.col("e_ms"))
+    end = F.when(F.col("_long"), F.array_max(F.transform("words", lambda x: x["we_ms"]))).otherwise(F.col("e_ms"))
     text = F.when(F.col("_long"), F.trim(F.array_join(F.transform("words", lambda x: F.trim(x["word"])), " "))).otherwise(F.col("text"))
     ms = F.col("e_ms") - F.col("s_ms")
     return top.withColumn("e_ms", end).withColumn("text", text).withColumn("n_words", F.size("words")).withColumn("in_range", (ms >= limits.shortest) & (ms <= limits.longest)).drop("_long")
