@@ -58,7 +58,8 @@ def mixes(chans: DataFrame) -> DataFrame:
 
 def aligned(chans: DataFrame, fail_unreliable: bool = False) -> DataFrame:
     """chans with the second speaker moved onto the first one's time line where the offset is reliable: and offset_ms, confidence, passed, applied."""
-    a = chans.where("speaker = 'SPEAKER_00'").select("session_id", F.col("waveform").alias("_a"))
+    # Waveforms are never broadcast: Spark takes BINARY for a few bytes a row, however long recordings are.
+    a = chans.where("speaker = 'SPEAKER_00'").select("session_id", F.col("waveform").alias("_a")).hint("merge")
     b = chans.where("speaker = 'SPEAKER_01'").join(a, "session_id").withColumn("o", w.offset("_a", "waveform", "sample_rate"))
     if fail_unreliable:
         b = b.withColumn("o", F.when(F.col("o.passed"), F.col("o")).otherwise(F.raise_error(F.concat(F.lit("speaker alignment unreliable: "), F.col("session_id").cast("string")))))

@@ -79,3 +79,27 @@ def test_speakers_roll_up(spark):
     assert tuple(transcripts.roll_up(d).first()) == (1, 0.7, True, ["a", "b"])
     r = spark.createDataFrame([(1, 2, ["en→hi"], ["en", "hi", "en"], 0.4)], "session_id long, switch_count int, patterns array<string>, languages array<string>, switching_score double")
     assert transcripts.code_switch_metadata(r).first().dominant_languages == ["en", "hi"]
+
+
+def test_waveforms_are_never_broadcast(spark):
+    chans = spark.range(3).select(F.col("id").alias("session_id"), F.explode(F.array(F.lit("SPEAKER_00"), F.lit("SPEAKER_01"))).alias("speaker"), w.stepped_noise("id", F.lit(0).cast("long"), F.lit(2000)).alias("waveform"), F.lit(1000).alias("sample_rate"))
+    out = audio.aligned(chans)
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [(r.offset_ms, r.passed, r.applied) for r in out.collect()] == [(0, True, False)] * 6
+
+
+def test_samples_are_made_by_all_tasks(spark, sf_dir):
+    from parlance.queries_blocks import _samples
+
+    made = _samples(spark, sf_dir)
+    assert made.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 4 << 20
+
+
+def test_noise_of_odd_keys():
+    for k, p in ((0, 0), (7, 1), (-3, 1), (10**12, 0)):
+        got = w.noise_steps(k, p, 450)
+        for i in (0, 199, 200, 449):
+            step = int(np.fmod(i // 200 + k + p, 4))
+            noise = int(np.fmod(k * 131 + i * (i % 97) * 7 + p * 17, 2001)) - 1000
+            assert got[i] == np.float32(max(-1.0, min(1.0, noise * (0, 4, 300, 1200)[step] / 1e6)) if step >= 0 else 1.0)
