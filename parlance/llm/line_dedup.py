@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import bitmap, documents, grams_hash, grouped, in_bitmap, materialise, mix, task
 from .components import components, local_forest
-from .minhash import STAR, Sets, alike, band_keys, blocks_of, bucket_members, buckets_of, densified, sketch, spread, star_rows
+from .minhash import STAR, Sets, alike, band_keys, blocks_of, bucket_members, buckets_of, densified, member_rows, sketch, spread
 
 #: Characters in a shingle; a shorter line is one shingle.
 SHINGLE, THRESHOLD = 8, 0.8
@@ -168,7 +168,7 @@ def line_dedup(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRES
                 lines = list({x for part in parts for x in part if not _blank(x)})
                 if lines:
                     keys = np.concatenate([_bands(part, shingle) for part in _slices(lines)])
-                    yield star_rows(keys.ravel(), np.repeat(_keys(lines)[:, 0], BANDS), buckets)
+                    yield member_rows(keys.ravel(), np.repeat(_keys(lines)[:, 0], BANDS), buckets)
 
     members = materialise(bucket_members(docs.mapInArrow(task(bands), STAR)))
     wanted = spark.sparkContext.broadcast(bitmap(members.select(F.col("id").alias("key")), FILTER_BITS))

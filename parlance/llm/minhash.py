@@ -83,8 +83,11 @@ def star_rows(keys: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBatch
     own = mix(mix(a.view(np.uint64)) + b.view(np.uint64))
     key = np.concatenate([k.view(np.uint64), own, own])
     order = np.argsort(key)
-    key = key[order]
-    pairs = np.column_stack([key.view(np.int64), np.concatenate([hub, a, b])[order]])
+    return _packed(key[order], np.concatenate([hub, a, b])[order], buckets)
+
+
+def _packed(key: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBatch:
+    pairs = np.column_stack([key.view(np.int64), ids])
     bucket = (key >> np.uint64(24)).astype(np.int64) * buckets >> 40 if buckets < 1 << 23 else (key >> np.uint64(24)).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(key) else np.empty(0, np.int64)
     offsets = np.concatenate([first, [len(key)]]).astype(np.int32) * 16
@@ -92,6 +95,12 @@ def star_rows(keys: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array(bucket[first]), packed], ["bucket", "rows"])
 
 
+def member_rows(keys: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """What a batch of (key, id) sends on, packed by ranges of keys: every pair, since any two members of a key may be alike where neither is like its smallest."""
+    order = np.argsort(keys.view(np.uint64))
+    return _packed(keys.view(np.uint64)[order], ids[order], buckets)
+
+
 def star_edges(rows: DataFrame) -> DataFrame:
     """Edges (a, b) that join the members of every key, from star_rows().
 
@@ -110,7 +119,7 @@ def star_edges(rows: DataFrame) -> DataFrame:
 
 
 def bucket_members(rows: DataFrame) -> DataFrame:
-    """(key, id, hub): the members of every key that has two or more, and the smallest of them, from star_rows()."""
+    """(key, id, hub): the members of every key that has two or more, and the smallest of them, from member_rows()."""
 
     def members(bucket: pa.Table) -> pa.RecordBatch:
         pairs = np.frombuffer(b"".join(bucket.column("rows").to_pylist()), np.int64).reshape(-1, 2)
