@@ -86,32 +86,34 @@ DOMAINS = (
     ("finance", "bank|loan|emi|credit|debit|invoice|payment|balance|policy"),
     ("travel", "flight|hotel|booking|travel|trip|train|bus|cab|ticket"),
 )
-EDGE = r"[^\p{L}\p{N}_]"
+EDGE, WORD = r"[^\p{L}\p{N}_]", r"[\p{L}\p{N}_]"
 
 
 def _matches(text: Column, rules: tuple[tuple[str, str], ...]) -> Column:
-    low = F.lower(F.coalesce(text, F.lit("")))
-    hit = lambda name, words: low.rlike(rf"(^|{EDGE})({words})({EDGE}|$)") | (low.contains("?") if name == "question" else F.lit(False))
-    return F.array_compact(F.array(*(F.when(hit(n, w), F.lit(n)) for n, w in rules)))
+    def found(low: Column) -> Column:
+        # A place whose letter begins no word of the rule fails at once.
+        first = lambda words: "".join(sorted({w[0] for w in words.split("|")}))
+        hit = lambda name, words: low.rlike(rf"(?=[{first(words)}])(?<!{WORD})(?:{words})(?!{WORD})") | (low.contains("?") if name == "question" else F.lit(False))
+        return F.array_compact(F.array(*(F.when(hit(n, w), F.lit(n)) for n, w in rules)))
+
+    return T.once(F.lower(F.coalesce(text, F.lit(""))), found)
 
 
 def intents(text: Column) -> Column:
-    found = _matches(text, INTENTS)
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("informational")))
+    return T.once(_matches(text, INTENTS), lambda found: F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("informational"))))
 
 
 def domain(text: Column, has_keywords: Column) -> Column:
-    """Struct value, confidence."""
-    found, what = _matches(text, DOMAINS), intents(text)
-    named = F.struct(F.get(found, F.lit(0)).alias("value"), F.lit(0.68).alias("confidence"))
-    return (
-        F.when(F.size(found) >= 2, _pair("mixed", 0.55))
-        .when(F.size(found) == 1, named)
-        .when(F.arrays_overlap(what, F.array(F.lit("support_inquiry"), F.lit("complaint"))), _pair("customer_support", 0.58))
+    """Struct value, confidence. Each rule is tried once on a text, intents only where no domain is named."""
+    named = lambda found: F.struct(F.get(found, F.lit(0)).alias("value"), F.lit(0.68).alias("confidence"))
+    meant = T.once(
+        intents(text),
+        lambda what: F.when(F.arrays_overlap(what, F.array(F.lit("support_inquiry"), F.lit("complaint"))), _pair("customer_support", 0.58))
         .when(F.array_contains(what, "transaction"), _pair("sales", 0.56))
         .when(has_keywords, _pair("casual", 0.42))
-        .otherwise(_pair("unknown", 0.2))
+        .otherwise(_pair("unknown", 0.2)),
     )
+    return T.once(_matches(text, DOMAINS), lambda found: F.when(F.size(found) >= 2, _pair("mixed", 0.55)).when(F.size(found) == 1, named(found)).otherwise(meant))
 
 
 def keywords(texts: DataFrame, key: str, top: int = 10) -> DataFrame:
