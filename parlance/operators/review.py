@@ -115,6 +115,8 @@ def error_rates(reviewed: DataFrame) -> DataFrame:
     whole = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", F.coalesce(c, F.lit("")).alias("t")))), lambda x: x["t"]), " ")
     t = reviewed.groupBy("session_id").agg(whole("reviewed_text").alias("ref"), whole("asr_text").alias("hyp"))
     t = t.select("session_id", T.split_words(T.for_wer(F.col("ref"))).alias("a"), T.split_words(T.for_wer(F.col("hyp"))).alias("b"))
+    # Distances are quadratic in a session's few kilobytes, so sessions are dealt over all tasks, by number and not by size.
+    t = t.repartition(int(t.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("session_id"))
     t = t.withColumn("d", T.word_edit_distance("a", "b"))
     chars = lambda c: F.array_join(c, "")
     cd = F.levenshtein(chars("a"), chars("b"))
