@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import sequences as S
 from ..functions import text as T
+from ..sources import relations as R
 
 
 # ---- routing ---------------------------------------------------------------------------------------------------
@@ -91,34 +95,43 @@ def texts(candidates: DataFrame) -> DataFrame:
     return out.withColumn("words", T.split_words(T.for_consensus(F.col("text"))))
 
 
-def pairs(df: DataFrame) -> DataFrame:
-    """Each row of a session beside each other engine's: session_id, engine, peer, a, b. Engines are few, so a session's pairs are too."""
-    a = df.select("session_id", "engine", F.struct("*").alias("a"))
-    b = df.select("session_id", F.col("engine").alias("peer"), F.struct("*").alias("b"))
-    return a.join(b, "session_id").where("engine <> peer")
+def pairs(df: DataFrame, *by: str) -> DataFrame:
+    """Each row of a session (and of equal columns by) beside each other engine's: session_id, by, engine, peer, a, b. Engines are few, so a session's rows are gathered, not joined."""
+    key = ["session_id", *by]
+    rows = df.where("session_id is not null and engine is not null").groupBy(*key).agg(F.collect_list(F.struct("*")).alias("rows"))
+    each = rows.select(*key, "rows", F.explode("rows").alias("a")).select(*key, "a", F.explode("rows").alias("b"))
+    return each.where("a.engine <> b.engine").select(*key, F.col("a.engine").alias("engine"), F.col("b.engine").alias("peer"), "a", "b")
+
+
+def _compared(words: DataFrame, **kernels: Callable[[Column], Column]) -> DataFrame:
+    """session_id, engine, peer and each kernel's value of every two engines' words: a session's lists are gathered once and go to a kernel once, not once a pair."""
+    R.bound_batches(words.sparkSession)
+    lists = words.where("session_id is not null and engine is not null").groupBy("session_id").agg(F.collect_list(F.struct("engine", "words")).alias("x"))
+    found = lists.select("session_id", F.col("x.engine").alias("engines"), *(f(F.col("x.words")).alias(c) for c, f in kernels.items()))
+    each = found.select("session_id", "engines", F.explode(F.arrays_zip(*kernels)).alias("p"))
+    one = F.col(f"p.{next(iter(kernels))}")
+    return each.select("session_id", F.get("engines", one["i"]).alias("engine"), F.get("engines", one["j"]).alias("peer"), *(F.col(f"p.{c}.x").alias(c) for c in kernels))
 
 
 def bags(words: DataFrame) -> DataFrame:
-    """Per pair of engines: words in common, with their number, against the longer list (two empty ones: 1); a join of word counts, linear in the words.
+    """Per pair of engines: words in common, with their number, against the longer list (two empty ones: 1), linear in the words.
 
     words: session_id, engine, words.
     """
-    n = words.select("session_id", "engine", F.explode("words").alias("w")).groupBy("session_id", "engine", "w").agg(F.count(F.lit(1)).alias("n"))
-    both = n.join(n.select("session_id", F.col("engine").alias("peer"), "w", F.col("n").alias("m")), ["session_id", "w"]).where("engine <> peer")
-    shared = both.groupBy("session_id", "engine", "peer").agg(F.sum(F.least("n", "m")).alias("shared"))
-    p = pairs(words.select("session_id", "engine", F.size("words").alias("len"))).join(shared, ["session_id", "engine", "peer"], "left")
-    longer = F.greatest("a.len", "b.len")
-    return p.select("session_id", "engine", "peer", F.when(longer == 0, 1.0).otherwise(F.coalesce("shared", F.lit(0)) / F.greatest(longer, F.lit(1))).alias("bag"))
+    return _compared(words, bag=S.bag_overlaps)
+
+
+def sequences(words: DataFrame) -> DataFrame:
+    """Per pair of engines: the similarity of their sequences of words (two empty ones: 1)."""
+    return _compared(words, similarity=S.sequence_similarities)
 
 
 def timing(candidates: DataFrame) -> DataFrame:
     """Per pair of engines: agreement of the times of segments at one place, and of their number; needs segments with text."""
-    w = W.partitionBy("session_id", "engine").orderBy("idx")
-    s = candidates.where(F.length(F.trim("text")) > 0).select("session_id", "engine", F.row_number().over(w).alias("place"), "s_ms", "e_ms")
-    n = s.groupBy("session_id", "engine").agg(F.count(F.lit(1)).alias("n"))
-    p = s.alias("a").join(s.alias("b"), (F.col("a.session_id") == F.col("b.session_id")) & (F.col("a.place") == F.col("b.place")) & (F.col("a.engine") != F.col("b.engine")))
-    d = p.groupBy(F.col("a.session_id").alias("session_id"), F.col("a.engine").alias("engine"), F.col("b.engine").alias("peer")).agg(F.sum(F.abs(F.col("a.s_ms") - F.col("b.s_ms")) + F.abs(F.col("a.e_ms") - F.col("b.e_ms"))).alias("delta"), (2 * F.count(F.lit(1))).alias("m"))
-    d = d.join(n.withColumnRenamed("n", "na"), ["session_id", "engine"]).join(n.select("session_id", F.col("engine").alias("peer"), F.col("n").alias("nb")), ["session_id", "peer"])
+    w = W.partitionBy("session_id", "engine")
+    s = candidates.where(F.length(F.trim("text")) > 0).select("session_id", "engine", F.row_number().over(w.orderBy("idx")).alias("place"), "s_ms", "e_ms", F.count(F.lit(1)).over(w).alias("n"))
+    apart = F.sum(F.abs(F.col("a.s_ms") - F.col("b.s_ms")) + F.abs(F.col("a.e_ms") - F.col("b.e_ms")))
+    d = pairs(s, "place").groupBy("session_id", "engine", "peer").agg(apart.alias("delta"), (2 * F.count(F.lit(1))).alias("m"), F.max("a.n").alias("na"), F.max("b.n").alias("nb"))
     count = 1.0 - F.abs(F.col("na") - F.col("nb")) / F.greatest("na", "nb")
     near = F.greatest(F.lit(0.0), 1.0 - F.least(F.lit(1.0), F.col("delta") / F.col("m") / 1200.0))
     return d.select("session_id", "engine", "peer", (near * 0.7 + count * 0.3).alias("timing"), count.alias("count_score"))
@@ -146,8 +159,7 @@ def scores(candidates: DataFrame, signals: DataFrame, condition: str = "unknown"
 
     signals: session_id, engine, conf, word_conf, ts_conf (0 to 1), switch_count, switching_score, langs, patterns.
     """
-    t = texts(candidates)
-    word = pairs(t).select("session_id", "engine", "peer", T.sequence_similarity("a.words", "b.words").alias("seq")).join(bags(t), ["session_id", "engine", "peer"])
+    word = _compared(texts(candidates), seq=S.sequence_similarities, bag=S.bag_overlaps)
     word = word.withColumn("token", F.round(F.col("seq") * 0.65 + F.col("bag") * 0.35, 4))
     switch = pairs(signals).select("session_id", "engine", "peer", F.round(switch_agreement("a", "b"), 4).alias("switch"), (F.size("b.langs") >= 2).alias("multi"))
     both = word.select("session_id", "engine", "peer", "token").join(timing(candidates), ["session_id", "engine", "peer"], "left").join(switch, ["session_id", "engine", "peer"])
