@@ -148,13 +148,27 @@ def punctuate(words: DataFrame, segments: DataFrame, enabled: bool = True) -> Da
     A word of punctuation alone keeps its text. Hindi and Devanagari segments are skipped. The last word of a
     segment in a supported language gets a full stop if it has no punctuation.
     """
+    return punctuated(words, segments, enabled).select("session_id", "seg_idx", "word_idx", "text", "trailing_punct", "punct_skipped")
+
+
+def punctuated(words: DataFrame, segments: DataFrame, enabled: bool = True) -> DataFrame:
+    """punctuate() with all columns of words (no text, trailing_punct or punct_skipped among them), and segment_language.
+
+    A segment and its words meet in one sorted union, not in a join: where both are dealt by session_id already,
+    words don't travel again.
+    """
     trail = F.regexp_extract("word", r"(\p{P}+)$", 1)
     bare = F.regexp_replace("word", r"\p{P}+$", "")
-    seg = segments.select(F.col("session_id").alias("_s"), F.col("idx").alias("_i"), F.col("language").alias("_lang"), T.major_script(F.coalesce("text", F.lit(""))).alias("_script"))
-    skipped = F.when(F.lit(not enabled), "disabled").when((F.col("_lang") == "hi") | (F.col("_script") == "Deva"), "hindi_model_unavailable").when(~F.coalesce(F.col("_lang"), F.lit("")).isin(*PUNCTUATED), "unsupported_language")
-    w = W.partitionBy("session_id", "seg_idx").orderBy(F.desc("word_idx"))
-    last = F.row_number().over(w) == 1
-    joined = words.join(seg, (F.col("session_id") == F.col("_s")) & (F.col("seg_idx") == F.col("_i")))
-    out = joined.withColumn("punct_skipped", skipped).withColumn("_last", last)
+    about = F.struct(F.col("language").alias("lang"), T.major_script(F.coalesce("text", F.lit(""))).alias("script"))
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in words.schema if f.name not in ("session_id", "seg_idx")]
+    seg = segments.select("session_id", F.col("idx").cast(words.schema["seg_idx"].dataType).alias("seg_idx"), *none, about.alias("_about"))
+    rest = [c for c in words.columns if c not in ("session_id", "seg_idx")]
+    both = words.select("session_id", "seg_idx", *rest, F.lit(None).cast(seg.schema["_about"].dataType).alias("_about")).union(seg).where("session_id is not null and seg_idx is not null")
+    w = W.partitionBy("session_id", "seg_idx").orderBy(F.col("_about").isNull(), "word_idx")
+    seen = both.withColumn("_said", F.col("_about").isNull()).withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
+    seen = seen.withColumn("_seg", F.last("_about", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, W.currentRow))).where("_said and _seg is not null")
+    lang = F.col("_seg.lang")
+    skipped = F.when(F.lit(not enabled), "disabled").when((lang == "hi") | (F.col("_seg.script") == "Deva"), "hindi_model_unavailable").when(~F.coalesce(lang, F.lit("")).isin(*PUNCTUATED), "unsupported_language")
+    out = seen.withColumn("punct_skipped", skipped)
     stop = F.when((trail == "") & F.col("_last") & F.col("punct_skipped").isNull(), ".").otherwise(trail)
-    return out.select("session_id", "seg_idx", "word_idx", F.when(bare == "", F.col("word")).otherwise(bare).alias("text"), stop.alias("trailing_punct"), "punct_skipped")
+    return out.select(*words.columns, F.when(bare == "", F.col("word")).otherwise(bare).alias("text"), stop.alias("trailing_punct"), "punct_skipped", lang.alias("segment_language"))

@@ -39,7 +39,7 @@ def spans(words: DataFrame, turns: DataFrame, limits: Limits = Limits(), own_tur
     all spans for uninterrupted, as where each speaker's turns are looked at alone.
     """
     mid = F.col("ws_ms") + F.col("we_ms")
-    w = words.drop("speaker").withColumn("s_ms", mid).withColumn("e_ms", mid + 1)
+    w = words.select("session_id", "seg_idx", "word_idx", "ws_ms", "we_ms", "word").withColumn("s_ms", mid).withColumn("e_ms", mid + 1)
     t = turns.select("session_id", "idx", "speaker", (F.col("s_ms") * 2 - 2).alias("s_ms"), (F.col("e_ms") * 2 + 3).alias("e_ms"))
     inside = overlap_pairs(w, t, bucket_ms=CELL_MS * 2).select("l.*", F.col("r.idx").alias("turn_idx"), F.col("r.speaker").alias("turn_speaker")).drop("s_ms", "e_ms")
     w = W.partitionBy("session_id", "turn_idx").orderBy("ws_ms", "seg_idx", "word_idx")

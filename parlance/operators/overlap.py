@@ -41,7 +41,8 @@ def _texts(turns: DataFrame, segments: DataFrame) -> DataFrame:
 
 def regions(turns: DataFrame, segments: DataFrame, min_ms: int = MIN_MS) -> DataFrame:
     """session_id, speaker_a, speaker_b, o_start, o_end, dur_ms, overlap_type: short ones in which either side only answers are backchannels."""
-    pairs = speaker_overlaps(turns, min_ms).select("session_id", F.col("a.idx").alias("ia"), F.col("b.idx").alias("ib"), F.col("a.speaker").alias("speaker_a"), F.col("b.speaker").alias("speaker_b"), "o_start", "o_end", "dur_ms")
+    # texts stay behind: a turn travels once for each width of cells
+    pairs = speaker_overlaps(turns.select("session_id", "idx", "speaker", "s_ms", "e_ms"), min_ms).select("session_id", F.col("a.idx").alias("ia"), F.col("b.idx").alias("ib"), F.col("a.speaker").alias("speaker_a"), F.col("b.speaker").alias("speaker_b"), "o_start", "o_end", "dur_ms")
     t = _texts(turns.select("session_id", "idx", "s_ms", "e_ms"), segments)
     t = t.select(F.col("session_id").alias("_s"), "idx", is_backchannel(F.col("x.text"), F.col("x.language")).alias("soft"))
     a, b = t.alias("ta"), t.alias("tb")

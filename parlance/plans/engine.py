@@ -66,11 +66,8 @@ BASIC_SPEAKER = ("session_id", "speaker", "speaking_ms", "word_count", "wpm", "n
 
 def annotate(turns: DataFrame, segments: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(segments, words) through the stages in their fixed order: punctuation, word languages, SNR, overlaps, confidence, tiers."""
-    told = language.punctuate(words, segments)
-    spoken = told.join(words.select("session_id", "seg_idx", "word_idx", "speaker", "ws_ms", "we_ms"), ["session_id", "seg_idx", "word_idx"])
-    seg = segments.select(F.col("session_id").alias("_s"), F.col("idx").alias("_i"), F.col("language").alias("_lang"))
-    spoken = spoken.join(seg, (F.col("session_id") == F.col("_s")) & (F.col("seg_idx") == F.col("_i"))).drop("_s", "_i")
-    spoken = spoken.withColumn("lang", language.word_language(F.col("text"), F.col("_lang"))["lang"]).drop("_lang").withColumn("word", F.concat("text", "trailing_punct"))
+    told = language.punctuated(words.select("session_id", "seg_idx", "word_idx", "speaker", "ws_ms", "we_ms", "word"), segments)
+    spoken = told.withColumn("lang", language.word_language(F.col("text"), F.col("segment_language"))["lang"]).drop("segment_language").withColumn("word", F.concat("text", "trailing_punct"))
     switches = language.switch_points(spoken)
     per = spoken.groupBy("session_id", F.col("seg_idx").alias("idx")).agg(F.count(F.lit(1)).alias("_n"), F.first("punct_skipped").alias("punct_skipped"))
     mid = switches.where(F.col("switch_type").isin("intra_sentential", "intra_word")).join(per.select("session_id", F.col("idx").alias("seg_idx"), "_n"), ["session_id", "seg_idx"]).where("word_idx > 0 and word_idx < _n - 1")
