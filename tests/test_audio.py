@@ -103,3 +103,21 @@ def test_noise_of_odd_keys():
             step = int(np.fmod(i // 200 + k + p, 4))
             noise = int(np.fmod(k * 131 + i * (i % 97) * 7 + p * 17, 2001)) - 1000
             assert got[i] == np.float32(max(-1.0, min(1.0, noise * (0, 4, 300, 1200)[step] / 1e6)) if step >= 0 else 1.0)
+
+
+def test_classifier_reads_a_words_ngrams_once(spark):
+    """As the stages of pyspark.ml one by one; null, empty and long texts; n-grams are no column of the plan, where each word's were cut anew."""
+    texts = [("en", t) for t in ("the cat sat", "where are you going", "this is the house")] + [("hi-Latn", t) for t in ("aap kaise hain", "kya kar rahe ho", "mera naam hai")] + [("x", "zu zo")]
+    for kinds in (texts, texts[:6], texts[:3]):
+        model = classifier.train(spark.createDataFrame(kinds, "label string, text string"))
+        asked = spark.createDataFrame([(k, t) for k, t in enumerate([None, "", "É", "a", "The cat's HOUSE kya", "aap " * 5000 + "the", *["zo kya"] * 70])], "k int, text string")
+        got = classifier.predict(asked, model)
+        d = asked.withColumn("grams", classifier.char_ngrams(F.col("text")))
+        for stage in model.stages[1:]:
+            d = stage.transform(d)
+        plain = {r.k: r for r in d.collect()}
+        labels = model.stages[0].labels
+        for r in got.collect():
+            assert r.lang == labels[int(plain[r.k].prediction)] and r.score == max(r.probabilities.values())
+            assert all(abs(r.probabilities[v] - plain[r.k].probability[j]) < 1e-9 for j, v in enumerate(labels))
+        assert "CountVectorizer" not in got._jdf.queryExecution().toString() and "sequence(" not in got._jdf.queryExecution().toString()
