@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import bitmap, documents, grams_hash, grouped, in_bitmap, materialise, mix, task
@@ -203,7 +204,6 @@ def line_dedup(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRES
 
     found = materialise(docs.mapInArrow(task(candidates), "k0 long, k1 long, doc_id long, no int, line string"))
     wanted.destroy()
-    place = F.struct("doc_id", "no")
     texts = materialise(found.where("line is not null").groupBy("k0", "k1").agg(F.first("line").alias("line")).select("k0", "line"))
 
     def compare(group: pa.Table) -> pa.RecordBatch | None:
@@ -236,8 +236,9 @@ def line_dedup(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRES
     joined = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(rest))
     firsts = found.where("k0 is not null").join(joined, F.col("k0") == F.col("node"), "left")
     firsts = firsts.select("doc_id", "no", F.coalesce("component", "k0").alias("c"), F.when(F.col("component").isNull(), F.col("k1")).otherwise(F.lit(0)).alias("c1"))
-    keeper = firsts.groupBy("c", "c1").agg(F.min(place).alias("keep"))
-    gone = firsts.join(keeper, ["c", "c1"]).where(place != F.col("keep")).select("doc_id", "no")
+    # Rows at the first place of a component all stay: they are one line of a repeated row.
+    order = F.rank().over(W.partitionBy("c", "c1").orderBy("doc_id", "no"))
+    gone = firsts.withColumn("order", order).where("order > 1").select("doc_id", "no")
     gone = gone.union(found.where("k0 is null").select("doc_id", "no"))
     return gone.groupBy("doc_id").agg(F.collect_set("no").alias("removed"))
 
