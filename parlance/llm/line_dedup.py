@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bitmap, documents, grams_hash, grouped, in_bitmap, materialise, mix, task
+from .common import bitmap, documents, drop, grams_hash, grouped, in_bitmap, materialise, mix, task
 from .components import components, local_forest
 from .minhash import STAR, Sets, alike, band_keys, blocks_of, bucket_members, buckets_of, densified, member_rows, sketch, spread
 
@@ -158,6 +158,7 @@ def line_dedup(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRES
     Lines are what "\\n" parts. Blank lines stay and match nothing; null texts have none. Of lines at one
     place in the order (rows that repeat a doc_id) the rows are taken as one
     document. Rows without a doc_id keep all their lines and match nothing; other columns are ignored; an empty table gives no rows.
+    Lines and buckets that are written on the way go once they are used.
     """
     docs = documents(docs).where("doc_id is not null")
     spark = docs.sparkSession
@@ -234,19 +235,22 @@ def line_dedup(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRES
     rest = placed.join(parted, F.col("key") == F.col("bucket")).withColumn("blocks", blocks_of(F.col("n")))
     rest = verified(spread(rest.select("bucket", "blocks", "id", "known"), F.col("bucket"), F.col("blocks"), F.col("id")))
     joined = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(rest))
+    drop(members, texts)
     firsts = found.where("k0 is not null").join(joined, F.col("k0") == F.col("node"), "left")
     firsts = firsts.select("doc_id", "no", F.coalesce("component", "k0").alias("c"), F.when(F.col("component").isNull(), F.col("k1")).otherwise(F.lit(0)).alias("c1"))
     # Rows at the first place of a component all stay: they are one line of a repeated row.
     order = F.rank().over(W.partitionBy("c", "c1").orderBy("doc_id", "no"))
     gone = firsts.withColumn("order", order).where("order > 1").select("doc_id", "no")
     gone = gone.union(found.where("k0 is null").select("doc_id", "no"))
-    return gone.groupBy("doc_id").agg(F.collect_set("no").alias("removed"))
+    removed = materialise(gone.groupBy("doc_id").agg(F.collect_set("no").alias("removed")))
+    drop(found)
+    return removed
 
 
 def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """docs with text less its removed lines; all columns and rows stay. A text without removed lines stays as it is, null included."""
 
-    gone = removed.select(F.col("doc_id").alias("__doc"), F.col("removed").alias("__gone"))
+    gone = removed.select(F.col("doc_id").alias("__doc"), F.col("removed").alias("__gone")).hint("merge")
     joined = docs.join(gone, F.col("doc_id").cast("long") == F.col("__doc"), "left")
     lines = F.split(F.col("text"), "\n")
     kept = F.filter(F.transform(lines, lambda x, i: F.when(~F.array_contains("__gone", i), x)), lambda x: x.isNotNull())
@@ -256,8 +260,9 @@ def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
 
 def line_digests(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed, kept_sha256 (of the remaining lines, in UTF-8)."""
-    removed = line_dedup(docs)
-    rows = documents(docs).join(removed.withColumnRenamed("doc_id", "d"), F.col("doc_id") == F.col("d"), "left").select("doc_id", "text", "removed")
+    # A merge at any size, so that runs over little tell what larger ones need.
+    removed = line_dedup(docs).withColumnRenamed("doc_id", "d").hint("merge")
+    rows = documents(docs).join(removed, F.col("doc_id") == F.col("d"), "left").select("doc_id", "text", "removed")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
