@@ -61,14 +61,20 @@ def spans(words: DataFrame, turns: DataFrame, limits: Limits = Limits(), own_tur
     else:
         o = turns.select("session_id", "speaker", "s_ms", "e_ms")
         hit = overlap_pairs(out.select("session_id", "turn_idx", "span", "speaker", "s_ms", "e_ms"), o, F.col("l.speaker") != F.col("r.speaker"))
-        broken = hit.select("l.session_id", "l.turn_idx", "l.span").distinct().withColumn("_broken", F.lit(True))
-        out = out.join(broken, ["session_id", "turn_idx", "span"], "left").withColumn("interruption_free", F.col("_broken").isNull()).drop("_broken")
+        # gathered by turn, as spans are dealt already: their words don't travel for it
+        broken = hit.groupBy("l.session_id", "l.turn_idx").agg(F.collect_set("l.span").alias("_broken"))
+        out = out.join(broken, ["session_id", "turn_idx"], "left").withColumn("interruption_free", ~F.coalesce(F.array_contains("_broken", F.col("span")), F.lit(False))).drop("_broken")
     score = length_score(ms, limits) * F.greatest(F.lit(0.0), 1.0 - F.col("silence_ratio") * 1.5) * F.when(F.col("interruption_free"), 1.0).otherwise(0.5)
     return out.withColumn("score", score).drop("spoken_ms")
 
 
-def best(candidates: DataFrame, key: list[str] = ["session_id"], limits: Limits = Limits()) -> DataFrame:
-    """The best candidate of each key: those in range first, then by score, then the earliest. One that is too long is cut after the words that start in time, where the last of them ends (words of turns that overlap may end in another order)."""
+def best(candidates: DataFrame, key: list[str] = ["session_id"], limits: Limits = Limits(), keep_words: bool = True) -> DataFrame:
+    """The best candidate of each key: those in range first, then by score, then the earliest. One that is too long is cut after the words that start in time, where the last of them ends (words of turns that overlap may end in another order).
+
+    Without keep_words the words are not returned, and only candidates that are too long take theirs along.
+    """
+    if not keep_words:
+        candidates = candidates.withColumn("words", F.when(((F.col("e_ms") - F.col("s_ms")) > limits.longest) & ~F.col("in_range"), F.col("words")))
     rank = F.row_number().over(W.partitionBy(*key).orderBy(F.desc("in_range"), F.desc("score"), "turn_idx", "span"))
     top = candidates.withColumn("_r", rank).where("_r = 1").drop("_r")
     long = (F.col("e_ms") - F.col("s_ms")) > limits.longest
@@ -77,4 +83,6 @@ def best(candidates: DataFrame, key: list[str] = ["session_id"], limits: Limits
     end = F.when(F.col("_long"), F.array_max(F.transform("words", lambda x: x["we_ms"]))).otherwise(F.col("e_ms"))
     text = F.when(F.col("_long"), F.trim(F.array_join(F.transform("words", lambda x: F.trim(x["word"])), " "))).otherwise(F.col("text"))
     ms = F.col("e_ms") - F.col("s_ms")
-    return top.withColumn("e_ms", end).withColumn("text", text).withColumn("n_words", F.size("words")).withColumn("in_range", (ms >= limits.shortest) & (ms <= limits.longest)).drop("_long")
+    n = F.when(F.col("words").isNull(), F.col("n_words").cast("int")).otherwise(F.size("words"))
+    out = top.withColumn("e_ms", end).withColumn("text", text).withColumn("n_words", n).withColumn("in_range", (ms >= limits.shortest) & (ms <= limits.longest)).drop("_long")
+    return out if keep_words else out.drop("words")

@@ -60,6 +60,10 @@ class Config:
         return record.config_hash(asdict(self))
 
 
+#: What annotate() finds of a segment beyond what stands in its transcript, and of a word.
+ANNOTATED = ("snr_reason", "snr_source", "snr_quality", "overlap", "overlap_type", "overlap_start", "overlap_end", "wpm_z", "confidence_band_relative", "confidence_reasons", "tier_reasons", "mid_switch", "matrix_language", "cs_density")
+WORD = ("seg_idx", "word_idx", "speaker", "ws_ms", "we_ms", "text", "trailing_punct", "lang")
+
 #: Columns of a speaker's profile that stay at metadata_depth="basic".
 BASIC_SPEAKER = ("session_id", "speaker", "speaking_ms", "word_count", "wpm", "n_turns")
 
@@ -81,16 +85,16 @@ def annotate(turns: DataFrame, segments: DataFrame, words: DataFrame) -> tuple[D
 
 
 def run(turns: DataFrame, segments: DataFrame, words: DataFrame, config: Config = Config()) -> DataFrame:
-    """Records of all sessions: transcript, interaction, language, quality, speakers, monologue, validation, gate, delivery."""
+    """Records of all sessions: transcript, annotations of its segments, words, interaction, language, quality, speakers, monologue, validation, gate, delivery."""
     segs, spoken = annotate(turns, segments, words)
     profiles = speakers.profile(spoken, turns)
     if config.metadata_depth == "basic":
         profiles = profiles.select(*BASIC_SPEAKER)
-    people = profiles.groupBy("session_id").agg(F.map_from_entries(F.collect_list(F.struct("speaker", F.struct(*[c for c in profiles.columns if c not in ("session_id", "speaker")]).alias("v")))).alias("profiles"))
+    people = profiles.groupBy("session_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("speaker", F.struct(*[c for c in profiles.columns if c not in ("session_id", "speaker")]).alias("v"))))).alias("profiles"))
     talk = interaction.report(turns)
     langs = language.report(segs)
     quality_report = quality.transcript_quality(segs, config.quality_score_threshold)
-    mono = monologue.best(monologue.spans(spoken, turns)).drop("words")
+    mono = monologue.best(monologue.spans(spoken, turns), keep_words=False)
     checks = quality_report.join(talk.select("session_id", "total_turns", "duration_ms", "overlap_ms"), "session_id", "left").select(
         "session_id",
         "segment_count",
@@ -108,7 +112,9 @@ def run(turns: DataFrame, segments: DataFrame, words: DataFrame, config: Config
         (F.coalesce("duration_ms", F.lit(0)) / 1000.0).alias("duration_s"),
     )
     valid = gates.validation(checks, config.quality_score_threshold).select("session_id", "issues", "issue_count", "passed")
-    out = record.assemble(segs, interaction=talk, language=langs, quality=quality_report, tiers=quality.tier_histogram(segs), speakers=people, monologue=mono, validation=valid, code_switch=language.code_switch_report(segs), code_switch_density=language.code_switch_density(spoken))
+    annotations = segs.groupBy("session_id").agg(F.array_sort(F.collect_list(F.struct("idx", *ANNOTATED))).alias("segments"))
+    said = spoken.groupBy("session_id").agg(F.array_sort(F.collect_list(F.struct(*WORD))).alias("list"))
+    out = record.assemble(segs, annotations=annotations, words=said, interaction=talk, language=langs, quality=quality_report, tiers=quality.tier_histogram(segs), speakers=people, monologue=mono, validation=valid, code_switch=language.code_switch_report(segs), code_switch_density=language.code_switch_density(spoken))
     needs = F.lit(config.require_human_review or config.pipeline_mode == "premium_accuracy")
     out = out.withColumn("review_required", needs).withColumn("config_hash", F.lit(config.hash())).withColumn("dataset_products", record.products(F.array(*map(F.lit, config.dataset_products)), F.lit(config.output_mode)))
     return record.delivery(out)
