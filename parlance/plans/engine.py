@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, field, fields
 from typing import Any
 
@@ -68,10 +69,11 @@ WORD = ("seg_idx", "word_idx", "speaker", "ws_ms", "we_ms", "text", "trailing_pu
 BASIC_SPEAKER = ("session_id", "speaker", "speaking_ms", "word_count", "wpm", "n_turns")
 
 
-def annotate(turns: DataFrame, segments: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+def annotate(turns: DataFrame, segments: DataFrame, words: DataFrame, shared: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
     """(segments, words) through the stages in their fixed order: punctuation, word languages, SNR, overlaps, confidence, tiers."""
     told = language.punctuated(words.select("session_id", "seg_idx", "word_idx", "speaker", "ws_ms", "we_ms", "word"), segments)
     spoken = told.withColumn("lang", language.word_language(F.col("text"), F.col("segment_language"))["lang"]).drop("segment_language").withColumn("word", F.concat("text", "trailing_punct"))
+    spoken = shared(spoken.select("session_id", *WORD, "word", "punct_skipped"))
     switches = language.switch_points(spoken)
     per = spoken.groupBy("session_id", F.col("seg_idx").alias("idx")).agg(F.count(F.lit(1)).alias("_n"), F.first("punct_skipped").alias("punct_skipped"))
     mid = switches.where(F.col("switch_type").isin("intra_sentential", "intra_word")).join(per.select("session_id", F.col("idx").alias("seg_idx"), "_n"), ["session_id", "seg_idx"]).where("word_idx > 0 and word_idx < _n - 1")
@@ -84,17 +86,26 @@ def annotate(turns: DataFrame, segments: DataFrame, words: DataFrame) -> tuple[D
     return quality.tier(quality.confidence(s)), spoken
 
 
-def run(turns: DataFrame, segments: DataFrame, words: DataFrame, config: Config = Config()) -> DataFrame:
-    """Records of all sessions: transcript, annotations of its segments, words, interaction, language, quality, speakers, monologue, validation, gate, delivery."""
-    segs, spoken = annotate(turns, segments, words)
+def run(turns: DataFrame, segments: DataFrame, words: DataFrame, config: Config = Config(), shared: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Records of all sessions: transcript, annotations of its segments, words, interaction, language, quality, speakers, monologue, validation, gate, delivery.
+
+    shared keeps what many reports read (llm.common.materialise, say), so that none makes it anew and the last plan stays small.
+    """
+    segs, spoken = annotate(turns, segments, words, shared)
+    segs = shared(segs)
     profiles = speakers.profile(spoken, turns)
     if config.metadata_depth == "basic":
         profiles = profiles.select(*BASIC_SPEAKER)
     people = profiles.groupBy("session_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("speaker", F.struct(*[c for c in profiles.columns if c not in ("session_id", "speaker")]).alias("v"))))).alias("profiles"))
-    talk = interaction.report(turns)
+    people = shared(people)
+    talk = shared(interaction.report(turns))
     langs = language.report(segs)
-    quality_report = quality.transcript_quality(segs, config.quality_score_threshold)
-    mono = monologue.best(monologue.spans(spoken, turns), keep_words=False)
+    # summed in order of size, so that reruns print the same mean
+    scores = segs.where(F.length(F.trim("text")) > 0).groupBy("session_id").agg(F.array_sort(F.collect_list("quality_score")).alias("_q"))
+    mean = F.aggregate("_q", F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size("_q"), F.lit(0))
+    quality_report = shared(quality.transcript_quality(segs, config.quality_score_threshold).join(scores, "session_id", "left").withColumn("mean_quality", F.coalesce(mean, F.lit(0.0))).drop("_q"))
+    mono = shared(monologue.best(monologue.spans(spoken, turns), keep_words=False))
+    density = shared(language.code_switch_density(spoken))
     checks = quality_report.join(talk.select("session_id", "total_turns", "duration_ms", "overlap_ms"), "session_id", "left").select(
         "session_id",
         "segment_count",
@@ -114,7 +125,7 @@ def run(turns: DataFrame, segments: DataFrame, words: DataFrame, config: Config
     valid = gates.validation(checks, config.quality_score_threshold).select("session_id", "issues", "issue_count", "passed")
     annotations = segs.groupBy("session_id").agg(F.array_sort(F.collect_list(F.struct("idx", *ANNOTATED))).alias("segments"))
     said = spoken.groupBy("session_id").agg(F.array_sort(F.collect_list(F.struct(*WORD))).alias("list"))
-    out = record.assemble(segs, annotations=annotations, words=said, interaction=talk, language=langs, quality=quality_report, tiers=quality.tier_histogram(segs), speakers=people, monologue=mono, validation=valid, code_switch=language.code_switch_report(segs), code_switch_density=language.code_switch_density(spoken))
+    out = record.assemble(segs, annotations=annotations, words=said, interaction=talk, language=langs, quality=quality_report, tiers=quality.tier_histogram(segs), speakers=people, monologue=mono, validation=valid, code_switch=language.code_switch_report(segs), code_switch_density=density)
     needs = F.lit(config.require_human_review or config.pipeline_mode == "premium_accuracy")
     out = out.withColumn("review_required", needs).withColumn("config_hash", F.lit(config.hash())).withColumn("dataset_products", record.products(F.array(*map(F.lit, config.dataset_products)), F.lit(config.output_mode)))
     return record.delivery(out)
